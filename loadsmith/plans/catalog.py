@@ -575,7 +575,8 @@ _BAD_PROPS_SQL = ("SELECT event_id, CASE WHEN event_id % 13 = 0 THEN rtrim(props
 @register("rejects",
           f"SELECT event_id, CASE WHEN ok THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k, "
           f"CASE WHEN ok THEN 'good' ELSE 'rejected' END AS status FROM "
-          f"(SELECT *, json_valid(props) AND json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') AS ok "
+          f"(SELECT *, CASE WHEN json_valid(props) THEN json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') "
+          f"ELSE false END AS ok "
           f"FROM ({_BAD_PROPS_SQL}))")
 def q_rejects(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events")

@@ -31,7 +31,8 @@ def _explode(parsed: DataFrame, doc: str, spec: DocumentSpec, passthrough) -> Da
     else:
         elem = [F.col("_ls_elem").alias("value")]
     pos = [F.col("_ls_pos").alias("pos")] if spec.keep_position else []
-    return rows.select(*passthrough, *parents, *pos, *elem)
+    parent_names = [spec.parent_prefix + p for p in spec.parents]
+    return rows.select(*passthrough, *parent_names, *pos, *elem)
 
 
 def parse_documents(docs: DataFrame, text_col: str, spec: DocumentSpec,
