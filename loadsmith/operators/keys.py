@@ -6,8 +6,9 @@ run of equal keys still spreads over partitions), numbered inside each
 partition with ``monotonically_increasing_id`` and shifted by the row count of
 all earlier partitions.  The per-partition counts have one row per partition,
 a size bounded by the partition count, which is what makes the broadcast safe.
-The numbered frame is checkpointed to the shared checkpoint folder so that a
-re-execution (lost executor, second action) cannot renumber rows.
+The numbered frame is written once to the shared checkpoint folder and read
+back, so a re-execution (lost executor, second action) cannot renumber rows
+and the counts and the rows always come from the same copy.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.session import ensure_checkpoint_dir
+from loadsmith.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
 
@@ -40,17 +41,16 @@ def assign_surrogate_keys(df: DataFrame, key: str, order_by, start_after: int =
                           key_type: str = "bigint", seed: int = 17) -> DataFrame:
     """Add ``key`` = start_after + 1, 2, ... in ``order_by`` order, in parallel."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_by)
     staged = df.withColumn("_ls_tb", F.rand(seed))
     ordered = (staged.repartitionByRange(n, *order, F.col("_ls_tb"))
                .sortWithinPartitions(*order, F.col("_ls_tb")))
     rid = F.monotonically_increasing_id()
-    tagged = (ordered.withColumn("_ls_pid", F.shiftright(rid, _ROW_BITS))
-              .withColumn("_ls_pos", rid.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-              .drop("_ls_tb")
-              .checkpoint(eager=True))
+    tagged = materialize(ordered.withColumn("_ls_rid", rid).drop("_ls_tb"), "keys")
+    tagged = (tagged.withColumn("_ls_pid", F.shiftright("_ls_rid", _ROW_BITS))
+              .withColumn("_ls_pos", F.col("_ls_rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+              .drop("_ls_rid"))
     counts = tagged.groupBy("_ls_pid").agg(F.count(F.lit(1)).alias("_ls_n"))
     before = Window.orderBy("_ls_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

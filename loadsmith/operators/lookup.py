@@ -13,17 +13,20 @@ def _as_list(x) -> list[str]:
 def first_per_key(df: DataFrame, key, order_by, ascending: bool = True) -> DataFrame:
     """One row per key: the one with the smallest (or largest) ``order_by`` tuple.
 
-    Uses ``min_by``/``max_by`` aggregation, which is combined map-side before the
-    shuffle, so a key holding a large share of the rows never lands whole in
-    one task (a ``row_number()`` window would).
+    ``min``/``max`` of a struct led by the ordering columns is combined
+    map-side before the shuffle, so a key holding a large share of the rows
+    never lands whole in one task (a ``row_number()`` window would).  Rows
+    tied on the whole ordering are told apart by the remaining columns.
     """
     keys = _as_list(key)
     order = _as_list(order_by)
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by if ascending else F.max_by
-    ordering = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), ordering).alias("_ls_row"))
-    return picked.select(*keys, *[F.col("_ls_row." + c).alias(c) for c in rest]).select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    fields = [F.col(c).alias(f"_ls_{i}") for i, c in enumerate(order + rest)]
+    pick = F.min if ascending else F.max
+    picked = df.groupBy(*keys).agg(pick(F.struct(*fields)).alias("_ls_row"))
+    names = order + rest
+    return picked.select(*[F.col(c) if c in keys else
+                           F.col(f"_ls_row._ls_{names.index(c)}").alias(c) for c in df.columns])
 
 
 def reference_columns(reference: DataFrame, on, columns=None, prefix: str = "d_",

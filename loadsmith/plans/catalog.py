@@ -34,7 +34,15 @@ from loadsmith.plans import fixtures as fx
 from loadsmith.plans import oracle as sql
 from loadsmith.plans.products import product_rows, transform_products
 from loadsmith.session import scratch_path
-from loadsmith.sinks.publish import append_load, land_documents, truncate_reload, write_observed
+from loadsmith.sinks.publish import (
+    append_load,
+    current_pointer,
+    land_documents,
+    publish_dimension,
+    read_dimension,
+    truncate_reload,
+    write_observed,
+)
 from loadsmith.sources.documents import (
     first_rows,
     nested_as_string,
@@ -231,10 +239,16 @@ def q_type6_apply(spark, sf_dir):
 
 
 def _t6_two_batches(spark, sf_dir):
+    """Batch 1 is published (copy-on-write) and read back before batch 2 runs."""
     dim0, b1 = _t6_inputs(spark, sf_dir)
-    dim1 = type6_apply(dim0, b1, run_date=fx.RUN1)
+    base = scratch_path(spark, "type6_dim")
+    start = current_max_key(dim0, "Emp_Key")
+    ch1 = type6_changes(dim0, b1, run_date=fx.RUN1, start_after=start)
+    publish_dimension(spark, ch1, base, 1, "ID", "Emp_Key", start, include_history=True)
+    dim1 = read_dimension(spark, base)
     b2 = fx.type6_batch(spark, sf_dir, fx.BATCH2)
-    return type6_apply(dim1, b2, run_date=fx.RUN2)
+    return type6_apply(dim1, b2, run_date=fx.RUN2,
+                       start_after=current_pointer(spark, base)["max_key"])
 
 
 @register("type6_two_batches", sql.with_(sql.t6_two_batch_ctes(), "SELECT * FROM s2_next"))

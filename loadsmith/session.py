@@ -56,3 +56,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/loadsmith/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once to the shared scratch folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but in a single job (a reliable
+    ``checkpoint()`` of a DataFrame computes its plan twice: once to count,
+    once to write), and the files survive the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -5,9 +5,8 @@ written data is never counted by a second scan.
 
 Dimension publishing is copy-on-write, because plain parquet has no row-level
 UPDATE: closed rows are appended to a history folder partitioned by batch,
-the active rows of batch N are written to their own folder (hash-partitioned
-by the natural key so the next batch's lookup and expire joins find them
-co-located), and a small pointer file names the last complete batch.  Readers
+the active rows of batch N are written to their own folder, and a small
+pointer file names the last complete batch.  Readers
 resolve the pointer, so a batch's expiries and inserts become visible
 together, and a re-run of a failed batch overwrites only its own partition.
 """
@@ -69,30 +68,42 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
 
     ``include_history`` also writes the already-closed rows (first publish of a
     dimension that was loaded elsewhere); later batches only append the rows
-    they close.
+    they close.  The pointer records the batch and the largest surrogate key,
+    so the next batch starts numbering without scanning the dimension.
     """
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     root = base.rstrip("/")
     closed = changes.expired.unionByName(changes.history) if include_history else changes.expired
+    metrics_closed = {"max_key": F.max(surrogate)} if surrogate else {}
     # the folder name carries the batch (partition discovery adds ``_batch``)
     hist = write_observed(closed, f"{root}/history/_batch={batch}", mode="overwrite",
-                          name=f"expired_{batch}")
-    metrics = {}
+                          metrics=metrics_closed, name=f"closed_{batch}")
+    metrics = {"max_key": F.max(surrogate)} if surrogate else {}
     if surrogate is not None and start_after is not None:
         metrics["inserted"] = F.count_if(F.col(surrogate) > F.lit(start_after))
-    active = write_observed(changes.active.repartition(n, key), f"{root}/active/v={batch}",
+    active = write_observed(changes.active, f"{root}/active/v={batch}",
                             mode="overwrite", metrics=metrics, name=f"active_{batch}")
-    spark.createDataFrame([(json.dumps({"batch": batch}),)], "value string") \
+    max_key = max([m for m in (hist.get("max_key"), active.get("max_key"), start_after)
+                   if m is not None], default=0)
+    pointer = {"batch": batch, "max_key": int(max_key)}
+    spark.createDataFrame([(json.dumps(pointer),)], "value string") \
         .coalesce(1).write.mode("overwrite").text(_pointer(root))
-    return {"expired": hist["rows"], "active": active["rows"], **{k: active[k] for k in metrics}}
+    out = {"closed": hist["rows"], "active": active["rows"], "max_key": int(max_key)}
+    if "inserted" in active:
+        out["inserted"] = active["inserted"]
+    return out
 
 
-def current_batch(spark: SparkSession, base: str) -> int | None:
+def current_pointer(spark: SparkSession, base: str) -> dict | None:
     try:
         row = spark.read.text(_pointer(base)).first()
     except Exception:  # noqa: BLE001 - nothing published yet
         return None
-    return None if row is None else int(json.loads(row[0])["batch"])
+    return None if row is None else json.loads(row[0])
+
+
+def current_batch(spark: SparkSession, base: str) -> int | None:
+    p = current_pointer(spark, base)
+    return None if p is None else int(p["batch"])
 
 
 def read_dimension(spark: SparkSession, base: str, batch: int | None = None) -> DataFrame:
@@ -102,8 +113,6 @@ def read_dimension(spark: SparkSession, base: str, batch: int | None = None) ->
     if b is None:
         raise FileNotFoundError(f"no dimension published under {root}")
     active = spark.read.parquet(f"{root}/active/v={b}")
-    try:
-        hist = spark.read.parquet(f"{root}/history").filter(F.col("_batch") <= b).drop("_batch")
-    except Exception:  # noqa: BLE001 - no closed rows yet
-        return active
+    hist = (spark.read.option("basePath", f"{root}/history").parquet(f"{root}/history")
+            .filter(F.col("_batch") <= b).drop("_batch"))
     return hist.unionByName(active)
