@@ -95,7 +95,7 @@ def flatten_array(df: DataFrame, column: str, max_items: int = 10, separator: st
     """Flattening on: element i (< max_items) becomes ``<col>_<i>[_<field>]`` columns."""
     cols = []
     for i in range(max_items):
-        item = F.col(column).getItem(i)
+        item = F.get(F.col(column), i)  # NULL past the end (ANSI-safe)
         if fields:
             cols += [item.getField(f).alias(f"{column}{separator}{i}{separator}{f}") for f in fields]
         else:
@@ -118,8 +118,10 @@ def rows_from_2d(df: DataFrame, names_col: str, rows_col: str, columns,
     """
     exploded = df.select(*passthrough, F.col(names_col).alias("_ls_names"),
                          F.explode(F.col(rows_col)).alias("_ls_row"))
-    named = exploded.select(*passthrough, F.map_from_arrays(F.col("_ls_names"), F.col("_ls_row"))
-                            .alias("_ls_map"))
+    # a ragged row (shorter or longer than the name list) pairs what it can
+    n = F.least(F.size("_ls_names"), F.size("_ls_row"))
+    named = exploded.select(*passthrough, F.map_from_arrays(F.slice("_ls_names", 1, n),
+                                                            F.slice("_ls_row", 1, n)).alias("_ls_map"))
     out = []
     for c in columns:
         v = F.col("_ls_map").getItem(c)
