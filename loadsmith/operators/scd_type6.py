@@ -30,7 +30,7 @@ def change_col(t) -> str:
 
 def type6_classify(source: DataFrame, active: DataFrame, spec: Type6Spec = Type6Spec()) -> DataFrame:
     """Each incoming row + d_* reference columns, ``matched``, change flags, ``route``."""
-    src = prepare_batch(source, spec.key, [spec.source_date], spec.batch_dedup)
+    src = prepare_batch(source, spec.key, [spec.source_date, *spec.dedup_order], spec.batch_dedup)
     ref_cols = [c for t in spec.tracked for c in (t.current, t.history)]
     ref = active_reference(active, spec.key, spec.surrogate, ref_cols, spec.dedupe_reference)
     joined = src.join(ref, spec.key, "left")

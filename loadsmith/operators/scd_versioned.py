@@ -27,7 +27,7 @@ from loadsmith.specs import VersionedSpec
 def versioned_classify(source: DataFrame, active: DataFrame,
                        spec: VersionedSpec = VersionedSpec()) -> DataFrame:
     """Incoming rows + d_* reference columns, ``matched``, ``not_same_day``, ``route``."""
-    src = prepare_batch(source, spec.key, [spec.date], spec.batch_dedup)
+    src = prepare_batch(source, spec.key, [spec.date, *spec.dedup_order], spec.batch_dedup)
     ref = active_reference(active, spec.key, spec.surrogate, [spec.date, spec.version],
                            spec.dedupe_reference)
     joined = src.join(ref, spec.key, "left")

@@ -55,7 +55,9 @@ from loadsmith.sources.documents import (
     to_name_value,
 )
 from loadsmith.functions.columns import blank_as_null, changed_flag
-from loadsmith.specs import DocumentSpec, Type6Spec
+from loadsmith.specs import DocumentSpec, Type6Spec, VersionedSpec
+from loadsmith.plans.jobs import run_product_load, run_type6_load, run_versioned_load, seed_dimension
+from loadsmith.plans.runlog import RunLog
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -622,4 +624,69 @@ def q_truncate_reload(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --- the loads end to end with their run log (G1-G3, C8, C9, K5) ---------------------
+
+_WM_SQL = "(SELECT COALESCE(MAX(STARTDate), DATE '1900-01-01') FROM dim0 WHERE Active_Flag = 1)"
+_JOB_CTES = [("dim0", sql.T6_DIM0),
+             ("jb", sql.job_batch(f"d > {_WM_SQL} AND d < {sql.lit_date(fx.RUN1)}", "Update_Date"))] + \
+    sql.t6_step("j", "dim0", "jb", fx.RUN1)
+_JOB_SPEC = Type6Spec(batch_dedup="latest", dedup_order=("o_orderkey",))
+
+
+def _type6_job(spark, sf_dir):
+    base = scratch_path(spark, "type6_job")
+    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
+    log = RunLog(spark, "Q2")
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, log, _JOB_SPEC,
+                   mode="incremental", upper=fx.RUN1)
+    return base, log
+
+
+@register("type6_job_runlog", sql.with_(
+    _JOB_CTES + [("src", f"SELECT * FROM ({sql.NAMED_SOURCE}) WHERE d > {_WM_SQL} "
+                         f"AND d < {sql.lit_date(fx.RUN1)}")],
+    "SELECT 'Q2' AS package, step, 'SUCCEEDED' AS status, CAST(row_count AS BIGINT) AS row_count FROM ("
+    "SELECT 'compute_watermark' AS step, 0 AS row_count "
+    "UNION ALL SELECT 'extract_source', (SELECT COUNT(*) FROM src) "
+    "UNION ALL SELECT 'read_active_dim', (SELECT COUNT(*) FROM dim0 WHERE Active_Flag = 1) "
+    "UNION ALL SELECT 'transform_type6', (SELECT COUNT(*) FROM j_ins) "
+    "UNION ALL SELECT 'expire_old_rows', (SELECT COUNT(DISTINCT x_key) FROM j_ins) "
+    "UNION ALL SELECT 'insert_new_versions', (SELECT COUNT(*) FROM j_ins))"))
+def q_type6_job_runlog(spark, sf_dir):
+    """The type-6 job's run log: one row per step, counts from observations."""
+    _, log = _type6_job(spark, sf_dir)
+    return log.frame().select("package", "step", "status", "row_count")
+
+
+@register("type6_job_dimension", sql.with_(_JOB_CTES, "SELECT * FROM j_next"))
+def q_type6_job_dimension(spark, sf_dir):
+    """Seeded dimension + one incremental job run, read back from the publish."""
+    base, _ = _type6_job(spark, sf_dir)
+    return read_dimension(spark, base)
+
+
+@register("versioned_job_dimension", sql.with_(
+    [("vdim0", sql.V_DIM0),
+     ("vj", sql.job_batch(f"d < {sql.lit_date(fx.RUN1)}", "Schedule_Date"))] + sql.v_step("vjob", "vdim0", "vj"),
+    "SELECT * FROM vjob_next"))
+def q_versioned_job_dimension(spark, sf_dir):
+    """Versioned job in full-extraction mode over the whole source before the run date."""
+    base = scratch_path(spark, "versioned_job")
+    seed_dimension(spark, fx.versioned_dim0(spark, sf_dir), base)
+    log = RunLog(spark, "Q3")
+    run_versioned_load(spark, fx.named_source(spark, sf_dir, "Schedule_Date"), base, log,
+                       VersionedSpec(batch_dedup="latest", dedup_order=("o_orderkey",)),
+                       mode="full", upper=fx.RUN1)
+    return read_dimension(spark, base)
+
+
+@register("product_job", f"SELECT * FROM ({sql.PRODUCTS}) ORDER BY id LIMIT 25")
+def q_product_job(spark, sf_dir):
+    """Product documents landed as files, first 25 loaded (L1 end to end)."""
+    docs = land_documents(fx.product_documents(spark, sf_dir), scratch_path(spark, "product_docs"))
+    target = scratch_path(spark, "product_q1")
+    run_product_load(spark, docs, target, RunLog(spark, "Q1"), max_rows=25)
+    return spark.read.parquet(target)
+
+
 FLAGSHIP = "type6_apply"

@@ -70,6 +70,14 @@ def employee_source(spark, sf_dir, lo=None, hi=None) -> DataFrame:
     return order_states(spark, sf_dir, lo, hi).withColumnRenamed("d", "Update_Date")
 
 
+def named_source(spark, sf_dir, date_name: str = "Update_Date") -> DataFrame:
+    """The source system table: one row per order with the customer's name."""
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ID"),
+                                                    F.col("c_name").alias("Name"))
+    return (order_states(spark, sf_dir).join(names, "ID", "left")
+            .select("ID", "Name", "City", "Email", F.col("d").alias(date_name), "o_orderkey"))
+
+
 def type6_batch(spark, sf_dir, window=BATCH1, null_city: bool = False) -> DataFrame:
     b = with_names(spark, sf_dir, latest_states(spark, sf_dir, *window))
     city = F.when(F.col("ID") % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("City")) \

@@ -143,21 +143,37 @@ def v_inserts(cls: str) -> str:
             f"d_Emp_Key AS x_key FROM {cls}")
 
 
-def v_ctes():
+def v_step(name: str, dim: str, batch: str):
+    """CTEs {name}_cls, {name}_ins, {name}_keyed, {name}_next for one versioned batch."""
     return [
-        ("vdim0", V_DIM0),
-        ("vb1", v_batch("vdim0")),
-        ("v_cls", v_classify("vb1", "vdim0")),
-        ("v_ins", v_inserts("v_cls")),
-        ("v_keyed", "SELECT CAST((SELECT COALESCE(MAX(Emp_Key), 0) FROM vdim0) + row_number() OVER "
-                    f"(ORDER BY ID, Schedule_Date) AS BIGINT) AS Emp_Key, {V_COLS} FROM v_ins"),
-        ("v_next", "SELECT Emp_Key, ID, Name, City, Email, Schedule_Date, "
-                   "CASE WHEN Active_Flag = 1 AND Emp_Key IN (SELECT x_key FROM v_ins) THEN 0 "
-                   "ELSE Active_Flag END AS Active_Flag, Version_No FROM vdim0 "
-                   f"UNION ALL SELECT Emp_Key, {V_COLS} FROM v_keyed"),
+        (f"{name}_cls", v_classify(batch, dim)),
+        (f"{name}_ins", v_inserts(f"{name}_cls")),
+        (f"{name}_keyed", f"SELECT CAST((SELECT COALESCE(MAX(Emp_Key), 0) FROM {dim}) + row_number() "
+                          f"OVER (ORDER BY ID, Schedule_Date) AS BIGINT) AS Emp_Key, {V_COLS} "
+                          f"FROM {name}_ins"),
+        (f"{name}_next", "SELECT Emp_Key, ID, Name, City, Email, Schedule_Date, "
+                         f"CASE WHEN Active_Flag = 1 AND Emp_Key IN (SELECT x_key FROM {name}_ins) "
+                         f"THEN 0 ELSE Active_Flag END AS Active_Flag, Version_No FROM {dim} "
+                         f"UNION ALL SELECT Emp_Key, {V_COLS} FROM {name}_keyed"),
     ]
 
 
+def v_ctes():
+    return [("vdim0", V_DIM0), ("vb1", v_batch("vdim0"))] + v_step("v", "vdim0", "vb1")
+
+
+# --- job-level sources ----------------------------------------------------------
+
+NAMED_SOURCE = ("SELECT s.o_custkey AS ID, c.c_name AS Name, s.o_orderpriority AS City, "
+                "s.o_orderstatus AS Email, CAST(s.o_orderdate AS DATE) AS d, s.o_orderkey "
+                "FROM orders s LEFT JOIN customer c ON c.c_custkey = s.o_custkey")
+
+
+def job_batch(where: str, date_name: str) -> str:
+    return (f"SELECT ID, Name, City, Email, d AS {date_name} FROM ({NAMED_SOURCE}) WHERE {where} "
+            f"QUALIFY row_number() OVER (PARTITION BY ID ORDER BY d DESC, o_orderkey DESC) = 1")
+
+
 # --- injected violations for the checks ----------------------------------------
 
 def t6_injected(dim: str) -> list[tuple[str, str]]:

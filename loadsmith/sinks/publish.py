@@ -84,7 +84,7 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
                             mode="overwrite", metrics=metrics, name=f"active_{batch}")
     max_key = max([m for m in (hist.get("max_key"), active.get("max_key"), start_after)
                    if m is not None], default=0)
-    pointer = {"batch": batch, "max_key": int(max_key)}
+    pointer = {"batch": batch, "max_key": int(max_key), "active": int(active["rows"])}
     spark.createDataFrame([(json.dumps(pointer),)], "value string") \
         .coalesce(1).write.mode("overwrite").text(_pointer(root))
     out = {"closed": hist["rows"], "active": active["rows"], "max_key": int(max_key)}

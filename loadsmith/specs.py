@@ -22,7 +22,7 @@ class Type6Spec:
     null_policy: ``ignore`` (a NULL on either side is "no change"),
     ``distinct`` (null-safe comparison) or ``fail`` (raise on a NULL compare).
     batch_dedup: ``none`` (every incoming row is applied), ``latest`` (keep the
-    latest row per key by ``source_date``) or ``error``.
+    latest row per key by ``source_date`` then ``dedup_order``) or ``error``.
     dedupe_reference: use one active row per key (lowest surrogate) for the
     lookup, as a lookup with duplicate reference keys does.
     """
@@ -40,6 +40,7 @@ class Type6Spec:
     flag: str = "Active_Flag"
     null_policy: str = "ignore"
     batch_dedup: str = "none"
+    dedup_order: tuple[str, ...] = ()
     dedupe_reference: bool = True
     new_route: str = "new"
     all_route: str = "both"
@@ -74,6 +75,7 @@ class VersionedSpec:
     version: str = "Version_No"
     null_policy: str = "ignore"
     batch_dedup: str = "none"
+    dedup_order: tuple[str, ...] = ()
     dedupe_reference: bool = True
     version_rule: str = "reference"
     new_route: str = "new"
