@@ -57,8 +57,9 @@ def land_documents(docs: DataFrame, path: str, column: str = "doc",
 
 # --- copy-on-write dimension ------------------------------------------------
 
-def _pointer(base: str) -> str:
-    return f"{base.rstrip('/')}/_current"
+def _pointer(base: str, batch: int | None = None) -> str:
+    root = base.rstrip("/")
+    return f"{root}/_current" if batch is None else f"{root}/_batches/b={batch}"
 
 
 def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch: int,
@@ -85,17 +86,19 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
     max_key = max([m for m in (hist.get("max_key"), active.get("max_key"), start_after)
                    if m is not None], default=0)
     pointer = {"batch": batch, "max_key": int(max_key), "active": int(active["rows"])}
-    spark.createDataFrame([(json.dumps(pointer),)], "value string") \
-        .coalesce(1).write.mode("overwrite").text(_pointer(root))
+    doc = spark.createDataFrame([(json.dumps(pointer),)], "value string").coalesce(1)
+    doc.write.mode("overwrite").text(_pointer(root, batch))   # state as of this batch
+    doc.write.mode("overwrite").text(_pointer(root))          # the switch readers follow
     out = {"closed": hist["rows"], "active": active["rows"], "max_key": int(max_key)}
     if "inserted" in active:
         out["inserted"] = active["inserted"]
     return out
 
 
-def current_pointer(spark: SparkSession, base: str) -> dict | None:
+def current_pointer(spark: SparkSession, base: str, batch: int | None = None) -> dict | None:
+    """The pointer of the last published batch (or of ``batch``)."""
     try:
-        row = spark.read.text(_pointer(base)).first()
+        row = spark.read.text(_pointer(base, batch)).first()
     except Exception:  # noqa: BLE001 - nothing published yet
         return None
     return None if row is None else json.loads(row[0])

@@ -1,0 +1,3 @@
+from loadsmith.streaming.scd_stream import latest_per_window, scd_micro_batches, start_scd_stream
+
+__all__ = ["latest_per_window", "scd_micro_batches", "start_scd_stream"]
