@@ -103,10 +103,13 @@ def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col
     return out.get("inserted", 0), out["closed"]
 
 
-def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date: dt.date,
+def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date: dt.date | None,
                    log: RunLog, spec: Type6Spec = Type6Spec(), mode: str = "incremental",
                    floor: str = DEFAULT_FLOOR, upper=None) -> tuple[int, int]:
-    """Returns (rows inserted, rows expired)."""
+    """Returns (rows inserted, rows expired).  ``run_date`` defaults to today."""
+    if run_date is None:
+        run_date = spark.range(1).select(F.current_date()).first()[0]
+
     def apply(dim, src, max_key):
         return type6_changes(dim, src, spec, run_date, start_after=max_key)
     return _dimension_job(spark, source, base, log, date_col=spec.source_date, dim_date=spec.start,

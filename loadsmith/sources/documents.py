@@ -60,7 +60,13 @@ def read_documents(spark: SparkSession, paths, spec: DocumentSpec, multi_line: b
         reader = reader.option("pathGlobFilter", path_glob)
     for k, v in {**spec.extra, **(options or {})}.items():
         reader = reader.option(k, v)
-    raw = reader.json(paths if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if ignore_missing:
+        paths = existing_paths(spark, paths)
+        if not paths:
+            return _explode(spark.createDataFrame([], spec.schema).select(
+                F.struct("*").alias("_ls_doc")), "_ls_doc", spec, [])
+    raw = reader.json(paths)
     meta, names = [], []
     if file_name:
         meta.append(F.col("_metadata.file_name").alias(FILE_NAME))
@@ -72,6 +78,19 @@ def read_documents(spark: SparkSession, paths, spec: DocumentSpec, multi_line: b
     return _explode(parsed, "_ls_doc", spec, names)
 
 
+def existing_paths(spark: SparkSession, paths) -> list[str]:
+    """Paths (or globs) that match something; a metadata call, no data read."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        found = hp.getFileSystem(conf).globStatus(hp)
+        if found is not None and len(found) > 0:
+            out.append(p)
+    return out
+
+
 def read_raw_documents(spark: SparkSession, paths, whole_file: bool = False) -> DataFrame:
     """One string per document (``value``): per line, or per file with ``whole_file``."""
     return spark.read.text(paths, wholetext=whole_file)

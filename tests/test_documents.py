@@ -120,3 +120,32 @@ def test_replace_before_parse_and_blank_as_null(spark):
     assert parse_documents(fixed, "doc", SPEC).collect()[0]["title"] == "new"
     t = spark.createDataFrame([("",), ("  ",), ("1.5",), ("x",)], "v string")
     assert [r[0] for r in t.select(blank_as_null(F.col("v"), "double")).collect()] == [None, None, 1.5, None]
+
+
+def test_compressed_many_paths_options_and_permissive(spark, tmp_dir):
+    d = docs(spark, [{"products": [product(i)], "total": 1, "skip": i, "limit": 1} for i in range(4)])
+    a = land_documents(d.limit(2), f"{tmp_dir}/a", compression="gzip")
+    b = land_documents(d.subtract(d.limit(2)), f"{tmp_dir}/nested/b")
+    spec = DocumentSpec(schema=SCHEMA, array_path="products")
+    assert read_documents(spark, [a, b], spec).count() == 4
+    assert read_documents(spark, f"{tmp_dir}/nested", spec, recursive=True).count() == 2
+    assert read_documents(spark, [a, f"{tmp_dir}/missing"], spec, ignore_missing=True).count() == 2
+    bad = f"{tmp_dir}/bad"
+    spark.createDataFrame([('{"products": [{"id": 1}]}',), ("{oops",)], "value string").coalesce(1) \
+        .write.text(bad)
+    with pytest.raises(Exception):
+        read_documents(spark, bad, spec).collect()
+    assert read_documents(spark, bad, spec, mode="PERMISSIVE").count() == 1
+    dated = f"{tmp_dir}/dated"
+    spark.createDataFrame([('{"rows": [{"d": "03/12/2026"}]}',)], "value string").write.text(dated)
+    dspec = DocumentSpec(schema="rows array<struct<d: date>>", array_path="rows",
+                         extra={"dateFormat": "dd/MM/yyyy"})
+    import datetime as dt
+    assert read_documents(spark, dated, dspec).collect()[0]["d"] == dt.date(2026, 12, 3)
+
+
+def test_create_table_if_missing(spark, tmp_dir):
+    from loadsmith.sinks.ddl import PRODUCT_DDL, create_table_if_missing
+    create_table_if_missing(spark, "product_q1_t", PRODUCT_DDL, location=f"{tmp_dir}/p")
+    create_table_if_missing(spark, "product_q1_t", PRODUCT_DDL, location=f"{tmp_dir}/p")
+    assert spark.table("product_q1_t").columns[:3] == ["id", "title", "price"]
