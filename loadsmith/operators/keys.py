@@ -5,7 +5,8 @@ the rows are range-partitioned on the ordering (plus a random tie-break, so a
 run of equal keys still spreads over partitions), numbered inside each
 partition with ``monotonically_increasing_id`` and shifted by the row count of
 all earlier partitions.  The per-partition counts have one row per partition,
-a size bounded by the partition count, which is what makes the broadcast safe.
+a size bounded by the partition count: they are brought to the driver and
+applied as a literal map, so the keyed frame is a plain scan + projection.
 The numbered frame is written once to the shared checkpoint folder and read
 back, so a re-execution (lost executor, second action) cannot renumber rows
 and the counts and the rows always come from the same copy.
@@ -13,7 +14,7 @@ and the counts and the rows always come from the same copy.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadsmith.session import materialize
@@ -40,6 +41,13 @@ def assign_surrogate_keys(df: DataFrame, key: str, order_by, start_after: int =
                           num_partitions: int | None = None,
                           key_type: str = "bigint", seed: int = 17) -> DataFrame:
     """Add ``key`` = start_after + 1, 2, ... in ``order_by`` order, in parallel."""
+    return keyed_with_max(df, key, order_by, start_after, num_partitions, key_type, seed)[0]
+
+
+def keyed_with_max(df: DataFrame, key: str, order_by, start_after: int = 0,
+                   num_partitions: int | None = None, key_type: str = "bigint",
+                   seed: int = 17) -> tuple[DataFrame, int]:
+    """``assign_surrogate_keys`` plus the largest key handed out (no extra scan)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_by)
@@ -48,14 +56,20 @@ def assign_surrogate_keys(df: DataFrame, key: str, order_by, start_after: int =
                .sortWithinPartitions(*order, F.col("_ls_tb")))
     rid = F.monotonically_increasing_id()
     tagged = materialize(ordered.withColumn("_ls_rid", rid).drop("_ls_tb"), "keys")
-    tagged = (tagged.withColumn("_ls_pid", F.shiftright("_ls_rid", _ROW_BITS))
-              .withColumn("_ls_pos", F.col("_ls_rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-              .drop("_ls_rid"))
-    counts = tagged.groupBy("_ls_pid").agg(F.count(F.lit(1)).alias("_ls_n"))
-    before = Window.orderBy("_ls_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_ls_pid", F.coalesce(F.sum("_ls_n").over(before), F.lit(0)).alias("_ls_off"))
-    keyed = tagged.join(F.broadcast(offsets), "_ls_pid")
-    value = (F.lit(start_after).cast("bigint") + F.col("_ls_off") + F.col("_ls_pos") + 1)
-    return (keyed.withColumn(key, value.cast(key_type))
-            .drop("_ls_pid", "_ls_pos", "_ls_off"))
+    pid = F.shiftright("_ls_rid", _ROW_BITS)
+    pos = F.col("_ls_rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    # one row per partition of the numbered copy: at most n rows reach the driver
+    counts = sorted((int(r[0]), int(r[1])) for r in
+                    tagged.groupBy(pid.alias("p")).agg(F.count(F.lit(1))).collect())
+    if len(counts) > n:
+        raise RuntimeError("more numbered partitions than requested")
+    offsets, running = {}, 0
+    for p, c in counts:
+        offsets[p] = running
+        running += c
+    if not offsets:
+        return tagged.withColumn(key, F.lit(None).cast(key_type)).drop("_ls_rid"), start_after
+    off = F.create_map(*[F.lit(x) for p, o in offsets.items() for x in (p, o)])
+    value = F.lit(start_after).cast("bigint") + off.getItem(pid) + pos + 1
+    return (tagged.withColumn(key, value.cast(key_type)).drop("_ls_rid"),
+            start_after + running)

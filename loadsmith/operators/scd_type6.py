@@ -87,11 +87,16 @@ def spec_changed(spec: Type6Spec) -> list[str]:
 
 
 def type6_changes(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec(),
-                  run_date=None, start_after: int | None = None) -> ChangeSet:
-    """Apply one batch; returns the parts of the next dimension."""
+                  run_date=None, start_after: int | None = None,
+                  active: DataFrame | None = None, history: DataFrame | None = None) -> ChangeSet:
+    """Apply one batch; returns the parts of the next dimension.
+
+    ``active``/``history`` may be given separately (e.g. a bucketed active table),
+    otherwise they are the two halves of ``dim`` by flag.
+    """
     flag = F.col(spec.flag)
-    active = dim.filter(flag == 1)
-    history = dim.filter(flag.isNull() | (flag != 1))
+    active = dim.filter(flag == 1) if active is None else active
+    history = dim.filter(flag.isNull() | (flag != 1)) if history is None else history
     classified = type6_classify(source, active, spec)
     inserts = _insert_rows(classified, spec, run_date)
     if start_after is None:

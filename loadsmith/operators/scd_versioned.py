@@ -79,10 +79,11 @@ def versioned_expire(classified: DataFrame, spec: VersionedSpec = VersionedSpec(
 
 
 def versioned_changes(dim: DataFrame, source: DataFrame, spec: VersionedSpec = VersionedSpec(),
-                      start_after: int | None = None) -> ChangeSet:
+                      start_after: int | None = None, active: DataFrame | None = None,
+                      history: DataFrame | None = None) -> ChangeSet:
     flag = F.col(spec.flag)
-    active = dim.filter(flag == 1)
-    history = dim.filter(flag.isNull() | (flag != 1))
+    active = dim.filter(flag == 1) if active is None else active
+    history = dim.filter(flag.isNull() | (flag != 1)) if history is None else history
     classified = versioned_classify(source, active, spec)
     inserts = _insert_rows(classified, spec)
     if start_after is None:

@@ -20,7 +20,13 @@ from loadsmith.operators.scd_versioned import versioned_changes
 from loadsmith.operators.watermark import DEFAULT_FLOOR, incremental_scan, watermark_value
 from loadsmith.plans.products import PRODUCT_SPEC, transform_products
 from loadsmith.plans.runlog import RunLog, observed
-from loadsmith.sinks.publish import current_pointer, publish_dimension, read_dimension, write_observed
+from loadsmith.sinks.publish import (
+    current_pointer,
+    publish_dimension,
+    read_active,
+    read_history,
+    write_observed,
+)
 from loadsmith.sources.documents import first_rows, parse_documents, read_documents
 from loadsmith.specs import DocumentSpec, Type6Spec, VersionedSpec
 
@@ -57,28 +63,34 @@ def run_product_load(spark: SparkSession, documents, target: str, log: RunLog,
 
 
 def _current(spark, base, empty_schema):
+    """(dimension, active part, history part, pointer) of the last published batch."""
     ptr = current_pointer(spark, base)
     if ptr is None:
-        return spark.createDataFrame([], empty_schema), {"batch": 0, "max_key": 0, "active": 0}
-    return read_dimension(spark, base), ptr
+        empty = spark.createDataFrame([], empty_schema)
+        return empty, empty, empty, {"batch": 0, "max_key": 0, "active": 0}
+    b = int(ptr["batch"])
+    active, history = read_active(spark, base, b), read_history(spark, base, b)
+    return history.unionByName(active), active, history, ptr
 
 
 def seed_dimension(spark: SparkSession, dim: DataFrame, base: str, surrogate: str = "Emp_Key",
-                   flag: str = "Active_Flag") -> dict:
+                   flag: str = "Active_Flag", key: str | None = None,
+                   bucket_by: int | None = None) -> dict:
     """Publish an existing dimension as batch 0 (closed rows + active rows)."""
     active = dim.filter(F.col(flag) == 1)
     closed = dim.filter(F.col(flag).isNull() | (F.col(flag) != 1))
     empty = dim.limit(0)
     return publish_dimension(spark, ChangeSet(history=closed, active=active, expired=empty,
                                               inserted=empty),
-                             base, 0, None, surrogate, None, include_history=True)
+                             base, 0, key, surrogate, None, include_history=True,
+                             bucket_by=bucket_by)
 
 
 def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col: str,
                    dim_date: str, empty_schema: str, apply, key: str, surrogate: str,
-                   mode: str, floor: str, upper):
+                   mode: str, floor: str, upper, bucket_by: int | None = None):
     with log.step("compute_watermark"):
-        dim, ptr = _current(spark, base, empty_schema)
+        dim, active, history, ptr = _current(spark, base, empty_schema)
         batch, max_key = int(ptr["batch"]), int(ptr["max_key"])
         wm = watermark_value(dim, dim_date, floor=floor) if mode == "incremental" else None
     with log.step("extract_source") as h:
@@ -91,12 +103,13 @@ def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col
         # observed when the previous batch was published: no scan here
         h.set_row_count(int(ptr.get("active", 0)))
     with log.step("transform_type6") as h:
-        changes = apply(dim, src, max_key)
+        changes = apply(dim, src, max_key, active, history)
         h.set_row_count(changes.inserted.count())  # reads the materialized keyed rows
     with log.step("expire_old_rows") as h:
         # expiries and inserts are published together: one visible change
         out = publish_dimension(spark, changes, base, batch + 1, key, surrogate, max_key,
-                                include_history=(current_pointer(spark, base) is None))
+                                include_history=(current_pointer(spark, base) is None),
+                                bucket_by=bucket_by)
         h.set_row_count(out["closed"])
     with log.step("insert_new_versions") as h:
         h.set_row_count(out.get("inserted", 0))
@@ -105,25 +118,34 @@ def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col
 
 def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date: dt.date | None,
                    log: RunLog, spec: Type6Spec = Type6Spec(), mode: str = "incremental",
-                   floor: str = DEFAULT_FLOOR, upper=None) -> tuple[int, int]:
-    """Returns (rows inserted, rows expired).  ``run_date`` defaults to today."""
+                   floor: str = DEFAULT_FLOOR, upper=None,
+                   bucket_by: int | None = None) -> tuple[int, int]:
+    """Returns (rows inserted, rows expired).  ``run_date`` defaults to today.
+
+    ``bucket_by=n`` publishes the active rows bucketed on the natural key, so the
+    next run's lookup and expire joins do not shuffle the dimension."""
     if run_date is None:
         run_date = spark.range(1).select(F.current_date()).first()[0]
 
-    def apply(dim, src, max_key):
-        return type6_changes(dim, src, spec, run_date, start_after=max_key)
+    def apply(dim, src, max_key, active, history):
+        return type6_changes(dim, src, spec, run_date, start_after=max_key, active=active,
+                             history=history)
     return _dimension_job(spark, source, base, log, date_col=spec.source_date, dim_date=spec.start,
                           empty_schema=T6_EMPTY, apply=apply, key=spec.key,
-                          surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper)
+                          surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper,
+                          bucket_by=bucket_by)
 
 
 def run_versioned_load(spark: SparkSession, source: DataFrame, base: str, log: RunLog,
                        spec: VersionedSpec = VersionedSpec(), mode: str = "full",
-                       floor: str = DEFAULT_FLOOR, upper=None) -> tuple[int, int]:
+                       floor: str = DEFAULT_FLOOR, upper=None,
+                       bucket_by: int | None = None) -> tuple[int, int]:
     """Returns (rows inserted, rows expired).  ``full`` is the default: under the
     watermark the same-date branch cannot be reached."""
-    def apply(dim, src, max_key):
-        return versioned_changes(dim, src, spec, start_after=max_key)
+    def apply(dim, src, max_key, active, history):
+        return versioned_changes(dim, src, spec, start_after=max_key, active=active,
+                                 history=history)
     return _dimension_job(spark, source, base, log, date_col=spec.date, dim_date=spec.date,
                           empty_schema=V_EMPTY, apply=apply, key=spec.key,
-                          surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper)
+                          surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper,
+                          bucket_by=bucket_by)

@@ -13,17 +13,23 @@ together, and a re-run of a failed batch overwrites only its own partition.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from loadsmith.operators.scd_common import ChangeSet
 
 
 def write_observed(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",
-                   metrics: dict | None = None, partition_by=None, name: str = "write") -> dict:
-    """Write ``df`` and return metrics observed during that same write."""
+                   metrics: dict | None = None, partition_by=None, name: str = "write",
+                   bucket: tuple[int, str] | None = None, table: str | None = None) -> dict:
+    """Write ``df`` and return metrics observed during that same write.
+
+    ``bucket=(n, key)`` writes a bucketed catalog ``table`` at ``path``.
+    """
     obs = Observation(name)
     exprs = [F.count(F.lit(1)).alias("rows")]
     exprs += [v.alias(k) for k, v in (metrics or {}).items()]
@@ -31,7 +37,10 @@ def write_observed(df: DataFrame, path: str, mode: str = "append", fmt: str = "p
     writer = observed.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    writer.save(path)
+    if bucket:
+        writer.bucketBy(bucket[0], bucket[1]).sortBy(bucket[1]).option("path", path).saveAsTable(table)
+    else:
+        writer.save(path)
     return dict(obs.get)
 
 
@@ -62,15 +71,22 @@ def _pointer(base: str, batch: int | None = None) -> str:
     return f"{root}/_current" if batch is None else f"{root}/_batches/b={batch}"
 
 
+def _bucket_table(root: str, batch: int) -> str:
+    return f"loadsmith_dim_{hashlib.md5(root.encode()).hexdigest()[:12]}_v{batch}"
+
+
 def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch: int,
                       key: str, surrogate: str | None = None, start_after: int | None = None,
-                      include_history: bool = False, num_partitions: int | None = None) -> dict:
+                      include_history: bool = False, bucket_by: int | None = None) -> dict:
     """Publish one batch; returns counts observed during the writes.
 
     ``include_history`` also writes the already-closed rows (first publish of a
     dimension that was loaded elsewhere); later batches only append the rows
     they close.  The pointer records the batch and the largest surrogate key,
     so the next batch starts numbering without scanning the dimension.
+    ``bucket_by=n`` writes the active rows as a table bucketed (and sorted) on
+    ``key``: the next batch's lookup and expire joins then read them without a
+    shuffle.
     """
     root = base.rstrip("/")
     closed = changes.expired.unionByName(changes.history) if include_history else changes.expired
@@ -81,11 +97,16 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
     metrics = {"max_key": F.max(surrogate)} if surrogate else {}
     if surrogate is not None and start_after is not None:
         metrics["inserted"] = F.count_if(F.col(surrogate) > F.lit(start_after))
+    table = _bucket_table(root, batch) if bucket_by else None
     active = write_observed(changes.active, f"{root}/active/v={batch}",
-                            mode="overwrite", metrics=metrics, name=f"active_{batch}")
+                            mode="overwrite", metrics=metrics, name=f"active_{batch}",
+                            bucket=(bucket_by, key) if bucket_by else None, table=table)
     max_key = max([m for m in (hist.get("max_key"), active.get("max_key"), start_after)
                    if m is not None], default=0)
-    pointer = {"batch": batch, "max_key": int(max_key), "active": int(active["rows"])}
+    pointer = {"batch": batch, "max_key": int(max_key), "active": int(active["rows"]),
+               "schema": changes.active.schema.json()}
+    if bucket_by:
+        pointer.update({"bucketed": bucket_by, "key": key, "table": table})
     doc = spark.createDataFrame([(json.dumps(pointer),)], "value string").coalesce(1)
     doc.write.mode("overwrite").text(_pointer(root, batch))   # state as of this batch
     doc.write.mode("overwrite").text(_pointer(root))          # the switch readers follow
@@ -109,13 +130,46 @@ def current_batch(spark: SparkSession, base: str) -> int | None:
     return None if p is None else int(p["batch"])
 
 
+def read_active(spark: SparkSession, base: str, batch: int | None = None) -> DataFrame:
+    """The active rows of a batch (a bucketed table scan when published bucketed)."""
+    root = base.rstrip("/")
+    ptr = current_pointer(spark, root, batch)
+    if ptr is None:
+        raise FileNotFoundError(f"no dimension published under {root}")
+    path = f"{root}/active/v={ptr['batch']}"
+    if not ptr.get("bucketed"):
+        return _reader(spark, ptr).parquet(path)
+    name = ptr["table"]
+    if not spark.catalog.tableExists(name):  # a new session: register the files again
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                        for f in spark.read.parquet(path).schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet CLUSTERED BY ({ptr['key']}) "
+                  f"SORTED BY ({ptr['key']}) INTO {ptr['bucketed']} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def _reader(spark: SparkSession, ptr: dict | None, partition_col: str | None = None):
+    """A parquet reader with the schema kept in the pointer (no footer-reading job)."""
+    if not ptr or "schema" not in ptr:
+        return spark.read
+    schema = StructType.fromJson(json.loads(ptr["schema"]))
+    if partition_col:
+        schema = schema.add(partition_col, IntegerType())
+    return spark.read.schema(schema)
+
+
+def read_history(spark: SparkSession, base: str, batch: int) -> DataFrame:
+    root = base.rstrip("/")
+    ptr = current_pointer(spark, root, batch)
+    return (_reader(spark, ptr, "_batch").option("basePath", f"{root}/history")
+            .parquet(f"{root}/history").filter(F.col("_batch") <= batch).drop("_batch"))
+
+
 def read_dimension(spark: SparkSession, base: str, batch: int | None = None) -> DataFrame:
     """History up to the batch plus that batch's active rows."""
     root = base.rstrip("/")
     b = current_batch(spark, root) if batch is None else batch
     if b is None:
         raise FileNotFoundError(f"no dimension published under {root}")
-    active = spark.read.parquet(f"{root}/active/v={b}")
-    hist = (spark.read.option("basePath", f"{root}/history").parquet(f"{root}/history")
-            .filter(F.col("_batch") <= b).drop("_batch"))
-    return hist.unionByName(active)
+    active = read_active(spark, root, b)
+    return read_history(spark, root, b).unionByName(active)

@@ -44,3 +44,24 @@ def test_publish_two_batches_and_rerun(spark, tmp_dir):
     d2 = read_dimension(spark, base)
     assert d2.count() == 4 and d2.filter("Active_Flag = 1").count() == 2
     assert read_dimension(spark, base, batch=1).count() == 3  # older snapshot still readable
+
+
+def test_bucketed_active_avoids_dimension_shuffle(spark, tmp_dir):
+    from loadsmith.plans.jobs import T6_EMPTY, run_type6_load, seed_dimension
+    from loadsmith.plans.runlog import RunLog
+    from loadsmith.sinks.publish import read_active, read_history
+    from loadsmith.operators.scd_type6 import type6_classify
+    base = f"{tmp_dir}/bdim"
+    d0 = spark.createDataFrame([Row(i, i, f"n{i}", "Cairo", None, "a@x", None, dt.date(2024, 1, 1), None, 1)
+                                for i in range(1, 200)], T6_EMPTY)
+    seed_dimension(spark, d0, base, key="ID", bucket_by=4)
+    b1 = spark.createDataFrame([Row(i, f"n{i}", "Giza" if i % 2 else "Cairo", "a@x", dt.date(2024, 1, 12))
+                                for i in range(150, 260)], SRC)
+    ins, exp = run_type6_load(spark, b1, base, dt.date(2024, 1, 15), RunLog(spark, "Q2"), bucket_by=4)
+    assert exp == 25 and ins == 25 + 60  # odd matched IDs change city; 60 new
+    active = read_active(spark, base)
+    assert active.count() == 199 + 60
+    plan = type6_classify(b1, active)._jdf.queryExecution().executedPlan().toString()
+    # the bucketed active side is aggregated and joined without an exchange of its own
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+    assert read_history(spark, base, 1).count() == 25
