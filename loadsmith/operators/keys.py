@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from loadsmith.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
+_LITERAL_OFFSETS = 1024  # up to this many partitions the offsets are a literal map
 
 
 def current_max_key(df: DataFrame, key: str) -> int:
@@ -69,7 +70,15 @@ def keyed_with_max(df: DataFrame, key: str, order_by, start_after: int = 0,
         running += c
     if not offsets:
         return tagged.withColumn(key, F.lit(None).cast(key_type)).drop("_ls_rid"), start_after
-    off = F.create_map(*[F.lit(x) for p, o in offsets.items() for x in (p, o)])
-    value = F.lit(start_after).cast("bigint") + off.getItem(pid) + pos + 1
-    return (tagged.withColumn(key, value.cast(key_type)).drop("_ls_rid"),
+    if len(offsets) <= _LITERAL_OFFSETS:
+        off = F.create_map(*[F.lit(x) for p, o in offsets.items() for x in (p, o)]).getItem(pid)
+        base = tagged
+    else:
+        # many partitions: a literal that large bloats generated code, so join the
+        # (still one-row-per-partition, hence bounded) offsets table as a broadcast
+        table = spark.createDataFrame(list(offsets.items()), "_ls_p long, _ls_o long")
+        base = tagged.join(F.broadcast(table), pid == F.col("_ls_p")).drop("_ls_p")
+        off = F.col("_ls_o")
+    value = F.lit(start_after).cast("bigint") + off + pos + 1
+    return (base.withColumn(key, value.cast(key_type)).drop("_ls_rid", "_ls_o"),
             start_after + running)

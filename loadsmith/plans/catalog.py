@@ -24,6 +24,7 @@ from loadsmith.operators.scd_type6 import (
 )
 from loadsmith.operators.scd_versioned import (
     versioned_apply,
+    versioned_changes,
     versioned_classify,
     versioned_expire,
     versioned_inserts,
@@ -39,7 +40,9 @@ from loadsmith.sinks.publish import (
     current_pointer,
     land_documents,
     publish_dimension,
+    read_active,
     read_dimension,
+    read_history,
     truncate_reload,
     write_observed,
 )
@@ -241,16 +244,19 @@ def q_type6_apply(spark, sf_dir):
 
 
 def _t6_two_batches(spark, sf_dir):
-    """Batch 1 is published (copy-on-write) and read back before batch 2 runs."""
+    """Two published batches: each is applied to the dimension read back from the
+    previous publish (as a scheduled load would), and the result is read back."""
     dim0, b1 = _t6_inputs(spark, sf_dir)
     base = scratch_path(spark, "type6_dim")
     start = current_max_key(dim0, "Emp_Key")
     ch1 = type6_changes(dim0, b1, run_date=fx.RUN1, start_after=start)
-    publish_dimension(spark, ch1, base, 1, "ID", "Emp_Key", start, include_history=True)
-    dim1 = read_dimension(spark, base)
+    p1 = publish_dimension(spark, ch1, base, 1, "ID", "Emp_Key", start, include_history=True)
     b2 = fx.type6_batch(spark, sf_dir, fx.BATCH2)
-    return type6_apply(dim1, b2, run_date=fx.RUN2,
-                       start_after=current_pointer(spark, base)["max_key"])
+    ch2 = type6_changes(read_dimension(spark, base, 1), b2, run_date=fx.RUN2,
+                        start_after=p1["max_key"], active=read_active(spark, base, 1),
+                        history=read_history(spark, base, 1))
+    publish_dimension(spark, ch2, base, 2, "ID", "Emp_Key", p1["max_key"])
+    return read_dimension(spark, base)
 
 
 @register("type6_two_batches", sql.with_(sql.t6_two_batch_ctes(), "SELECT * FROM s2_next"))
@@ -360,8 +366,18 @@ def _t6_checked(spark, sf_dir) -> DataFrame:
     return base.unionByName(extra).unionByName(base.filter((f == 0) & (i % 71 == 0)))
 
 
+def _v_published(spark, sf_dir) -> DataFrame:
+    """The versioned batch applied and published, read back for the checks."""
+    dim0, b = _v_inputs(spark, sf_dir)
+    base = scratch_path(spark, "versioned_dim")
+    start = current_max_key(dim0, "Emp_Key")
+    publish_dimension(spark, versioned_changes(dim0, b, start_after=start), base, 1, "ID",
+                      "Emp_Key", start, include_history=True)
+    return read_dimension(spark, base)
+
+
 def _v_checked(spark, sf_dir) -> DataFrame:
-    d = q_versioned_apply(spark, sf_dir)
+    d = _v_published(spark, sf_dir)
     f, i = F.col("Active_Flag"), F.col("ID")
     base = d.withColumn("Version_No", F.when(i % 43 == 0, F.lit(0)).otherwise(F.col("Version_No")))
     extra = base.filter((f == 1) & (i % 53 == 0)).withColumn("Emp_Key", F.col("Emp_Key") + 10_000_000)

@@ -48,3 +48,10 @@ def test_first_per_key_picks_smallest_order(spark):
     assert out == {1: "a", 2: "z"}
     out = {r["k"]: r["v"] for r in first_per_key(df, "k", ["o"], ascending=False).collect()}
     assert out == {1: "c", 2: "z"}
+
+
+def test_keys_with_many_partitions_use_broadcast_offsets(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"))
+    out = assign_surrogate_keys(df, "sk", ["k"], start_after=10, num_partitions=1100).collect()
+    assert sorted(r["sk"] for r in out) == list(range(11, 5011))
+    assert all(r["sk"] == r["k"] + 11 for r in out)
