@@ -6,7 +6,8 @@ written data is never counted by a second scan.
 Dimension publishing is copy-on-write, because plain parquet has no row-level
 UPDATE: closed rows are appended to a history folder partitioned by batch,
 the active rows of batch N are written to their own folder, and a small
-pointer file names the last complete batch.  Readers
+pointer file for batch N is written last; readers take the highest complete
+batch.  Readers
 resolve the pointer, so a batch's expiries and inserts become visible
 together, and a re-run of a failed batch overwrites only its own partition.
 """
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -66,9 +68,40 @@ def land_documents(docs: DataFrame, path: str, column: str = "doc",
 
 # --- copy-on-write dimension ------------------------------------------------
 
-def _pointer(base: str, batch: int | None = None) -> str:
-    root = base.rstrip("/")
-    return f"{root}/_current" if batch is None else f"{root}/_batches/b={batch}"
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _pointer_path(root: str, batch: int) -> str:
+    return f"{root}/_batches/b={batch:09d}.json"
+
+
+def _put_pointer(spark: SparkSession, root: str, batch: int, doc: dict) -> None:
+    """Write the batch's pointer last, under a temporary name, then rename it:
+    its presence means the batch is complete, and it is never seen half-written."""
+    final = _pointer_path(root, batch)
+    jvm, tmp, fs = _fs(spark, f"{root}/_batches/.tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(json.dumps(doc).encode("utf-8")))
+    out.close()
+    target = jvm.org.apache.hadoop.fs.Path(final)
+    if fs.exists(target):  # re-run of the same batch: same content, replace it
+        fs.delete(target, False)
+    if not fs.rename(tmp, target):
+        raise OSError(f"could not publish pointer {final}")
+
+
+def _get_pointer(spark: SparkSession, path: str) -> dict | None:
+    jvm, p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return json.loads(reader.readLine())
+    finally:
+        reader.close()
 
 
 def _bucket_table(root: str, batch: int) -> str:
@@ -107,9 +140,7 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
                "schema": changes.active.schema.json()}
     if bucket_by:
         pointer.update({"bucketed": bucket_by, "key": key, "table": table})
-    doc = spark.createDataFrame([(json.dumps(pointer),)], "value string").coalesce(1)
-    doc.write.mode("overwrite").text(_pointer(root, batch))   # state as of this batch
-    doc.write.mode("overwrite").text(_pointer(root))          # the switch readers follow
+    _put_pointer(spark, root, batch, pointer)  # the switch readers follow
     out = {"closed": hist["rows"], "active": active["rows"], "max_key": int(max_key)}
     if "inserted" in active:
         out["inserted"] = active["inserted"]
@@ -117,12 +148,16 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
 
 
 def current_pointer(spark: SparkSession, base: str, batch: int | None = None) -> dict | None:
-    """The pointer of the last published batch (or of ``batch``)."""
-    try:
-        row = spark.read.text(_pointer(base, batch)).first()
-    except Exception:  # noqa: BLE001 - nothing published yet
+    """The pointer of the last complete batch (or of ``batch``); metadata only."""
+    root = base.rstrip("/")
+    if batch is not None:
+        return _get_pointer(spark, _pointer_path(root, batch))
+    jvm, pattern, fs = _fs(spark, f"{root}/_batches/b=*.json")
+    found = fs.globStatus(pattern)
+    if not found:
         return None
-    return None if row is None else json.loads(row[0])
+    last = max(int(st.getPath().getName()[2:-5]) for st in found)
+    return _get_pointer(spark, _pointer_path(root, last))
 
 
 def current_batch(spark: SparkSession, base: str) -> int | None:
