@@ -12,7 +12,8 @@ CORRUPT = "_corrupt_record"
 def parse_with_rejects(df: DataFrame, text_col: str, schema: str | StructType,
                        keep=None) -> tuple[DataFrame, DataFrame]:
     """Parse JSON text; return (good rows with fields, rejected rows with error columns)."""
-    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    ddl = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = df.select(*(keep or df.columns),
                        F.from_json(F.col(text_col), f"{ddl}, {CORRUPT} string",
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})

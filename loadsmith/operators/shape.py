@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def map_columns(df: DataFrame, mapping) -> DataFrame:
@@ -23,8 +24,7 @@ def derive(df: DataFrame, columns: dict) -> DataFrame:
 
 def conform(df: DataFrame, target_schema: str, defaults: dict | None = None) -> DataFrame:
     """Project to a target schema: missing columns NULL (or default), all cast."""
-    from pyspark.sql.types import _parse_datatype_string
-    st = _parse_datatype_string(target_schema)
+    st = StructType.fromDDL(target_schema)
     defaults = defaults or {}
     cols = []
     for f in st.fields:

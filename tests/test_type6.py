@@ -167,3 +167,16 @@ def test_empty_dimension_first_load(spark):
     s = src(spark, [Row(i, f"n{i}", "C", "E", dt.date(2024, 1, 1)) for i in range(5)])
     out = type6_apply(dim(spark, []), s, run_date=RUN).collect()
     assert sorted(r["Emp_Key"] for r in out) == [1, 2, 3, 4, 5]
+
+
+def test_heavy_key_in_batch_is_aggregated_not_windowed(spark):
+    # one ID carries a third of the batch; latest-per-key is combined map-side
+    rows = [Row(1, "Al", f"C{i}", "a@x", dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(600)]
+    rows += [Row(i, f"n{i}", "C", "E", dt.date(2024, 1, 2)) for i in range(2, 1202)]
+    s = src(spark, rows)
+    spec = Type6Spec(batch_dedup="latest")
+    cls = type6_classify(s, one_active(spark, 10), spec)
+    plan = cls._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    r = {x["ID"]: x for x in type6_inserts(cls, spec, RUN).collect()}
+    assert len(r) == 1201 and r[1]["CURRENTCity"] == "C599" and r[1]["HESTORICALCity"] == "Cairo"
