@@ -101,7 +101,8 @@ def type6_changes(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec
     inserts = _insert_rows(classified, spec, run_date)
     if start_after is None:
         start_after = current_max_key(dim, spec.surrogate)
-    keyed = assign_surrogate_keys(inserts, spec.surrogate, [spec.key, spec.start], start_after)
+    keyed = assign_surrogate_keys(inserts, spec.surrogate, [spec.key, spec.start], start_after,
+                                  key_type=spec.key_type)
     kept, closed = close_rows(active, keyed, spec.key, spec.surrogate, spec.flag,
                               spec.dedupe_reference, spec.end, run_date)
     cols = spec.dim_columns

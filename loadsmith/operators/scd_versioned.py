@@ -88,7 +88,8 @@ def versioned_changes(dim: DataFrame, source: DataFrame, spec: VersionedSpec = V
     inserts = _insert_rows(classified, spec)
     if start_after is None:
         start_after = current_max_key(dim, spec.surrogate)
-    keyed = assign_surrogate_keys(inserts, spec.surrogate, [spec.key, spec.date], start_after)
+    keyed = assign_surrogate_keys(inserts, spec.surrogate, [spec.key, spec.date], start_after,
+                                  key_type=spec.key_type)
     kept, closed = close_rows(active, keyed, spec.key, spec.surrogate, spec.flag,
                               spec.dedupe_reference)
     cols = spec.dim_columns

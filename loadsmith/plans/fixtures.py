@@ -43,7 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _midnight(d: dt.date):
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    """Midnight of ``d`` as TIMESTAMP_NTZ, independent of any time zone."""
+    return F.lit(f"{d.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def order_states(spark: SparkSession, sf_dir: str, lo: dt.date | None = None,

@@ -19,7 +19,7 @@ from loadsmith.operators.scd_type6 import type6_changes
 from loadsmith.operators.scd_versioned import versioned_changes
 from loadsmith.operators.watermark import DEFAULT_FLOOR, incremental_scan, watermark_value
 from loadsmith.plans.products import PRODUCT_SPEC, transform_products
-from loadsmith.plans.runlog import RunLog, observed
+from loadsmith.plans.runlog import RunLog, observed, observed_value
 from loadsmith.sinks.publish import (
     current_pointer,
     publish_dimension,
@@ -88,16 +88,24 @@ def seed_dimension(spark: SparkSession, dim: DataFrame, base: str, surrogate: st
 
 def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col: str,
                    dim_date: str, empty_schema: str, apply, key: str, surrogate: str,
-                   mode: str, floor: str, upper, bucket_by: int | None = None):
+                   mode: str, floor: str, upper, bucket_by: int | None = None,
+                   watermark_from: str = "dimension"):
     with log.step("compute_watermark"):
         dim, active, history, ptr = _current(spark, base, empty_schema)
         batch, max_key = int(ptr["batch"]), int(ptr["max_key"])
-        wm = watermark_value(dim, dim_date, floor=floor) if mode == "incremental" else None
+        wm = None
+        if mode == "incremental" and watermark_from == "source":
+            # the latest source date already loaded: updates dated before the last
+            # run date but loaded later are still read
+            wm = dt.date.fromisoformat(ptr.get("source_watermark") or floor)
+        elif mode == "incremental":
+            wm = watermark_value(dim, dim_date, floor=floor)
     with log.step("extract_source") as h:
         src = incremental_scan(source, date_col, wm, upper) if wm is not None else (
             source if upper is None else source.filter(F.col(date_col) < F.lit(upper).cast("date")))
         obs_src = Observation("source")
-        src = src.observe(obs_src, F.count(F.lit(1)).alias("n"))
+        src = src.observe(obs_src, F.count(F.lit(1)).alias("n"),
+                          F.max(F.col(date_col).cast("date")).alias("max_date"))
         h.set_row_count(observed(obs_src))
     with log.step("read_active_dim") as h:
         # observed when the previous batch was published: no scan here
@@ -107,9 +115,12 @@ def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col
         h.set_row_count(changes.inserted.count())  # reads the materialized keyed rows
     with log.step("expire_old_rows") as h:
         # expiries and inserts are published together: one visible change
+        seen = observed_value(obs_src, "max_date")
+        prior = ptr.get("source_watermark")
+        source_wm = max([d for d in (seen.isoformat() if seen else None, prior) if d], default=None)
         out = publish_dimension(spark, changes, base, batch + 1, key, surrogate, max_key,
                                 include_history=(current_pointer(spark, base) is None),
-                                bucket_by=bucket_by)
+                                bucket_by=bucket_by, extra={"source_watermark": source_wm})
         h.set_row_count(out["closed"])
     with log.step("insert_new_versions") as h:
         h.set_row_count(out.get("inserted", 0))
@@ -119,9 +130,15 @@ def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col
 def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date: dt.date | None,
                    log: RunLog, spec: Type6Spec = Type6Spec(), mode: str = "incremental",
                    floor: str = DEFAULT_FLOOR, upper=None,
-                   bucket_by: int | None = None) -> tuple[int, int]:
+                   bucket_by: int | None = None,
+                   watermark_from: str = "dimension") -> tuple[int, int]:
     """Returns (rows inserted, rows expired).  ``run_date`` defaults to today.
 
+    ``watermark_from``: ``dimension`` (max start date of the active rows, as the
+    reference does; changed rows start at the run date, so an update dated
+    before the last run but loaded later is skipped) or ``source`` (the latest
+    source date already loaded, kept in the publish pointer).
+
     ``bucket_by=n`` publishes the active rows bucketed on the natural key, so the
     next run's lookup and expire joins do not shuffle the dimension."""
     if run_date is None:
@@ -133,7 +150,7 @@ def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date:
     return _dimension_job(spark, source, base, log, date_col=spec.source_date, dim_date=spec.start,
                           empty_schema=T6_EMPTY, apply=apply, key=spec.key,
                           surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper,
-                          bucket_by=bucket_by)
+                          bucket_by=bucket_by, watermark_from=watermark_from)
 
 
 def run_versioned_load(spark: SparkSession, source: DataFrame, base: str, log: RunLog,

@@ -29,9 +29,19 @@ class StepHandle:
         self.row_count = n if callable(n) else int(n or 0)
 
 
+def observed_value(obs, name: str, default=None):
+    """A metric of an Observation; ``default`` when nothing was observed (the
+    optimizer removes the metrics of a relation it proves empty)."""
+    try:
+        value = obs.get.get(name)
+    except Exception:  # noqa: BLE001 - PySpark raises instead of returning no metrics
+        return default
+    return default if value is None else value
+
+
 def observed(obs, name: str = "n"):
     """Deferred row count from an Observation."""
-    return lambda: int(obs.get[name])
+    return lambda: int(observed_value(obs, name, 0))
 
 
 class RunLog:

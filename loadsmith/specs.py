@@ -42,6 +42,7 @@ class Type6Spec:
     batch_dedup: str = "none"
     dedup_order: tuple[str, ...] = ()
     dedupe_reference: bool = True
+    key_type: str = "bigint"
     new_route: str = "new"
     all_route: str = "both"
     none_route: str = "none"
@@ -77,6 +78,7 @@ class VersionedSpec:
     batch_dedup: str = "none"
     dedup_order: tuple[str, ...] = ()
     dedupe_reference: bool = True
+    key_type: str = "bigint"
     version_rule: str = "reference"
     new_route: str = "new"
     changed_route: str = "changed"
