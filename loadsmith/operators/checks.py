@@ -90,6 +90,23 @@ def q2_type6_history(dim: DataFrame, key: str = "ID", start: str = "STARTDate",
     return violation_count(ranked, bad, "Q2_type6_history")
 
 
+def q2_type6_history_strict(dim: DataFrame, key: str = "ID", start: str = "STARTDate",
+                            surrogate: str = "Emp_Key",
+                            pairs=(("CURRENTCity", "HESTORICALCity"),
+                                   ("CURRENTEmail", "HESTORICALEmail")),
+                            method: str = "sequence") -> DataFrame:
+    """Strict history check over every tracked pair, NULL-safe, in one pass:
+    a version whose current value differs from the previous version's must hold
+    that previous value as its history."""
+    ranked = previous_values(dim, key, [start, surrogate], [c for c, _ in pairs], method=method)
+    bad = F.lit(False)
+    for cur, hist in pairs:
+        prev = F.col("prev_" + cur)
+        first = F.col("prev_" + pairs[0][0]).isNull() & F.col("prev_" + pairs[-1][0]).isNull()
+        bad = bad | (~first & ~F.col(cur).eqNullSafe(prev) & ~F.col(hist).eqNullSafe(prev))
+    return violation_count(ranked, bad, "Q2_type6_history_strict")
+
+
 def q2_emp_key_unique(dim: DataFrame, surrogate: str = "Emp_Key") -> DataFrame:
     return duplicate_count(dim, surrogate, "Q2_emp_key_unique")
 

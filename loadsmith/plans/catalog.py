@@ -188,12 +188,14 @@ _SRC_SQL = ("SELECT o_custkey AS ID, o_orderpriority AS City, o_orderstatus AS E
     f"FROM dim0 WHERE Active_Flag = 1) AND Update_Date < {sql.lit_date(fx.RUN1)}"))
 def q_incremental_scan(spark, sf_dir):
     wm = watermark_value(fx.type6_dim0(spark, sf_dir), "STARTDate")
-    return incremental_scan(fx.employee_source(spark, sf_dir), "Update_Date", wm, upper=fx.RUN1)
+    return incremental_scan(fx.employee_source(spark, sf_dir), "Update_Date", wm, upper=fx.RUN1,
+                            timestamp_col="o_orderdate").drop("o_orderdate")
 
 
 @register("full_scan", f"SELECT * FROM ({_SRC_SQL}) WHERE Update_Date < {sql.lit_date(fx.RUN1)}")
 def q_full_scan(spark, sf_dir):
-    return full_scan(fx.employee_source(spark, sf_dir), upper=fx.RUN1, date_col="Update_Date")
+    return full_scan(fx.employee_source(spark, sf_dir), upper=fx.RUN1, date_col="Update_Date",
+                     timestamp_col="o_orderdate").drop("o_orderdate")
 
 
 # --- type-6 dimension (C1-C4, K5, W1) ------------------------------------------------------
@@ -654,7 +656,7 @@ def _type6_job(spark, sf_dir):
     seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
     log = RunLog(spark, "Q2")
     run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, log, _JOB_SPEC,
-                   mode="incremental", upper=fx.RUN1)
+                   mode="incremental", upper=fx.RUN1, timestamp_col="o_orderdate")
     return base, log
 
 
@@ -692,7 +694,7 @@ def q_versioned_job_dimension(spark, sf_dir):
     log = RunLog(spark, "Q3")
     run_versioned_load(spark, fx.named_source(spark, sf_dir, "Schedule_Date"), base, log,
                        VersionedSpec(batch_dedup="latest", dedup_order=("o_orderkey",)),
-                       mode="full", upper=fx.RUN1)
+                       mode="full", upper=fx.RUN1, timestamp_col="o_orderdate")
     return read_dimension(spark, base)
 
 

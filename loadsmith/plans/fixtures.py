@@ -50,16 +50,7 @@ def _midnight(d: dt.date):
 def order_states(spark: SparkSession, sf_dir: str, lo: dt.date | None = None,
                  hi: dt.date | None = None) -> DataFrame:
     """One source row per order, date window [lo, hi) on the raw column (pushed down)."""
-    o = table(spark, sf_dir, "orders")
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col("o_orderdate") >= _midnight(lo))
-    if hi is not None:
-        cond = cond & (F.col("o_orderdate") < _midnight(hi))
-    return o.filter(cond).select(
-        F.col("o_custkey").alias("ID"), F.col("o_orderpriority").alias("City"),
-        F.col("o_orderstatus").alias("Email"), F.col("o_orderdate").cast("date").alias("d"),
-        "o_orderkey")
+    return _states_with_raw(spark, sf_dir, lo, hi, "d").drop("o_orderdate")
 
 
 def latest_states(spark, sf_dir, lo=None, hi=None) -> DataFrame:
@@ -74,16 +65,30 @@ def with_names(spark, sf_dir, df: DataFrame) -> DataFrame:
 
 
 def employee_source(spark, sf_dir, lo=None, hi=None) -> DataFrame:
-    """Per-order source rows (ID, City, Email, Update_Date, o_orderkey)."""
-    return order_states(spark, sf_dir, lo, hi).withColumnRenamed("d", "Update_Date")
+    """Per-order source rows (ID, City, Email, Update_Date, o_orderkey) plus the raw
+    ``o_orderdate`` the date comes from (for pushed-down extraction bounds)."""
+    return _states_with_raw(spark, sf_dir, lo, hi, "Update_Date")
+
+
+def _states_with_raw(spark, sf_dir, lo, hi, date_name):
+    o = table(spark, sf_dir, "orders")
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col("o_orderdate") >= _midnight(lo))
+    if hi is not None:
+        cond = cond & (F.col("o_orderdate") < _midnight(hi))
+    return o.filter(cond).select(
+        F.col("o_custkey").alias("ID"), F.col("o_orderpriority").alias("City"),
+        F.col("o_orderstatus").alias("Email"), F.col("o_orderdate").cast("date").alias(date_name),
+        "o_orderkey", "o_orderdate")
 
 
 def named_source(spark, sf_dir, date_name: str = "Update_Date") -> DataFrame:
     """The source system table: one row per order with the customer's name."""
     names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ID"),
                                                     F.col("c_name").alias("Name"))
-    return (order_states(spark, sf_dir).join(names, "ID", "left")
-            .select("ID", "Name", "City", "Email", F.col("d").alias(date_name), "o_orderkey"))
+    return (_states_with_raw(spark, sf_dir, None, None, date_name).join(names, "ID", "left")
+            .select("ID", "Name", "City", "Email", date_name, "o_orderkey", "o_orderdate"))
 
 
 def type6_batch(spark, sf_dir, window=BATCH1, null_city: bool = False) -> DataFrame:

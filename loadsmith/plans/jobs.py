@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from loadsmith.operators.scd_common import ChangeSet
 from loadsmith.operators.scd_type6 import type6_changes
 from loadsmith.operators.scd_versioned import versioned_changes
-from loadsmith.operators.watermark import DEFAULT_FLOOR, incremental_scan, watermark_value
+from loadsmith.operators.watermark import DEFAULT_FLOOR, full_scan, incremental_scan, watermark_value
 from loadsmith.plans.products import PRODUCT_SPEC, transform_products
 from loadsmith.plans.runlog import RunLog, observed, observed_value
 from loadsmith.sinks.publish import (
@@ -89,7 +89,7 @@ def seed_dimension(spark: SparkSession, dim: DataFrame, base: str, surrogate: st
 def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col: str,
                    dim_date: str, empty_schema: str, apply, key: str, surrogate: str,
                    mode: str, floor: str, upper, bucket_by: int | None = None,
-                   watermark_from: str = "dimension"):
+                   watermark_from: str = "dimension", timestamp_col: str | None = None):
     with log.step("compute_watermark"):
         dim, active, history, ptr = _current(spark, base, empty_schema)
         batch, max_key = int(ptr["batch"]), int(ptr["max_key"])
@@ -101,8 +101,8 @@ def _dimension_job(spark, source: DataFrame, base: str, log: RunLog, *, date_col
         elif mode == "incremental":
             wm = watermark_value(dim, dim_date, floor=floor)
     with log.step("extract_source") as h:
-        src = incremental_scan(source, date_col, wm, upper) if wm is not None else (
-            source if upper is None else source.filter(F.col(date_col) < F.lit(upper).cast("date")))
+        src = (incremental_scan(source, date_col, wm, upper, timestamp_col) if wm is not None
+               else full_scan(source, upper, date_col, timestamp_col))
         obs_src = Observation("source")
         src = src.observe(obs_src, F.count(F.lit(1)).alias("n"),
                           F.max(F.col(date_col).cast("date")).alias("max_date"))
@@ -131,7 +131,8 @@ def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date:
                    log: RunLog, spec: Type6Spec = Type6Spec(), mode: str = "incremental",
                    floor: str = DEFAULT_FLOOR, upper=None,
                    bucket_by: int | None = None,
-                   watermark_from: str = "dimension") -> tuple[int, int]:
+                   watermark_from: str = "dimension",
+                   timestamp_col: str | None = None) -> tuple[int, int]:
     """Returns (rows inserted, rows expired).  ``run_date`` defaults to today.
 
     ``watermark_from``: ``dimension`` (max start date of the active rows, as the
@@ -150,13 +151,15 @@ def run_type6_load(spark: SparkSession, source: DataFrame, base: str, run_date:
     return _dimension_job(spark, source, base, log, date_col=spec.source_date, dim_date=spec.start,
                           empty_schema=T6_EMPTY, apply=apply, key=spec.key,
                           surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper,
-                          bucket_by=bucket_by, watermark_from=watermark_from)
+                          bucket_by=bucket_by, watermark_from=watermark_from,
+                          timestamp_col=timestamp_col)
 
 
 def run_versioned_load(spark: SparkSession, source: DataFrame, base: str, log: RunLog,
                        spec: VersionedSpec = VersionedSpec(), mode: str = "full",
                        floor: str = DEFAULT_FLOOR, upper=None,
-                       bucket_by: int | None = None) -> tuple[int, int]:
+                       bucket_by: int | None = None,
+                       timestamp_col: str | None = None) -> tuple[int, int]:
     """Returns (rows inserted, rows expired).  ``full`` is the default: under the
     watermark the same-date branch cannot be reached."""
     def apply(dim, src, max_key, active, history):
@@ -165,4 +168,4 @@ def run_versioned_load(spark: SparkSession, source: DataFrame, base: str, log: R
     return _dimension_job(spark, source, base, log, date_col=spec.date, dim_date=spec.date,
                           empty_schema=V_EMPTY, apply=apply, key=spec.key,
                           surrogate=spec.surrogate, mode=mode, floor=floor, upper=upper,
-                          bucket_by=bucket_by)
+                          bucket_by=bucket_by, timestamp_col=timestamp_col)

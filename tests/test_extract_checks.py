@@ -77,3 +77,15 @@ def test_checks_find_injected_violations(spark):
     assert v(checks.q2_emp_key_unique(dim)) == 1
     multi = checks.predicate_checks(dim, {"a": F.col("ID") == 1, "b": F.col("ENDDate").isNull()})
     assert {r["check_name"]: r["violations"] for r in multi.collect()} == {"a": 2, "b": 2}
+
+
+def test_strict_history_covers_both_attributes(spark):
+    dim = spark.createDataFrame(
+        [(1, 1, "Cairo", None, "a@x", None, dt.date(2024, 1, 1)),
+         (2, 1, "Cairo", None, "b@x", "WRONG", dt.date(2024, 2, 1)),   # email changed, bad history
+         (3, 1, "Giza", "Cairo", "b@x", "WRONG", dt.date(2024, 3, 1)),  # city changed, good history
+         (4, 2, "Luxor", None, "c@x", None, dt.date(2024, 1, 1))],
+        "Emp_Key long, ID int, CURRENTCity string, HESTORICALCity string, CURRENTEmail string, "
+        "HESTORICALEmail string, STARTDate date")
+    assert checks.q2_type6_history_strict(dim).collect()[0]["violations"] == 1
+    assert checks.q2_type6_history(dim).collect()[0]["violations"] == 0
