@@ -75,7 +75,7 @@ def q2_dating(dim: DataFrame, flag: str = "Active_Flag", end: str = "ENDDate") -
 def q2_type6_history(dim: DataFrame, key: str = "ID", start: str = "STARTDate",
                      surrogate: str = "Emp_Key", current: str = "CURRENTCity",
                      history: str = "HESTORICALCity", strict: bool = False,
-                     method: str = "sequence") -> DataFrame:
+                     method: str = "auto") -> DataFrame:
     """City changed against the previous version but the history does not hold it.
 
     As written the comparison is ``<>``, so a NULL history is not flagged;
@@ -94,7 +94,7 @@ def q2_type6_history_strict(dim: DataFrame, key: str = "ID", start: str = "START
                             surrogate: str = "Emp_Key",
                             pairs=(("CURRENTCity", "HESTORICALCity"),
                                    ("CURRENTEmail", "HESTORICALEmail")),
-                            method: str = "sequence") -> DataFrame:
+                            method: str = "auto") -> DataFrame:
     """Strict history check over every tracked pair, NULL-safe, in one pass:
     a version whose current value differs from the previous version's must hold
     that previous value as its history."""

@@ -1,11 +1,13 @@
 """Previous-version values (W2): LAG over a natural key, split-safe.
 
 ``LAG(c) OVER (PARTITION BY k ORDER BY o)`` puts every row of one key in one
-task.  ``previous_values`` instead numbers all rows densely in (k, o) order in
+task.  Method ``sequence`` numbers all rows densely in (k, o) order in
 parallel (range partitioning splits a heavy key) and joins each row to the row
 numbered one less — an equi-join on a unique number, so no task gets more than
-its share.  ``method="window"`` keeps the plain window for keys known to be
-light.
+its share.  Method ``auto`` (default) counts rows per key first (combined
+map-side): keys with at most ``heavy_rows`` rows take the plain window, the
+few heavy keys (at most total / ``heavy_rows`` of them) take the sequence path.
+``window`` forces the plain window.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadsmith.operators.keys import assign_surrogate_keys
+from loadsmith.session import materialize
 
 
 def _as_list(x):
@@ -21,13 +24,33 @@ def _as_list(x):
 
 
 def previous_values(df: DataFrame, partition_by, order_by, columns, prefix: str = "prev_",
-                    method: str = "sequence") -> DataFrame:
+                    method: str = "auto", heavy_rows: int = 1_000_000) -> DataFrame:
     parts, order, cols = _as_list(partition_by), _as_list(order_by), _as_list(columns)
     if method == "window":
-        w = Window.partitionBy(*parts).orderBy(*order)
-        return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
-    if method != "sequence":
+        return _by_window(df, parts, order, cols, prefix)
+    if method == "sequence":
+        return _by_sequence(df, parts, order, cols, prefix)
+    if method != "auto":
         raise ValueError(f"unknown method {method!r}")
+    heavy = (df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_ls_n"))
+             .filter(F.col("_ls_n") > heavy_rows).select(*parts))
+    if heavy.limit(1).count() == 0:
+        return _by_window(df, parts, order, cols, prefix)
+    # at most total_rows / heavy_rows keys, so this side stays small
+    heavy = materialize(heavy, "heavy_keys")
+    on = [df[p].eqNullSafe(heavy[p]) for p in parts]
+    light = df.join(F.broadcast(heavy), on, "left_anti")
+    hot = df.join(F.broadcast(heavy), on, "left_semi")
+    return (_by_window(light, parts, order, cols, prefix)
+            .unionByName(_by_sequence(hot, parts, order, cols, prefix)))
+
+
+def _by_window(df, parts, order, cols, prefix):
+    w = Window.partitionBy(*parts).orderBy(*order)
+    return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
+
+
+def _by_sequence(df, parts, order, cols, prefix):
     numbered = assign_surrogate_keys(df, "_ls_seq", [*parts, *order])
     prev = numbered.select((F.col("_ls_seq") + 1).alias("_ls_seq"),
                            *[F.col(p).alias("_ls_pk_" + p) for p in parts],

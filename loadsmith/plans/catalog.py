@@ -707,4 +707,39 @@ def q_product_job(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@register("type6_job_bucketed_dimension", sql.with_(_JOB_CTES, "SELECT * FROM j_next"))
+def q_type6_job_bucketed(spark, sf_dir):
+    """The same job with the active rows published bucketed on the natural key."""
+    base = scratch_path(spark, "type6_job_bucketed")
+    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base, key="ID", bucket_by=8)
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, RunLog(spark, "Q2"),
+                   _JOB_SPEC, mode="incremental", upper=fx.RUN1, timestamp_col="o_orderdate",
+                   bucket_by=8)
+    return read_dimension(spark, base)
+
+
+@register("type6_job_source_watermark", sql.with_(
+    [("dim0", sql.T6_DIM0),
+     ("jb", sql.job_batch(f"d < {sql.lit_date(fx.RUN1)}", "Update_Date"))]
+    + sql.t6_step("j", "dim0", "jb", fx.RUN1), "SELECT * FROM j_next"))
+def q_type6_job_source_watermark(spark, sf_dir):
+    """Watermark kept from source dates: a seeded dimension has none yet, so the
+    first run reads everything before the run date."""
+    base = scratch_path(spark, "type6_job_srcwm")
+    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, RunLog(spark, "Q2"),
+                   _JOB_SPEC, mode="incremental", upper=fx.RUN1, timestamp_col="o_orderdate",
+                   watermark_from="source")
+    return read_dimension(spark, base)
+
+
+@register("versioned_conventional_apply", sql.with_(
+    [("vdim0", sql.V_DIM0), ("vb1", sql.v_batch("vdim0"))] + sql.v_step("vc", "vdim0", "vb1", "conventional"),
+    "SELECT * FROM vc_next"))
+def q_versioned_conventional(spark, sf_dir):
+    """Conventional version rule: a changed date gives old + 1, the same date nothing."""
+    dim0, b = _v_inputs(spark, sf_dir)
+    return versioned_apply(dim0, b, VersionedSpec(version_rule="conventional"))
+
+
 FLAGSHIP = "type6_apply"

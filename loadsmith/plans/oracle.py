@@ -137,17 +137,21 @@ def v_classify(batch: str, dim: str) -> str:
             f"ELSE 'same' END AS route FROM ({cls})")
 
 
-def v_inserts(cls: str) -> str:
+def v_inserts(cls: str, rule: str = "reference") -> str:
+    if rule == "conventional":  # changed date -> old + 1; same date -> nothing
+        return ("SELECT ID, Name, City, Email, Schedule_Date, 1 AS Active_Flag, "
+                "CAST(CASE WHEN route = 'changed' THEN d_Version_No + 1 ELSE 1 END AS INTEGER) "
+                f"AS Version_No, d_Emp_Key AS x_key FROM {cls} WHERE route <> 'same'")
     return ("SELECT ID, Name, City, Email, Schedule_Date, 1 AS Active_Flag, "
             "CAST(CASE WHEN route = 'same' THEN d_Version_No + 1 ELSE 1 END AS INTEGER) AS Version_No, "
             f"d_Emp_Key AS x_key FROM {cls}")
 
 
-def v_step(name: str, dim: str, batch: str):
+def v_step(name: str, dim: str, batch: str, rule: str = "reference"):
     """CTEs {name}_cls, {name}_ins, {name}_keyed, {name}_next for one versioned batch."""
     return [
         (f"{name}_cls", v_classify(batch, dim)),
-        (f"{name}_ins", v_inserts(f"{name}_cls")),
+        (f"{name}_ins", v_inserts(f"{name}_cls", rule)),
         (f"{name}_keyed", f"SELECT CAST((SELECT COALESCE(MAX(Emp_Key), 0) FROM {dim}) + row_number() "
                           f"OVER (ORDER BY ID, Schedule_Date) AS BIGINT) AS Emp_Key, {V_COLS} "
                           f"FROM {name}_ins"),

@@ -55,3 +55,12 @@ def test_keys_with_many_partitions_use_broadcast_offsets(spark):
     out = assign_surrogate_keys(df, "sk", ["k"], start_after=10, num_partitions=1100).collect()
     assert sorted(r["sk"] for r in out) == list(range(11, 5011))
     assert all(r["sk"] == r["k"] + 11 for r in out)
+
+
+def test_previous_values_auto_splits_heavy_keys(spark):
+    df = skewed(spark)  # key 0 holds 1000 of 3000 rows
+    w = Window.partitionBy("k").orderBy("seq")
+    want = sorted(map(tuple, df.select("seq", F.lag("v").over(w).alias("prev_v")).collect()))
+    for heavy_rows in (100, 10_000):  # split path, then pure window path
+        got = previous_values(df, "k", ["seq"], ["v"], method="auto", heavy_rows=heavy_rows)
+        assert sorted(map(tuple, got.select("seq", "prev_v").collect())) == want
