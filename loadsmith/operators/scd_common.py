@@ -26,6 +26,20 @@ def prepare_batch(source: DataFrame, key: str, order_by, batch_dedup: str) -> Da
     raise ValueError(f"unknown batch_dedup {batch_dedup!r}")
 
 
+def batch_touched(active: DataFrame, source: DataFrame, key: str, batch_rows: int | None,
+                  limit: int) -> DataFrame:
+    """Active rows whose key occurs in the batch, when the batch is known small.
+
+    ``batch_rows`` is an exact count of the batch, so the distinct keys
+    broadcast here are bounded by ``limit``; the active side is streamed
+    through a semi-join instead of being shuffled.  Rows it drops could not
+    match the batch anyway.
+    """
+    if not limit or batch_rows is None or batch_rows > limit:
+        return active
+    return active.join(F.broadcast(source.select(key).distinct()), key, "left_semi")
+
+
 def active_reference(active: DataFrame, key: str, surrogate: str, columns,
                      dedupe: bool) -> DataFrame:
     """Active rows as lookup reference: key, d_<surrogate>, d_<col>..., hit marker."""
@@ -57,20 +71,27 @@ class ChangeSet:
 
 
 def close_rows(active: DataFrame, keyed_inserts: DataFrame, key: str, surrogate: str,
-               flag: str, dedupe: bool, end: str | None = None, end_value=None):
+               flag: str, dedupe: bool, end: str | None = None, end_value=None,
+               broadcast_targets: bool = False):
     """Split the active rows into (still active, closed now).
 
     Expire targets travel with the keyed inserts (read from their checkpoint),
-    so the classify join is not executed a second time.
+    so the classify join is not executed a second time.  ``broadcast_targets``
+    is set by the caller only when the number of inserts (an upper bound of
+    the targets) is known to be small.
     """
     targets = keyed_inserts.filter(F.col(EXPIRES).isNotNull())
     if dedupe:
         targets = targets.groupBy(key).agg(F.max(EXPIRES).alias("_ls_x"))
+        if broadcast_targets:
+            targets = F.broadcast(targets)
         marked = active.join(targets, key, "left").withColumn(
             "_ls_close", F.coalesce(F.col(surrogate) == F.col("_ls_x"), F.lit(False)))
     else:
         targets = targets.select(key, F.col(EXPIRES).alias(surrogate)).distinct() \
             .withColumn("_ls_x", F.lit(True))
+        if broadcast_targets:
+            targets = F.broadcast(targets)
         marked = active.join(targets, [key, surrogate], "left").withColumn(
             "_ls_close", F.col("_ls_x").isNotNull())
     cols = active.columns

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadsmith.functions.columns import changed_flag, typed_null
-from loadsmith.operators.keys import assign_surrogate_keys, current_max_key
+from loadsmith.operators.keys import current_max_key, keyed_with_max
 from loadsmith.operators.scd_common import (
     EXPIRES,
     ChangeSet,
     active_reference,
+    batch_touched,
     close_rows,
     prepare_batch,
 )
@@ -28,10 +29,16 @@ def change_col(t) -> str:
     return "chg_" + t.source
 
 
-def type6_classify(source: DataFrame, active: DataFrame, spec: Type6Spec = Type6Spec()) -> DataFrame:
-    """Each incoming row + d_* reference columns, ``matched``, change flags, ``route``."""
+def type6_classify(source: DataFrame, active: DataFrame, spec: Type6Spec = Type6Spec(),
+                   batch_rows: int | None = None) -> DataFrame:
+    """Each incoming row + d_* reference columns, ``matched``, change flags, ``route``.
+
+    ``batch_rows``: an exact row count of ``source``, if known (see
+    ``Type6Spec.broadcast_batch_rows``).
+    """
     src = prepare_batch(source, spec.key, [spec.source_date, *spec.dedup_order], spec.batch_dedup)
     ref_cols = [c for t in spec.tracked for c in (t.current, t.history)]
+    active = batch_touched(active, source, spec.key, batch_rows, spec.broadcast_batch_rows)
     ref = active_reference(active, spec.key, spec.surrogate, ref_cols, spec.dedupe_reference)
     joined = src.join(ref, spec.key, "left")
     matched = F.col("_ls_hit").isNotNull()
@@ -97,14 +104,16 @@ def type6_changes(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec
     flag = F.col(spec.flag)
     active = dim.filter(flag == 1) if active is None else active
     history = dim.filter(flag.isNull() | (flag != 1)) if history is None else history
-    classified = type6_classify(source, active, spec)
+    batch_rows = source.count() if spec.broadcast_batch_rows else None
+    classified = type6_classify(source, active, spec, batch_rows)
     inserts = _insert_rows(classified, spec, run_date)
     if start_after is None:
         start_after = current_max_key(dim, spec.surrogate)
-    keyed = assign_surrogate_keys(inserts, spec.surrogate, [spec.key, spec.start], start_after,
-                                  key_type=spec.key_type)
+    keyed, max_key = keyed_with_max(inserts, spec.surrogate, [spec.key, spec.start], start_after,
+                                    key_type=spec.key_type)
+    small = bool(spec.broadcast_batch_rows) and max_key - start_after <= spec.broadcast_batch_rows
     kept, closed = close_rows(active, keyed, spec.key, spec.surrogate, spec.flag,
-                              spec.dedupe_reference, spec.end, run_date)
+                              spec.dedupe_reference, spec.end, run_date, broadcast_targets=small)
     cols = spec.dim_columns
     inserted = keyed.select(*cols)
     return ChangeSet(history=history.select(*cols), expired=closed.select(*cols),

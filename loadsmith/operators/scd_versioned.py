@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadsmith.functions.columns import changed_flag
-from loadsmith.operators.keys import assign_surrogate_keys, current_max_key
+from loadsmith.operators.keys import current_max_key, keyed_with_max
 from loadsmith.operators.scd_common import (
     EXPIRES,
     ChangeSet,
     active_reference,
+    batch_touched,
     close_rows,
     prepare_batch,
 )
@@ -25,9 +26,11 @@ from loadsmith.specs import VersionedSpec
 
 
 def versioned_classify(source: DataFrame, active: DataFrame,
-                       spec: VersionedSpec = VersionedSpec()) -> DataFrame:
+                       spec: VersionedSpec = VersionedSpec(),
+                       batch_rows: int | None = None) -> DataFrame:
     """Incoming rows + d_* reference columns, ``matched``, ``not_same_day``, ``route``."""
     src = prepare_batch(source, spec.key, [spec.date, *spec.dedup_order], spec.batch_dedup)
+    active = batch_touched(active, source, spec.key, batch_rows, spec.broadcast_batch_rows)
     ref = active_reference(active, spec.key, spec.surrogate, [spec.date, spec.version],
                            spec.dedupe_reference)
     joined = src.join(ref, spec.key, "left")
@@ -84,14 +87,16 @@ def versioned_changes(dim: DataFrame, source: DataFrame, spec: VersionedSpec = V
     flag = F.col(spec.flag)
     active = dim.filter(flag == 1) if active is None else active
     history = dim.filter(flag.isNull() | (flag != 1)) if history is None else history
-    classified = versioned_classify(source, active, spec)
+    batch_rows = source.count() if spec.broadcast_batch_rows else None
+    classified = versioned_classify(source, active, spec, batch_rows)
     inserts = _insert_rows(classified, spec)
     if start_after is None:
         start_after = current_max_key(dim, spec.surrogate)
-    keyed = assign_surrogate_keys(inserts, spec.surrogate, [spec.key, spec.date], start_after,
-                                  key_type=spec.key_type)
+    keyed, max_key = keyed_with_max(inserts, spec.surrogate, [spec.key, spec.date], start_after,
+                                    key_type=spec.key_type)
+    small = bool(spec.broadcast_batch_rows) and max_key - start_after <= spec.broadcast_batch_rows
     kept, closed = close_rows(active, keyed, spec.key, spec.surrogate, spec.flag,
-                              spec.dedupe_reference)
+                              spec.dedupe_reference, broadcast_targets=small)
     cols = spec.dim_columns
     inserted = keyed.select(*cols)
     return ChangeSet(history=history.select(*cols), expired=closed.select(*cols),

@@ -25,6 +25,9 @@ class Type6Spec:
     latest row per key by ``source_date`` then ``dedup_order``) or ``error``.
     dedupe_reference: use one active row per key (lowest surrogate) for the
     lookup, as a lookup with duplicate reference keys does.
+    broadcast_batch_rows: when the batch (counted) or the inserts (known exactly)
+    have at most this many rows, their keys are broadcast and the active rows are
+    only scanned, never shuffled; 0 leaves every join strategy to Catalyst.
     """
 
     key: str = "ID"
@@ -43,6 +46,7 @@ class Type6Spec:
     dedup_order: tuple[str, ...] = ()
     dedupe_reference: bool = True
     key_type: str = "bigint"
+    broadcast_batch_rows: int = 200_000
     new_route: str = "new"
     all_route: str = "both"
     none_route: str = "none"
@@ -79,6 +83,7 @@ class VersionedSpec:
     dedup_order: tuple[str, ...] = ()
     dedupe_reference: bool = True
     key_type: str = "bigint"
+    broadcast_batch_rows: int = 200_000
     version_rule: str = "reference"
     new_route: str = "new"
     changed_route: str = "changed"
