@@ -22,6 +22,7 @@ from loadsmith.operators.scd_common import (
     close_rows,
     prepare_batch,
 )
+from loadsmith.session import estimated_bytes, materialize_counted
 from loadsmith.specs import Type6Spec
 
 
@@ -104,14 +105,17 @@ def type6_changes(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec
     flag = F.col(spec.flag)
     active = dim.filter(flag == 1) if active is None else active
     history = dim.filter(flag.isNull() | (flag != 1)) if history is None else history
-    batch_rows = source.count() if spec.broadcast_batch_rows else None
+    batch_rows = None
+    if spec.broadcast_batch_rows and estimated_bytes(active) > spec.large_active_bytes:
+        # one write of the batch gives its exact size and spares re-reading the source
+        source, batch_rows = materialize_counted(source, "batch")
     classified = type6_classify(source, active, spec, batch_rows)
     inserts = _insert_rows(classified, spec, run_date)
     if start_after is None:
         start_after = current_max_key(dim, spec.surrogate)
     keyed, max_key = keyed_with_max(inserts, spec.surrogate, [spec.key, spec.start], start_after,
                                     key_type=spec.key_type)
-    small = bool(spec.broadcast_batch_rows) and max_key - start_after <= spec.broadcast_batch_rows
+    small = batch_rows is not None and max_key - start_after <= spec.broadcast_batch_rows
     kept, closed = close_rows(active, keyed, spec.key, spec.surrogate, spec.flag,
                               spec.dedupe_reference, spec.end, run_date, broadcast_targets=small)
     cols = spec.dim_columns

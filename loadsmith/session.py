@@ -58,6 +58,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/loadsmith/{name}-{uuid.uuid4().hex}"
 
 
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of a DataFrame's plan (statistics only, no job)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
+
+
+def materialize_counted(df, name: str = "stage"):
+    """``materialize`` plus the exact number of rows written (observed by the write)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(name)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    try:
+        rows = int(obs.get.get("n") or 0)
+    except Exception:  # noqa: BLE001 - a relation proven empty is written without metrics
+        rows = 0
+    return spark.read.schema(df.schema).parquet(path), rows
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` once to the shared scratch folder and read it back.
 

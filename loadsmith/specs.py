@@ -28,6 +28,8 @@ class Type6Spec:
     broadcast_batch_rows: when the batch (counted) or the inserts (known exactly)
     have at most this many rows, their keys are broadcast and the active rows are
     only scanned, never shuffled; 0 leaves every join strategy to Catalyst.
+    Used when the active rows are estimated above ``large_active_bytes``
+    (below that there is no shuffle worth saving).
     """
 
     key: str = "ID"
@@ -47,6 +49,7 @@ class Type6Spec:
     dedupe_reference: bool = True
     key_type: str = "bigint"
     broadcast_batch_rows: int = 200_000
+    large_active_bytes: int = 64 << 20
     new_route: str = "new"
     all_route: str = "both"
     none_route: str = "none"
@@ -84,6 +87,7 @@ class VersionedSpec:
     dedupe_reference: bool = True
     key_type: str = "bigint"
     broadcast_batch_rows: int = 200_000
+    large_active_bytes: int = 64 << 20
     version_rule: str = "reference"
     new_route: str = "new"
     changed_route: str = "changed"
