@@ -19,6 +19,9 @@ from loadsmith.operators.keys import assign_surrogate_keys
 from loadsmith.session import materialize
 
 
+_BROADCAST_KEYS = 1_000_000  # heavy-key lists up to this size are broadcast
+
+
 def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
@@ -36,11 +39,12 @@ def previous_values(df: DataFrame, partition_by, order_by, columns, prefix: str
              .filter(F.col("_ls_n") > heavy_rows).select(*parts))
     if heavy.limit(1).count() == 0:
         return _by_window(df, parts, order, cols, prefix)
-    # at most total_rows / heavy_rows keys, so this side stays small
+    # at most total_rows / heavy_rows keys; counted before it is broadcast
     heavy = materialize(heavy, "heavy_keys")
+    side = F.broadcast(heavy) if heavy.count() <= _BROADCAST_KEYS else heavy
     on = [df[p].eqNullSafe(heavy[p]) for p in parts]
-    light = df.join(F.broadcast(heavy), on, "left_anti")
-    hot = df.join(F.broadcast(heavy), on, "left_semi")
+    light = df.join(side, on, "left_anti")
+    hot = df.join(side, on, "left_semi")
     return (_by_window(light, parts, order, cols, prefix)
             .unionByName(_by_sequence(hot, parts, order, cols, prefix)))
 
