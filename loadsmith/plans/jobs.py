@@ -18,7 +18,8 @@ from loadsmith.operators.scd_common import ChangeSet
 from loadsmith.operators.scd_type6 import type6_changes
 from loadsmith.operators.scd_versioned import versioned_changes
 from loadsmith.operators.watermark import DEFAULT_FLOOR, full_scan, incremental_scan, watermark_value
-from loadsmith.plans.products import PRODUCT_SPEC, transform_products
+from loadsmith.operators.rejects import enforce, max_length
+from loadsmith.plans.products import PRODUCT_LENGTHS, PRODUCT_SPEC, transform_products
 from loadsmith.plans.runlog import RunLog, observed, observed_value
 from loadsmith.sinks.publish import (
     current_pointer,
@@ -38,9 +39,13 @@ V_EMPTY = ("Emp_Key bigint, ID bigint, Name string, City string, Email string, S
 
 def run_product_load(spark: SparkSession, documents, target: str, log: RunLog,
                      load_mode: str = "append", max_rows: int = 25,
-                     spec: DocumentSpec = PRODUCT_SPEC, order_by=("page",)) -> int:
+                     spec: DocumentSpec = PRODUCT_SPEC, order_by=("page",),
+                     rounding: str = "half_up", enforce_lengths: bool = False) -> int:
     """Documents (a path of JSON Lines files or a DataFrame with a ``doc`` column)
-    -> first ``max_rows`` products in document order -> typed target."""
+    -> first ``max_rows`` products in document order -> typed target.
+
+    ``enforce_lengths`` fails the load on a value longer than its VARCHAR limit
+    (checked inside the writing pass, no extra scan)."""
     with log.step("extract_json") as h:
         keyed = DocumentSpec(schema=spec.schema, array_path=spec.array_path,
                              parents=tuple(order_by), keep_position=True)
@@ -54,7 +59,9 @@ def run_product_load(spark: SparkSession, documents, target: str, log: RunLog,
         rows = rows.observe(obs_rows, F.count(F.lit(1)).alias("n"))
         h.set_row_count(observed(obs_rows))
     with log.step("transform") as h:
-        out = transform_products(rows)
+        out = transform_products(rows, rounding)
+        if enforce_lengths:
+            out = enforce(out, {f"{c}_length": max_length(c, n) for c, n in PRODUCT_LENGTHS.items()})
         h.set_row_count(observed(obs_rows))
     with log.step("load_product_q1") as h:
         written = write_observed(out, target, "overwrite" if load_mode == "overwrite" else "append")

@@ -16,6 +16,9 @@ PRODUCT_TARGET = ("id bigint, title string, price bigint, discountPercentage dou
 
 PRODUCT_SPEC = DocumentSpec(schema=fx.PRODUCT_SCHEMA, array_path="products")
 
+# String length limits of the product target (VARCHAR(n)).
+PRODUCT_LENGTHS = {"title": 152, "brand": 104, "category": 60}
+
 
 def transform_products(df: DataFrame, rounding: str = "half_up") -> DataFrame:
     """The eight mapped columns with warehouse types; price rounded to bigint."""

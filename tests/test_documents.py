@@ -149,3 +149,16 @@ def test_create_table_if_missing(spark, tmp_dir):
     create_table_if_missing(spark, "product_q1_t", PRODUCT_DDL, location=f"{tmp_dir}/p")
     create_table_if_missing(spark, "product_q1_t", PRODUCT_DDL, location=f"{tmp_dir}/p")
     assert spark.table("product_q1_t").columns[:3] == ["id", "title", "price"]
+
+
+def test_product_job_length_gate_and_rounding(spark, tmp_dir):
+    from loadsmith.plans.jobs import run_product_load
+    from loadsmith.plans.runlog import RunLog
+    p = product(1, price=2.5)
+    d = docs(spark, [{"products": [p], "total": 1, "skip": 0, "limit": 1, "page": 0}])
+    n = run_product_load(spark, d, f"{tmp_dir}/t", RunLog(spark, "Q1"), rounding="floor", enforce_lengths=True)
+    assert n == 1 and spark.read.parquet(f"{tmp_dir}/t").collect()[0]["price"] == 2
+    long = dict(p, title="x" * 200)
+    d2 = docs(spark, [{"products": [long], "total": 1, "skip": 0, "limit": 1, "page": 0}])
+    with pytest.raises(Exception):
+        run_product_load(spark, d2, f"{tmp_dir}/t2", RunLog(spark, "Q1"), enforce_lengths=True)
