@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loadsmith import Type6Spec, VersionedSpec
+from loadsmith.operators import checks
 from loadsmith.operators.scd_type6 import type6_apply
 from loadsmith.operators.scd_versioned import versioned_apply
 
@@ -48,6 +49,8 @@ def test_type6_invariants(spark, first, second, policy):
     check_type6(d2)
     again = type6_apply(d2, batch(spark, second, "Update_Date"), spec, dt.date(2024, 5, 1))
     assert again.count() == d2.count()  # re-applying the same batch changes nothing
+    if policy == "distinct":  # every change recorded: the history chain is strict
+        assert checks.q2_type6_history_strict(d2).collect()[0]["violations"] == 0
 
 
 @SETTINGS
