@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.session import materialize
+from loadsmith.session import estimated_bytes, materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
 _LITERAL_OFFSETS = 1024  # up to this many partitions the offsets are a literal map
@@ -34,6 +34,25 @@ def max_key_frame(df: DataFrame, key: str, alias: str = "max_key") -> DataFrame:
     return df.agg(F.coalesce(F.max(key).cast("bigint"), F.lit(0).cast("bigint")).alias(alias))
 
 
+_MAX_PARTITIONS = 100_000
+
+
+def range_partitions(df: DataFrame, requested: int | None = None) -> int:
+    """Partitions for numbering ``df``: sized by data volume, not by a constant.
+
+    Catalyst's size estimate divided by AQE's advisory partition size, at least
+    the default parallelism and at most 100,000.
+    """
+    if requested:
+        return requested
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    advisory = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    by_size = -(-estimated_bytes(df) // max(int(advisory), 1))
+    return int(min(max(by_size, spark.sparkContext.defaultParallelism, 1), _MAX_PARTITIONS))
+
+
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -50,7 +69,7 @@ def keyed_with_max(df: DataFrame, key: str, order_by, start_after: int = 0,
                    seed: int = 17) -> tuple[DataFrame, int]:
     """``assign_surrogate_keys`` plus the largest key handed out (no extra scan)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(df, num_partitions)
     order = _cols(order_by)
     staged = df.withColumn("_ls_tb", F.rand(seed))
     ordered = (staged.repartitionByRange(n, *order, F.col("_ls_tb"))
