@@ -38,10 +38,12 @@ _MAX_PARTITIONS = 100_000
 
 
 def range_partitions(df: DataFrame, requested: int | None = None) -> int:
-    """Partitions for numbering ``df``: sized by data volume, not by a constant.
+    """Partitions for numbering ``df``: fewer than the shuffle partitions when small.
 
     Catalyst's size estimate divided by AQE's advisory partition size, at least
-    the default parallelism and at most 100,000.
+    the default parallelism and at most ``spark.sql.shuffle.partitions`` (the
+    estimate of a join without statistics is the product of its inputs, so it
+    may only lower the count, never raise it).
     """
     if requested:
         return requested
@@ -50,7 +52,9 @@ def range_partitions(df: DataFrame, requested: int | None = None) -> int:
     advisory = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
         spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
     by_size = -(-estimated_bytes(df) // max(int(advisory), 1))
-    return int(min(max(by_size, spark.sparkContext.defaultParallelism, 1), _MAX_PARTITIONS))
+    floor = max(spark.sparkContext.defaultParallelism, 1)
+    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), floor)
+    return int(min(max(by_size, floor), cap, _MAX_PARTITIONS))
 
 
 def _cols(cols) -> list[Column]:
