@@ -15,12 +15,44 @@ URL_RULES = [
 ]
 
 
+def op1_topk_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.topk_mtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op2_langid_hd(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadsmith.llm.langid_hd import identify_languages
 
     return identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.lsh_forest import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from loadsmith.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op5_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.html_consensus import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.debruijn import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,9 +82,38 @@ def op10_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_langid_hd, op7_wordpiece_counts, op8_decontaminate, op9_url_trie, op10_interleave)}
+    op1_topk_mtree, op2_langid_hd, op3_lsh_forest, op4_best_fit_packing, op5_html_consensus, op6_debruijn_dedup,
+    op7_wordpiece_counts, op8_decontaminate, op9_url_trie, op10_interleave)}
 
 ORACLE = {
+    "op1_topk_mtree": """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+""",
+    "op6_debruijn_dedup": r"""
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+k AS (
+    SELECT r, s, md5(array_to_string(list_slice(w, s, s + 34), ' ')) AS h
+    FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+again AS (SELECT r, s FROM k WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, unnest(range(s, s + 35)) AS pos FROM again),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (
+    SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t
+    FROM words ANTI JOIN gone USING (r, pos) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed,
+    sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+""",
     "op8_decontaminate": r"""
 WITH d AS (
     SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
