@@ -1,15 +1,16 @@
 """Dense surrogate keys (W1) and the current maximum key (A3).
 
 ``row_number() OVER (ORDER BY k)`` without a partition runs in one task.  Here
-the rows are range-partitioned on the ordering (plus a random tie-break, so a
-run of equal keys still spreads over partitions), numbered inside each
-partition with ``monotonically_increasing_id`` and shifted by the row count of
-all earlier partitions.  The per-partition counts have one row per partition,
-a size bounded by the partition count: they are brought to the driver and
-applied as a literal map, so the keyed frame is a plain scan + projection.
-The numbered frame is written once to the shared checkpoint folder and read
-back, so a re-execution (lost executor, second action) cannot renumber rows
-and the counts and the rows always come from the same copy.
+the rows are written once, so that their number is known, then range-partitioned
+on the ordering (ties by a hash of the whole row, so a run of equal keys still
+spreads over partitions and a task that is run again places rows alike), numbered
+inside each partition with ``monotonically_increasing_id`` and shifted by the row
+count of all earlier partitions.  The per-partition counts, one number each, are
+brought to the driver and applied as a literal array.  The numbered frame is
+written to the shared checkpoint folder and read back, so a re-execution (lost
+executor, second action) cannot renumber rows and the counts and the rows always
+come from the same copy.  The keys depend on the rows alone, not on the number of
+partitions.
 """
 
 from __future__ import annotations
@@ -17,44 +18,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadsmith.session import estimated_bytes, materialize
+from loadsmith.session import materialize, materialize_counted
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id << 33 | row in partition
-_LITERAL_OFFSETS = 1024  # up to this many partitions the offsets are a literal map
+#: Rows of a numbered partition.
+PARTITION_ROWS = 1_000_000
 
 
 def current_max_key(df: DataFrame, key: str) -> int:
-    """MAX(key), 0 when empty (one scalar to the driver)."""
-    row = df.agg(F.max(key).alias("m")).first()
-    return int(row["m"]) if row is not None and row["m"] is not None else 0
+    """The largest key; 0 for an empty input (one number to the driver)."""
+    return df.agg(F.coalesce(F.max(F.col(key).cast("bigint")), F.lit(0)).alias("top")).collect()[0]["top"]
 
 
-def max_key_frame(df: DataFrame, key: str, alias: str = "max_key") -> DataFrame:
-    """MAX(key) with 0 for an empty input, as a one-row DataFrame."""
-    return df.agg(F.coalesce(F.max(key).cast("bigint"), F.lit(0).cast("bigint")).alias(alias))
-
-
-_MAX_PARTITIONS = 100_000
-
-
-def range_partitions(df: DataFrame, requested: int | None = None) -> int:
-    """Partitions for numbering ``df``: fewer than the shuffle partitions when small.
-
-    Catalyst's size estimate divided by AQE's advisory partition size, at least
-    the default parallelism and at most ``spark.sql.shuffle.partitions`` (the
-    estimate of a join without statistics is the product of its inputs, so it
-    may only lower the count, never raise it).
-    """
-    if requested:
-        return requested
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    advisory = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
-    by_size = -(-estimated_bytes(df) // max(int(advisory), 1))
-    floor = max(spark.sparkContext.defaultParallelism, 1)
-    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), floor)
-    return int(min(max(by_size, floor), cap, _MAX_PARTITIONS))
+def range_partitions(df: DataFrame, rows: int) -> int:
+    """Partitions for numbering ``rows`` rows, counted: small inputs still use all cores."""
+    cores = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    return max(-(-rows // PARTITION_ROWS), min(cores, -(-rows // 10_000)), 1)
 
 
 def _cols(cols) -> list[Column]:
@@ -63,45 +42,30 @@ def _cols(cols) -> list[Column]:
 
 def assign_surrogate_keys(df: DataFrame, key: str, order_by, start_after: int = 0,
                           num_partitions: int | None = None,
-                          key_type: str = "bigint", seed: int = 17) -> DataFrame:
+                          key_type: str = "bigint") -> DataFrame:
     """Add ``key`` = start_after + 1, 2, ... in ``order_by`` order, in parallel."""
-    return keyed_with_max(df, key, order_by, start_after, num_partitions, key_type, seed)[0]
+    return keyed_with_max(df, key, order_by, start_after, num_partitions, key_type)[0]
 
 
 def keyed_with_max(df: DataFrame, key: str, order_by, start_after: int = 0,
-                   num_partitions: int | None = None, key_type: str = "bigint",
-                   seed: int = 17) -> tuple[DataFrame, int]:
+                   num_partitions: int | None = None,
+                   key_type: str = "bigint") -> tuple[DataFrame, int]:
     """``assign_surrogate_keys`` plus the largest key handed out (no extra scan)."""
-    spark = df.sparkSession
-    n = range_partitions(df, num_partitions)
     order = _cols(order_by)
-    staged = df.withColumn("_ls_tb", F.rand(seed))
+    staged, rows = materialize_counted(df.withColumn("_ls_tb", F.xxhash64(*df.columns)), "to-key")
+    n = num_partitions or range_partitions(df, rows)
     ordered = (staged.repartitionByRange(n, *order, F.col("_ls_tb"))
                .sortWithinPartitions(*order, F.col("_ls_tb")))
     rid = F.monotonically_increasing_id()
     tagged = materialize(ordered.withColumn("_ls_rid", rid).drop("_ls_tb"), "keys")
     pid = F.shiftright("_ls_rid", _ROW_BITS)
     pos = F.col("_ls_rid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    # one row per partition of the numbered copy: at most n rows reach the driver
-    counts = sorted((int(r[0]), int(r[1])) for r in
-                    tagged.groupBy(pid.alias("p")).agg(F.count(F.lit(1))).collect())
-    if len(counts) > n:
-        raise RuntimeError("more numbered partitions than requested")
-    offsets, running = {}, 0
-    for p, c in counts:
-        offsets[p] = running
-        running += c
-    if not offsets:
-        return tagged.withColumn(key, F.lit(None).cast(key_type)).drop("_ls_rid"), start_after
-    if len(offsets) <= _LITERAL_OFFSETS:
-        off = F.create_map(*[F.lit(x) for p, o in offsets.items() for x in (p, o)]).getItem(pid)
-        base = tagged
-    else:
-        # many partitions: a literal that large bloats generated code, so join the
-        # (still one-row-per-partition, hence bounded) offsets table as a broadcast
-        table = spark.createDataFrame(list(offsets.items()), "_ls_p long, _ls_o long")
-        base = tagged.join(F.broadcast(table), pid == F.col("_ls_p")).drop("_ls_p")
-        off = F.col("_ls_o")
-    value = F.lit(start_after).cast("bigint") + off + pos + 1
-    return (base.withColumn(key, value.cast(key_type)).drop("_ls_rid", "_ls_o"),
-            start_after + running)
+    counts = dict(tagged.groupBy(pid.alias("p")).agg(F.count(F.lit(1))).collect())
+    if sum(counts.values()) != rows or max(counts, default=0) >= n:
+        raise RuntimeError("the numbered copy doesn't match its input")
+    offsets, running = [], start_after
+    for p in range(n):
+        offsets.append(f"{running}L")
+        running += counts.get(p, 0)
+    first = F.expr(f"array({', '.join(offsets)})")[pid.cast("int")]
+    return tagged.withColumn(key, (first + pos + 1).cast(key_type)).drop("_ls_rid"), running

@@ -7,6 +7,9 @@ tests) do we pick a folder of our own.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -40,22 +43,37 @@ def get_session(app: str = "loadsmith", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder, setting a local one only in local mode.
+
+    On a cluster every executor would write to its own disk and rows would be
+    missing when they are read back, so there the folder must be named.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="loadsmith-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint folder."""
+    """A fresh, unique folder under the shared checkpoint folder, in the application's own."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/loadsmith-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written with ``scratch_path``; call it when its results are stored."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/loadsmith/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{root}/loadsmith-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def estimated_bytes(df) -> int:
@@ -64,6 +82,12 @@ def estimated_bytes(df) -> int:
     return int(size) if isinstance(size, int) else int(size.toString())
 
 
+def is_large(df, limit: int) -> bool:
+    """Whether Catalyst's estimate exceeds ``limit``; no (if above 0) for a frame without statistics."""
+    size = estimated_bytes(df)
+    return limit == 0 or limit < size < 1 << 62
+
+
 def materialize_counted(df, name: str = "stage"):
     """``materialize`` plus the exact number of rows written (observed by the write)."""
     from pyspark.sql import Observation
@@ -71,12 +95,11 @@ def materialize_counted(df, name: str = "stage"):
 
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    from loadsmith.sinks.publish import observed_metrics
+
     obs = Observation(name)
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    try:
-        rows = int(obs.get.get("n") or 0)
-    except Exception:  # noqa: BLE001 - a relation proven empty is written without metrics
-        rows = 0
+    rows = int(observed_metrics(obs, ["n"])["n"] or 0)
     return spark.read.schema(df.schema).parquet(path), rows
 
 

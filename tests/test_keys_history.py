@@ -30,6 +30,16 @@ def test_keys_with_ties_still_dense(spark):
     assert keys == list(range(1, 2001))
 
 
+def test_keys_do_not_depend_on_the_partitions(spark):
+    df = spark.range(3000).select((F.col("id") % 4).alias("k"), (F.col("id") * 7919 % 3000).alias("v"), F.col("id").alias("x"))
+    want = None
+    for n in (1, 7, 2000):
+        got = {r["x"]: r["sk"] for r in assign_surrogate_keys(df.repartition(5, "v"), "sk", ["k"], num_partitions=n).collect()}
+        assert sorted(got.values()) == list(range(1, 3001))
+        want = want or got
+        assert got == want
+
+
 def test_current_max_key_empty_is_zero(spark):
     assert current_max_key(spark.createDataFrame([], "k long"), "k") == 0
 
