@@ -58,13 +58,16 @@ class ChangeSet:
     history:  rows that were already closed (untouched)
     active:   the next active rows (kept + newly keyed)
     expired:  rows closed by this batch
-    inserted: the newly keyed rows (subset of ``active``)
+    inserted: the newly keyed rows (subset of ``active``), ``n_inserted`` of them
+    parts:    if set, ``active`` holds the rows of these parts only (see ``publish_dimension``)
     """
 
     history: DataFrame
     active: DataFrame
     expired: DataFrame
     inserted: DataFrame
+    n_inserted: int = 0
+    parts: list[int] | None = None
 
     def next_dimension(self) -> DataFrame:
         return self.history.unionByName(self.expired).unionByName(self.active)

@@ -22,7 +22,7 @@ from loadsmith.operators.scd_common import (
     close_rows,
     prepare_batch,
 )
-from loadsmith.session import estimated_bytes, materialize_counted
+from loadsmith.session import is_large, materialize_counted
 from loadsmith.specs import Type6Spec
 
 
@@ -96,17 +96,20 @@ def spec_changed(spec: Type6Spec) -> list[str]:
 
 def type6_changes(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec(),
                   run_date=None, start_after: int | None = None,
-                  active: DataFrame | None = None, history: DataFrame | None = None) -> ChangeSet:
+                  active: DataFrame | None = None, history: DataFrame | None = None,
+                  closing=None) -> ChangeSet:
     """Apply one batch; returns the parts of the next dimension.
 
     ``active``/``history`` may be given separately (e.g. a bucketed active table),
-    otherwise they are the two halves of ``dim`` by flag.
+    otherwise they are the two halves of ``dim`` by flag.  ``closing`` (see
+    ``part_reader``) gives, for the keyed inserts, the only active rows that may
+    close, so the others aren't read again.
     """
     flag = F.col(spec.flag)
     active = dim.filter(flag == 1) if active is None else active
     history = dim.filter(flag.isNull() | (flag != 1)) if history is None else history
     batch_rows = None
-    if spec.broadcast_batch_rows and estimated_bytes(active) > spec.large_active_bytes:
+    if spec.broadcast_batch_rows and is_large(active, spec.large_active_bytes):
         # one write of the batch gives its exact size and spares re-reading the source
         source, batch_rows = materialize_counted(source, "batch")
     classified = type6_classify(source, active, spec, batch_rows)
@@ -116,12 +119,14 @@ def type6_changes(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec
     keyed, max_key = keyed_with_max(inserts, spec.surrogate, [spec.key, spec.start], start_after,
                                     key_type=spec.key_type)
     small = batch_rows is not None and max_key - start_after <= spec.broadcast_batch_rows
-    kept, closed = close_rows(active, keyed, spec.key, spec.surrogate, spec.flag,
+    rows, parts = (active, None) if closing is None else closing(keyed)
+    kept, closed = close_rows(rows, keyed, spec.key, spec.surrogate, spec.flag,
                               spec.dedupe_reference, spec.end, run_date, broadcast_targets=small)
     cols = spec.dim_columns
     inserted = keyed.select(*cols)
     return ChangeSet(history=history.select(*cols), expired=closed.select(*cols),
-                     active=kept.select(*cols).unionByName(inserted), inserted=inserted)
+                     active=kept.select(*cols).unionByName(inserted), inserted=inserted,
+                     n_inserted=max_key - start_after, parts=parts)
 
 
 def type6_apply(dim: DataFrame, source: DataFrame, spec: Type6Spec = Type6Spec(),

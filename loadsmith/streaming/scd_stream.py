@@ -1,11 +1,12 @@
 """Structured Streaming re-aim of the incremental loads.
 
 ``scd_micro_batches`` turns a stream of source rows into dimension loads: each
-micro-batch is applied to the dimension as of the previous micro-batch and
-published as batch ``batchId + 1``.  The dimension is read *as of batch
-``batchId``* (not "current"), so when a micro-batch is re-run after a failure
-between the publish and the stream's commit, it recomputes from the same
-state and overwrites its own output: exactly-once with the stream checkpoint.
+micro-batch is applied to the newest published batch and published as the next
+one.  The pointer keeps, per stream, the last micro-batch it holds: a micro-batch
+that is run again after a failure between the publish and the stream's commit is
+recognised and skipped, so it takes effect exactly once.  An empty micro-batch
+publishes nothing, and a stream with a fresh checkpoint goes on from whatever the
+dimension holds.
 
 ``latest_per_window`` is the event-time form of the batch high-watermark:
 the latest row per key and window, emitted once the watermark passes the end
@@ -15,12 +16,20 @@ the watermark are never re-read by the batch form).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith.operators.scd_type6 import type6_changes
 from loadsmith.operators.scd_versioned import versioned_changes
-from loadsmith.sinks.publish import current_pointer, publish_dimension, read_dimension
+from loadsmith.sinks.publish import (
+    current_pointer,
+    part_reader,
+    publish_dimension,
+    read_active,
+    read_history,
+)
 from loadsmith.specs import Type6Spec, VersionedSpec
 
 
@@ -43,30 +52,46 @@ def latest_per_window(stream: DataFrame, key: str, ts: str, window: str, delay:
                       *[F.col(f"_ls_r.{c}").alias(c) for c in columns])
 
 
-def scd_micro_batches(spark: SparkSession, base: str, spec, empty_schema: str, run_date_of=None):
+def scd_micro_batches(spark: SparkSession, base: str, spec, empty_schema: str, run_date_of=None,
+                      stream_id: str | None = None):
     """A ``foreachBatch`` function applying each micro-batch as one dimension load.
 
     ``run_date_of(batch_df)`` gives the run date of a type-6 batch (default:
     the latest source date in the micro-batch); ignored for versioned specs.
+    ``stream_id`` names the stream whose micro-batch numbers count up; by default the
+    running query's own id, which lives in its checkpoint.  Outside a query, and
+    without one, the function is a stream of its own.
     """
+    own = uuid.uuid4().hex
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        ptr = current_pointer(spark, base, batch_id)
+        stream = (stream_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or own)
+        ptr = current_pointer(spark, base)
+        seen = dict((ptr or {}).get("streams", {}))
+        if batch_id <= seen.get(stream, -1):
+            return  # published before a restart
+        seen[stream] = batch_id
         if ptr is None:
-            dim, start = spark.createDataFrame([], empty_schema), 0
+            empty = spark.createDataFrame([], empty_schema)
+            at, start, active, history, closing = 0, 0, empty, empty, None
         else:
-            dim, start = read_dimension(spark, base, batch_id), int(ptr["max_key"])
+            at, start = int(ptr["batch"]), int(ptr["max_key"])
+            active, history = read_active(spark, base, at), read_history(spark, base, at)
+            closing = part_reader(spark, base, ptr, spec.key)
         if isinstance(spec, Type6Spec):
             run_date = (run_date_of(batch) if run_date_of else
                         batch.agg(F.max(F.col(spec.source_date).cast("date"))).first()[0])
-            changes = type6_changes(dim, batch, spec, run_date, start_after=start)
+            changes = type6_changes(None, batch, spec, run_date, start_after=start, active=active,
+                                    history=history, closing=closing)
         elif isinstance(spec, VersionedSpec):
-            changes = versioned_changes(dim, batch, spec, start_after=start)
+            changes = versioned_changes(None, batch, spec, start_after=start, active=active,
+                                        history=history, closing=closing)
         else:
             raise TypeError(f"unsupported spec {type(spec).__name__}")
-        publish_dimension(spark, changes, base, batch_id + 1, spec.key, spec.surrogate, start,
-                          include_history=ptr is None)
+        publish_dimension(spark, changes, base, at + 1, spec.key, spec.surrogate, start,
+                          include_history=ptr is None, extra={"streams": seen})
     return apply
 
 

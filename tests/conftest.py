@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = (SparkSession.builder.master("local[*]").appName("loadsmith-tests")
+    s = (SparkSession.builder.master(os.environ.get("LOADSMITH_TEST_MASTER", "local[*]")).appName("loadsmith-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loadsmith.operators.scd_type6 import type6_changes
 from loadsmith.plans.fixtures import table
 from loadsmith.plans.jobs import T6_EMPTY
-from loadsmith.sinks.publish import read_dimension
+from loadsmith.sinks.publish import current_pointer, read_dimension
 from loadsmith.specs import TrackedAttribute, Type6Spec
 from loadsmith.streaming import scd_micro_batches, start_scd_stream
 
@@ -53,16 +53,58 @@ def test_stream_matches_batch_by_batch(spark, tmp_dir):
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
 
 
-def test_rerun_of_a_micro_batch_is_idempotent(spark, tmp_dir):
+def rows_of(spark, base):
+    return sorted(map(tuple, read_dimension(spark, base).collect()), key=repr)
+
+
+def halves(spark):
     src = weekly(spark).drop("week")
-    f = scd_micro_batches(spark, f"{tmp_dir}/dim", SPEC, EMPTY)
-    first = src.filter(F.col("Update_Date") < dt.date(2024, 1, 15))
-    second = src.filter(F.col("Update_Date") >= dt.date(2024, 1, 15))
+    return (src.filter(F.col("Update_Date") < dt.date(2024, 1, 15)), src.filter(F.col("Update_Date") >= dt.date(2024, 1, 15)))
+
+
+def test_replayed_micro_batch_is_skipped(spark, tmp_dir):
+    base = f"{tmp_dir}/dim"
+    first, second = halves(spark)
+    f = scd_micro_batches(spark, base, SPEC, EMPTY, stream_id="s")
+    f(first, 0)
+    f(second, 1)
+    once = rows_of(spark, base)
+    again = scd_micro_batches(spark, base, SPEC, EMPTY, stream_id="s")  # after a restart
+    again(second, 1)
+    assert rows_of(spark, base) == once
+
+
+def test_empty_micro_batch_keeps_the_dimension(spark, tmp_dir):
+    first, second = halves(spark)
+    for name, batches in (("gap", (first, first.limit(0), second)), ("none", (first, second))):
+        f = scd_micro_batches(spark, f"{tmp_dir}/{name}", SPEC, EMPTY)
+        for i, b in enumerate(batches):
+            f(b, i)
+    assert rows_of(spark, f"{tmp_dir}/gap") == rows_of(spark, f"{tmp_dir}/none")
+
+
+def test_fresh_checkpoint_goes_on_from_the_dimension(spark, tmp_dir):
+    first, second = halves(spark)
+    for name, split in (("fresh", True), ("one", False)):
+        f = scd_micro_batches(spark, f"{tmp_dir}/{name}", SPEC, EMPTY)
+        f(first, 0)
+        g, n = (scd_micro_batches(spark, f"{tmp_dir}/{name}", SPEC, EMPTY), 0) if split else (f, 1)
+        g(second, n)
+    assert rows_of(spark, f"{tmp_dir}/fresh") == rows_of(spark, f"{tmp_dir}/one")
+
+
+def test_live_stream_with_a_new_checkpoint(spark, tmp_dir):
+    first, second = halves(spark)
+    first.coalesce(1).write.parquet(f"{tmp_dir}/in1")
+    second.coalesce(1).write.parquet(f"{tmp_dir}/in2")
+    for i in (1, 2):
+        stream = spark.readStream.schema(first.schema).parquet(f"{tmp_dir}/in{i}")
+        start_scd_stream(stream, f"{tmp_dir}/dim", SPEC, EMPTY, f"{tmp_dir}/ckpt{i}").awaitTermination(600)
+    f = scd_micro_batches(spark, f"{tmp_dir}/plain", SPEC, EMPTY)
     f(first, 0)
     f(second, 1)
-    once = sorted(map(tuple, read_dimension(spark, f"{tmp_dir}/dim").collect()))
-    f(second, 1)  # replay after a failure before the stream commit
-    assert sorted(map(tuple, read_dimension(spark, f"{tmp_dir}/dim").collect())) == once
+    assert rows_of(spark, f"{tmp_dir}/dim") == rows_of(spark, f"{tmp_dir}/plain")
+    assert len(current_pointer(spark, f"{tmp_dir}/dim")["streams"]) == 2
 
 
 def test_latest_per_window_emits_closed_weeks_only(spark, tmp_dir):
