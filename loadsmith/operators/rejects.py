@@ -9,23 +9,40 @@ from pyspark.sql.types import StructType
 CORRUPT = "_corrupt_record"
 
 
-def parse_with_rejects(df: DataFrame, text_col: str, schema: str | StructType,
-                       keep=None) -> tuple[DataFrame, DataFrame]:
-    """Parse JSON text; return (good rows with fields, rejected rows with error columns)."""
-    ddl = schema if isinstance(schema, str) else ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = df.select(*(keep or df.columns),
+def parse_status(df: DataFrame, text_col: str, schema: str | StructType, keep=None) -> DataFrame:
+    """Parse JSON text in one pass: the kept columns, the fields, ``rejected`` and the error columns.
+
+    A text that is null, malformed or mistyped is rejected: its fields are null and
+    ErrorCode, ErrorColumn, ErrorColumnName, ErrorMessage and ErrorText (the raw
+    text) say why; they are null in good rows.
+    """
+    st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in st.fields)
+    kept = list(keep or df.columns)
+    parsed = df.select(*kept, F.col(text_col).alias("_ls_text"),
                        F.from_json(F.col(text_col), f"{ddl}, {CORRUPT} string",
                                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
                        .alias("_ls_p"))
-    bad_cond = F.col("_ls_p." + CORRUPT).isNotNull()
-    good = parsed.filter(~bad_cond).select(*(keep or df.columns), "_ls_p.*").drop(CORRUPT)
-    bad = parsed.filter(bad_cond).select(
-        *(keep or df.columns),
-        F.lit(-1).alias("ErrorCode"),
-        F.lit(text_col).alias("ErrorColumn"),
-        F.lit("malformed or mistyped JSON").alias("ErrorMessage"))
-    return good, bad
+    bad = F.col("_ls_p").isNull() | F.col("_ls_p." + CORRUPT).isNotNull()
+    message = F.when(F.col("_ls_text").isNull(), "no document").otherwise("malformed or mistyped JSON")
+    return parsed.select(
+        *kept, *(F.when(~bad, F.col(f"_ls_p.`{f.name}`")).alias(f.name) for f in st.fields),
+        bad.alias("rejected"), F.when(bad, -1).alias("ErrorCode"), F.when(bad, F.lit(text_col)).alias("ErrorColumn"),
+        F.when(bad, F.lit(text_col)).alias("ErrorColumnName"), F.when(bad, message).alias("ErrorMessage"),
+        F.when(bad, F.col("_ls_text")).alias("ErrorText"))
+
+
+def parse_with_rejects(df: DataFrame, text_col: str, schema: str | StructType,
+                       keep=None) -> tuple[DataFrame, DataFrame]:
+    """``parse_status`` as two frames: good rows with fields, rejected rows with error columns.
+
+    Each frame parses when it is used; take ``parse_status`` where both go to one place.
+    """
+    st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kept, errors = list(keep or df.columns), ["ErrorCode", "ErrorColumn", "ErrorColumnName", "ErrorMessage", "ErrorText"]
+    rows = parse_status(df, text_col, st, kept)
+    return (rows.filter("not rejected").select(*kept, *(f.name for f in st.fields)),
+            rows.filter("rejected").select(*kept, *errors))
 
 
 def split_rejects(df: DataFrame, valid: Column, error_column: str = "",
@@ -35,6 +52,7 @@ def split_rejects(df: DataFrame, valid: Column, error_column: str = "",
     good = df.filter(ok)
     bad = df.filter(~ok).select("*", F.lit(-1).alias("ErrorCode"),
                                 F.lit(error_column).alias("ErrorColumn"),
+                                F.lit(error_column).alias("ErrorColumnName"),
                                 F.lit(message).alias("ErrorMessage"))
     return good, bad
 

@@ -7,6 +7,9 @@ DuckDB SQL over the same tables.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from loadsmith.operators import checks
 from loadsmith.operators.history import previous_values
 from loadsmith.operators.keys import assign_surrogate_keys, current_max_key
 from loadsmith.operators.lookup import lookup, lookup_match, lookup_no_match
-from loadsmith.operators.rejects import parse_with_rejects
+from loadsmith.operators.rejects import max_length, parse_status, split_rejects
 from loadsmith.operators.scd_type6 import (
     type6_apply,
     type6_changes,
@@ -29,6 +32,7 @@ from loadsmith.operators.scd_versioned import (
     versioned_expire,
     versioned_inserts,
 )
+from loadsmith.operators.shape import conform
 from loadsmith.operators.split import conditional_split, keep_wired
 from loadsmith.operators.watermark import full_scan, high_watermark, incremental_scan, watermark_value
 from loadsmith.plans import fixtures as fx
@@ -58,8 +62,16 @@ from loadsmith.sources.documents import (
 )
 from loadsmith.functions.columns import blank_as_null, changed_flag
 from loadsmith.specs import DocumentSpec, Type6Spec, VersionedSpec
-from loadsmith.plans.jobs import run_product_load, run_type6_load, run_versioned_load, seed_dimension
-from loadsmith.plans.runlog import RunLog
+from loadsmith.plans.jobs import (
+    T6_EMPTY,
+    run_product_load,
+    run_type6_load,
+    run_versioned_load,
+    seed_dimension,
+)
+from loadsmith.sinks.ddl import PRODUCT_DDL, create_table_if_missing
+from loadsmith.sources.tables import read_or_empty, read_table
+from loadsmith.streaming import start_scd_stream
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -168,12 +180,23 @@ def q_high_watermark(spark, sf_dir):
 @register("watermark_empty", sql.with_(
     [("dim0", sql.T6_DIM0)],
     "SELECT COALESCE(MAX(STARTDate), DATE '1900-01-01') AS watermark FROM "
-    "(SELECT STARTDate, 0 AS Active_Flag FROM dim0) WHERE Active_Flag = 1"))
+    "(SELECT STARTDate, CASE WHEN ENDDate IS NULL AND Emp_Key > 0 THEN 0 ELSE Active_Flag END AS Active_Flag "
+    "FROM dim0) WHERE Active_Flag = 1"))
 def q_watermark_empty(spark, sf_dir):
-    closed = fx.type6_dim0(spark, sf_dir).withColumn("Active_Flag", F.lit(0))
+    """Every member is closed by a predicate on its row, so the floor is what is left."""
+    gone = F.col("ENDDate").isNull() & (F.col("Emp_Key") > 0)
+    closed = fx.type6_dim0(spark, sf_dir).withColumn(
+        "Active_Flag", F.when(gone, 0).otherwise(F.col("Active_Flag")))
     return high_watermark(closed, "STARTDate")
 
 
+@register("watermark_schedule_date", sql.with_(
+    [("vdim0", sql.V_DIM0)],
+    "SELECT COALESCE(MAX(Schedule_Date), DATE '1900-01-01') AS watermark FROM vdim0 WHERE Active_Flag = 1"))
+def q_watermark_schedule_date(spark, sf_dir):
+    return high_watermark(fx.versioned_dim0(spark, sf_dir), "Schedule_Date")
+
+
 _SRC_SQL = ("SELECT o_custkey AS ID, o_orderpriority AS City, o_orderstatus AS Email, "
             "CAST(o_orderdate AS DATE) AS Update_Date, o_orderkey FROM orders")
 
@@ -188,10 +211,9 @@ def q_incremental_scan(spark, sf_dir):
                             timestamp_col="o_orderdate").drop("o_orderdate")
 
 
-@register("full_scan", f"SELECT * FROM ({_SRC_SQL}) WHERE Update_Date < {sql.lit_date(fx.RUN1)}")
+@register("full_scan", _SRC_SQL)
 def q_full_scan(spark, sf_dir):
-    return full_scan(fx.employee_source(spark, sf_dir), upper=fx.RUN1, date_col="Update_Date",
-                     timestamp_col="o_orderdate").drop("o_orderdate")
+    return full_scan(fx.employee_source(spark, sf_dir)).drop("o_orderdate")
 
 
 # --- type-6 dimension (C1-C4, K5, W1) ------------------------------------------------------
@@ -213,12 +235,16 @@ def q_type6_classify(spark, sf_dir):
 def q_type6_null_routes(spark, sf_dir):
     dim0, b1 = _t6_inputs(spark, sf_dir, null_city=True)
     active = dim0.filter("Active_Flag = 1")
-    out = []
-    for policy in ("ignore", "distinct"):
-        cls = type6_classify(b1, active, Type6Spec(null_policy=policy))
-        out.append(cls.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
-                   .select(F.lit(policy).alias("null_policy"), "route", "n"))
-    return out[0].unionByName(out[1])
+    ignored = type6_classify(b1, active, Type6Spec())  # one join; the other policy's flags beside it
+    seen = ignored.withColumns({
+        f"x_{c}": F.when(F.col("matched"), changed_flag(F.col(c), F.col(f"d_CURRENT{c}"), "distinct")).otherwise(0)
+        for c in ("City", "Email")})
+    distinct = (F.when(~F.col("matched"), "new").when((F.col("x_City") == 1) & (F.col("x_Email") == 1), "both")
+                .when(F.col("x_City") == 1, "city").when(F.col("x_Email") == 1, "email").otherwise("none"))
+    both = seen.select(F.explode(F.array(
+        F.struct(F.lit("ignore").alias("null_policy"), F.col("route")),
+        F.struct(F.lit("distinct").alias("null_policy"), distinct.alias("route")))).alias("p"))
+    return both.groupBy("p.null_policy", "p.route").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("type6_inserts", sql.with_(
@@ -241,6 +267,13 @@ def q_type6_apply(spark, sf_dir):
     return type6_apply(dim0, b1, run_date=fx.RUN1)
 
 
+@register("type6_apply_streamed", sql.with_(sql.t6_base_ctes(), "SELECT * FROM s1_next"))
+def q_type6_apply_streamed(spark, sf_dir):
+    """The path for a counted small batch on a large dimension: the active rows aren't shuffled."""
+    dim0, b1 = _t6_inputs(spark, sf_dir)
+    return type6_apply(dim0, b1, Type6Spec(large_active_bytes=0), fx.RUN1)
+
+
 def _t6_two_batches(spark, sf_dir):
     """Two published batches: each is applied to the dimension read back from the
     previous publish (as a scheduled load would), and the result is read back."""
@@ -323,20 +356,41 @@ def q_surrogate_keys(spark, sf_dir):
     return assign_surrogate_keys(cust, "Emp_Key", ["c_custkey"], start)
 
 
-@register("prev_version",
-          "SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, "
-          "LAG(o_orderpriority) OVER w AS prev_o_orderpriority, "
-          "LAG(o_orderstatus) OVER w AS prev_o_orderstatus FROM orders "
-          "WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
-def q_prev_version(spark, sf_dir):
+@register("surrogate_keys_many_parts",
+          "SELECT CAST(row_number() OVER (ORDER BY c_nationkey, c_custkey) AS BIGINT) AS Emp_Key, c_nationkey, "
+          "c_custkey FROM customer")
+def q_surrogate_keys_many_parts(spark, sf_dir):
+    """Far more partitions than rows in some of them: the same keys."""
+    cust = fx.table(spark, sf_dir, "customer").select("c_nationkey", "c_custkey")
+    return assign_surrogate_keys(cust, "Emp_Key", ["c_nationkey", "c_custkey"], num_partitions=1500)
+
+
+_PREV_SQL = ("SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, "
+             "LAG(o_orderpriority) OVER w AS prev_o_orderpriority, "
+             "LAG(o_orderstatus) OVER w AS prev_o_orderstatus FROM orders "
+             "WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
+
+
+def _prev(spark, sf_dir, **options):
     o = fx.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     prev = previous_values(o, "o_custkey", ["o_orderdate", "o_orderkey"],
-                           ["o_orderpriority", "o_orderstatus"])
+                           ["o_orderpriority", "o_orderstatus"], **options)
     return prev.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_date"),
                        "prev_o_orderpriority", "prev_o_orderstatus")
 
 
+@register("prev_version", _PREV_SQL)
+def q_prev_version(spark, sf_dir):
+    return _prev(spark, sf_dir)
+
+
+@register("prev_version_heavy", _PREV_SQL)
+def q_prev_version_heavy(spark, sf_dir):
+    """Customers with over ten orders take the path for heavy keys."""
+    return _prev(spark, sf_dir, heavy_rows=10)
+
+
 # --- data-quality checks (V1-V3) and run-log listing (V4) -------------------------------
 
 def _products_checked(spark, sf_dir) -> DataFrame:
@@ -391,11 +445,14 @@ def _dup_sql(rel: str, key: str, name: str, where: str = "TRUE") -> str:
             f"WHERE {where} GROUP BY {key} HAVING COUNT(*) > 1)")
 
 
-@register("check_q1_rowcount", sql.with_(
-    [("first25", f"SELECT * FROM ({sql.PRODUCTS}) ORDER BY id LIMIT 25")],
-    "SELECT 'Q1_rowcount' AS check_name, COUNT(*) AS actual, CAST(25 AS BIGINT) AS expected FROM first25"))
+@register("check_q1_rowcount",
+          f"SELECT 'Q1_rowcount' AS check_name, COUNT(*) AS actual, (SELECT CAST(SUM(n) AS BIGINT) FROM "
+          f"(SELECT COUNT(*) AS n FROM part GROUP BY p_partkey // {fx.PART_PAGE})) AS expected FROM part")
 def q_check_q1_rowcount(spark, sf_dir):
-    return checks.q1_rowcount(q_json_max_rows(spark, sf_dir), 25)
+    """Loaded rows against the totals that the documents themselves give."""
+    docs = fx.product_documents(spark, sf_dir)
+    told = docs.agg(F.sum(F.get_json_object("doc", "$.total").cast("bigint"))).first()[0]
+    return checks.q1_rowcount(product_rows(spark, sf_dir), int(told or 0))
 
 
 @register("check_q1_null_keys", sql.with_(
@@ -506,15 +563,20 @@ def q_json_max_rows(spark, sf_dir):
 
 @register("json_nested_as_string",
           f"SELECT conv_id, turn // {fx.CONV_PAGE} AS page, COUNT(*) AS n_turns, "
-          f"CAST(COUNT(*) AS INTEGER) AS n_items, arg_min(role, turn) AS first_role "
+          f"CAST(COUNT(*) AS INTEGER) AS n_items, arg_min(role, turn) AS first_role, "
+          f"md5(string_agg(turn || '|' || role || '|' || text, chr(10) ORDER BY turn, role, text)) AS all_turns "
           f"FROM conversations GROUP BY conv_id, turn // {fx.CONV_PAGE}")
 def q_json_nested_as_string(spark, sf_dir):
+    """The kept text, parsed again, holds every turn whole."""
     docs = fx.conversation_documents(spark, sf_dir)
     parsed = docs.select(F.from_json("doc", fx.CONV_SCHEMA).alias("d")).select("d.*")
     kept = nested_as_string(parsed, ["turns"])
+    again = F.from_json("turns", "array<struct<turn: bigint, role: string, text: string>>")
+    lines = F.transform(again, lambda t: F.concat_ws("|", t["turn"].cast("string"), t["role"], t["text"]))
     return kept.select("conv_id", "page", "n_turns",
                        F.json_array_length("turns").alias("n_items"),
-                       F.get_json_object("turns", "$[0].role").alias("first_role"))
+                       F.get_json_object("turns", "$[0].role").alias("first_role"),
+                       F.md5(F.array_join(lines, "\n").cast("binary")).alias("all_turns"))
 
 
 @register("json_unpivot",
@@ -527,13 +589,17 @@ def q_json_unpivot(spark, sf_dir):
 
 
 @register("json_2d_rows",
-          "SELECT CAST(vec_id AS DOUBLE) AS vec_id, CAST(label AS DOUBLE) AS label, "
-          "CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1, "
-          "CAST(embedding[3] AS DOUBLE) AS e2 FROM embeddings")
+          "SELECT CAST(vec_id AS DOUBLE) AS vec_id, CAST(label AS DOUBLE) AS label, p.i AS place, "
+          "CAST(embedding[p.i + 1] AS DOUBLE) AS x FROM embeddings, unnest(range(len(embedding))) AS p(i)")
 def q_json_2d_rows(spark, sf_dir):
-    docs = fx.embedding_documents(spark, sf_dir)
+    """All values of every row; the width comes from the data's own arrays."""
+    width = fx.embedding_width(spark, sf_dir)
+    docs = fx.embedding_documents(spark, sf_dir, width)
     parsed = docs.select(F.from_json("doc", fx.EMB_SCHEMA).alias("d")).select("d.*")
-    return rows_from_2d(parsed, "names", "rows", fx.EMB_COLUMNS)
+    wide = rows_from_2d(parsed, "names", "rows", fx.embedding_columns(width))
+    values = F.array(*[F.col(f"e{i}") for i in range(width)])
+    return (wide.select("vec_id", "label", F.posexplode(values).alias("place", "x"))
+            .where("x is not null").withColumn("place", F.col("place").cast("bigint")))
 
 
 def _landed_conversations(spark, sf_dir) -> str:
@@ -560,13 +626,64 @@ def q_json_replace(spark, sf_dir):
     return parse_documents(docs, "doc", CONV_SPEC)
 
 
-@register("json_file_name")
+@register("json_file_name",
+          "SELECT COUNT(*) AS n_rows, COUNT(*) AS n_named, true AS several_files FROM conversations")
 def q_json_file_name(spark, sf_dir):
-    """Rows per landed file (__FileName); file names are not knowable to SQL."""
+    """Every row carries the name of the file it came from (the names themselves SQL cannot know)."""
+    docs = fx.conversation_documents(spark, sf_dir).repartition(3, "conv_id")
+    path = land_documents(docs, scratch_path(spark, "conversation_docs"))
+    rows = read_documents(spark, path, CONV_SPEC, file_name=True)
+    name = F.col("__FileName")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(name.rlike("^part-.+")).alias("n_named"),
+                    (F.count_distinct(name) > 1).alias("several_files"))
+
+
+@register("json_many_paths", _TURNS_SQL)
+def q_json_many_paths(spark, sf_dir):
+    """A list of paths, one a glob over compressed files in a deeper folder, read as one set."""
+    docs = fx.conversation_documents(spark, sf_dir)
+    root, odd = scratch_path(spark, "many"), F.col("conv_id") % 2 == 1
+    land_documents(docs.filter(odd), f"{root}/odd")
+    land_documents(docs.filter(~F.coalesce(odd, F.lit(False))), f"{root}/deep/even", compression="gzip")
+    return read_documents(spark, [f"{root}/odd", f"{root}/*/even"], CONV_SPEC)
+
+
+@register("json_skip_missing", _TURNS_SQL)
+def q_json_skip_missing(spark, sf_dir):
+    """A path that doesn't exist is skipped."""
     path = _landed_conversations(spark, sf_dir)
-    spec = DocumentSpec(schema=fx.CONV_SCHEMA, array_path="turns")
-    rows = read_documents(spark, path, spec, file_name=True)
-    return rows.groupBy("__FileName").agg(F.count(F.lit(1)).alias("n_rows"))
+    return read_documents(spark, [path, f"{path}-not-there"], CONV_SPEC, ignore_missing=True)
+
+
+@register("json_skip_bad", "SELECT turn, role, text FROM conversations WHERE conv_id % 5 <> 0 OR conv_id IS NULL")
+def q_json_skip_bad(spark, sf_dir):
+    """Documents cut in half are skipped, the others read (S9, PERMISSIVE)."""
+    docs = fx.conversation_documents(spark, sf_dir)
+    half = F.expr("substring(doc, 1, cast(length(doc) / 2 as int))")
+    broken = docs.withColumn("doc", F.when(F.col("conv_id") % 5 == 0, half).otherwise(F.col("doc")))
+    spec = DocumentSpec(schema=f"{fx.CONV_SCHEMA}, _corrupt_record string", array_path="turns", parents=("_corrupt_record",))
+    path = land_documents(broken, scratch_path(spark, "broken"))
+    rows = read_documents(spark, path, spec, mode="PERMISSIVE")
+    return rows.where("P__corrupt_record is null").drop("P__corrupt_record")
+
+
+@register("json_paged", f"SELECT id, CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS place FROM ({sql.PRODUCTS})")
+def q_json_paged(spark, sf_dir):
+    """Pages in any number of files, brought into the order that their own ``skip`` gives."""
+    docs = fx.product_documents(spark, sf_dir).repartition(5)
+    path = land_documents(docs, scratch_path(spark, "paged"))
+    spec = DocumentSpec(schema=fx.PRODUCT_SCHEMA, array_path="products", parents=("skip",), keep_position=True)
+    rows = read_documents(spark, path, spec).select("id", "P_skip", "pos")
+    return assign_surrogate_keys(rows, "place", ["P_skip", "pos"]).select("id", "place")
+
+
+@register("json_read_options", _TURNS_SQL)
+def q_json_read_options(spark, sf_dir):
+    """Reader options: single-quoted documents with a comment."""
+    docs = fx.conversation_documents(spark, sf_dir)
+    noted = docs.withColumn("doc", F.concat(F.lit("/* page */ "), F.regexp_replace("doc", '"conv_id":', "'conv_id':")))
+    path = land_documents(noted, scratch_path(spark, "noted"))
+    return read_documents(spark, path, CONV_SPEC, options={"allowComments": "true", "allowSingleQuotes": "true"})
 
 
 @register("json_file_scan", _TURNS_SQL)
@@ -598,26 +715,63 @@ def q_product_load(spark, sf_dir):
     return product_rows(spark, sf_dir)
 
 
-_BAD_PROPS_SQL = ("SELECT event_id, CASE WHEN event_id % 13 = 0 THEN rtrim(props, '}') "
+_BAD_PROPS_SQL = ("SELECT event_id, CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 13 = 0 THEN rtrim(props, '}') "
                   "WHEN event_id % 17 = 0 THEN '{\"k\": \"x\"}' ELSE props END AS props FROM events")
 
 
 @register("rejects",
           f"SELECT event_id, CASE WHEN ok THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k, "
-          f"CASE WHEN ok THEN 'good' ELSE 'rejected' END AS status FROM "
+          f"NOT ok AS rejected, CASE WHEN NOT ok THEN 'props' END AS ErrorColumnName, "
+          f"CASE WHEN NOT ok THEN props END AS ErrorText FROM "
           f"(SELECT *, CASE WHEN json_valid(props) THEN json_type(props, '$.k') IN ('UBIGINT', 'BIGINT') "
           f"ELSE false END AS ok "
           f"FROM ({_BAD_PROPS_SQL}))")
 def q_rejects(spark, sf_dir):
+    """Good and rejected rows from one parse; missing, cut and mistyped documents are rejected."""
     ev = fx.table(spark, sf_dir, "events")
     eid = F.col("event_id")
-    props = (F.when(eid % 13 == 0, F.rtrim(F.col("props"), F.lit("}")))
+    props = (F.when(eid % 19 == 0, F.lit(None)).when(eid % 13 == 0, F.rtrim(F.col("props"), F.lit("}")))
              .when(eid % 17 == 0, F.lit('{"k": "x"}')).otherwise(F.col("props")))
-    bad_in = ev.select("event_id", props.alias("props"))
-    good, bad = parse_with_rejects(bad_in, "props", "k int", keep=["event_id"])
-    return (good.select("event_id", "k", F.lit("good").alias("status"))
-            .unionByName(bad.select("event_id", F.lit(None).cast("int").alias("k"),
-                                    F.lit("rejected").alias("status"))))
+    parsed = parse_status(ev.select("event_id", props.alias("props")), "props", "k int", keep=["event_id"])
+    return parsed.select("event_id", "k", "rejected", "ErrorColumnName", "ErrorText")
+
+
+@register("constraint_rejects",
+          f"SELECT id, title, CASE WHEN id % 97 <> 0 AND length(title) <= 20 THEN 'good' ELSE 'rejected' END AS status, "
+          f"CASE WHEN id % 97 <> 0 AND length(title) <= 20 THEN NULL ELSE 'title' END AS ErrorColumnName "
+          f"FROM ({sql.PRODUCTS})")
+def q_constraint_rejects(spark, sf_dir):
+    """NOT NULL and VARCHAR(n) as a gate that sets broken rows aside."""
+    p = product_rows(spark, sf_dir).select("id", "title")
+    valid = (F.col("id") % 97 != 0) & max_length("title", 20)
+    good, bad = split_rejects(p, valid, "title")
+    return (good.select("id", "title", F.lit("good").alias("status"), F.lit(None).cast("string").alias("ErrorColumnName"))
+            .unionByName(bad.select("id", "title", F.lit("rejected").alias("status"), "ErrorColumnName")))
+
+
+@register("conform_defaults",
+          "SELECT p_partkey AS id, coalesce(CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_brand END, 'none') AS brand, "
+          "CAST(p_size AS BIGINT) AS stock, CAST(0 AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS note FROM part")
+def q_conform_defaults(spark, sf_dir):
+    """Keep-nulls off: null or missing columns get the target's default, others stay null (K9)."""
+    p = fx.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.when(F.col("p_size") % 7 != 0, F.col("p_brand")).alias("brand"),
+        F.col("p_size").alias("stock"))
+    return conform(p, "id bigint, brand string, stock bigint, rating double, note string",
+                   {"brand": "none", "rating": 0.0})
+
+
+@register("table_scan", "SELECT c_custkey, c_name, 'missing' AS other FROM customer")
+def q_table_scan(spark, sf_dir):
+    """A table by path, one made if missing and read by name, and a typed empty one."""
+    rows = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
+    name = f"scan_{uuid.uuid4().hex[:12]}"
+    for _ in range(2):  # the second time it is there
+        create_table_if_missing(spark, name, "c_custkey BIGINT, c_name STRING", scratch_path(spark, "scan"))
+    rows.write.insertInto(name)
+    none = read_or_empty(spark, f"{name}_absent", PRODUCT_DDL).select("id")
+    state = "missing" if none.isEmpty() else "there"
+    return read_table(spark, name).withColumn("other", F.lit(state))
 
 
 @register("append_load", f"SELECT * FROM ({sql.PRODUCTS}) UNION ALL SELECT * FROM ({sql.PRODUCTS})")
@@ -647,86 +801,168 @@ _JOB_CTES = [("dim0", sql.T6_DIM0),
 _JOB_SPEC = Type6Spec(batch_dedup="latest", dedup_order=("o_orderkey",))
 
 
-def _type6_job(spark, sf_dir):
+def _type6_job(spark, sf_dir, **options):
     base = scratch_path(spark, "type6_job")
-    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
-    log = RunLog(spark, "Q2")
-    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, log, _JOB_SPEC,
-                   mode="incremental", upper=fx.RUN1, timestamp_col="o_orderdate")
+    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base, bucket_by=options.get("bucket_by"))
+    log = scratch_path(spark, "log")
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, _JOB_SPEC,
+                   **{"mode": "incremental", "upper": fx.RUN1, "timestamp_col": "o_orderdate", "log_to": log, **options})
     return base, log
 
 
+def _stored_log(spark, log):
+    return spark.read.parquet(log).select("package", "step", "status", "row_count")
+
+
+def _log_sql(package: str, counts: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(f"SELECT '{package}' AS package, '{step}' AS step, 'SUCCEEDED' AS status, "
+                              f"CAST(({n}) AS BIGINT) AS row_count" for step, n in counts)
+
+
+def _job_log_sql(package: str, source: str, active: str, ins: str) -> str:
+    inserted, expired = f"SELECT COUNT(*) FROM {ins}", f"SELECT COUNT(DISTINCT x_key) FROM {ins}"
+    return _log_sql(package, [
+        ("compute_watermark", "0"), ("extract_source", f"SELECT COUNT(*) FROM {source}"),
+        ("read_active_dim", f"SELECT COUNT(*) FROM {active} WHERE Active_Flag = 1"),
+        ("transform_type6", f"SELECT ({inserted}) + ({expired})"), ("expire_old_rows", expired),
+        ("insert_new_versions", inserted)])
+
+
 @register("type6_job_runlog", sql.with_(
     _JOB_CTES + [("src", f"SELECT * FROM ({sql.NAMED_SOURCE}) WHERE d > {_WM_SQL} "
-                         f"AND d < {sql.lit_date(fx.RUN1)}")],
-    "SELECT 'Q2' AS package, step, 'SUCCEEDED' AS status, CAST(row_count AS BIGINT) AS row_count FROM ("
-    "SELECT 'compute_watermark' AS step, 0 AS row_count "
-    "UNION ALL SELECT 'extract_source', (SELECT COUNT(*) FROM src) "
-    "UNION ALL SELECT 'read_active_dim', (SELECT COUNT(*) FROM dim0 WHERE Active_Flag = 1) "
-    "UNION ALL SELECT 'transform_type6', (SELECT COUNT(*) FROM j_ins) "
-    "UNION ALL SELECT 'expire_old_rows', (SELECT COUNT(DISTINCT x_key) FROM j_ins) "
-    "UNION ALL SELECT 'insert_new_versions', (SELECT COUNT(*) FROM j_ins))"))
+                         f"AND d < {sql.lit_date(fx.RUN1)}")], _job_log_sql("Q2", "src", "dim0", "j_ins")))
 def q_type6_job_runlog(spark, sf_dir):
-    """The type-6 job's run log: one row per step, counts from observations."""
-    _, log = _type6_job(spark, sf_dir)
-    return log.frame().select("package", "step", "status", "row_count")
+    """The type-6 job's stored run log: one row per step, counts from observations."""
+    return _stored_log(spark, _type6_job(spark, sf_dir)[1])
 
 
 @register("type6_job_dimension", sql.with_(_JOB_CTES, "SELECT * FROM j_next"))
 def q_type6_job_dimension(spark, sf_dir):
     """Seeded dimension + one incremental job run, read back from the publish."""
-    base, _ = _type6_job(spark, sf_dir)
+    return read_dimension(spark, _type6_job(spark, sf_dir)[0])
+
+
+@register("type6_job_bucketed_dimension", sql.with_(_JOB_CTES, "SELECT * FROM j_next"))
+def q_type6_job_bucketed(spark, sf_dir):
+    """The same job with the active rows published bucketed on the natural key."""
+    return read_dimension(spark, _type6_job(spark, sf_dir, bucket_by=8)[0])
+
+
+@register("type6_job_source_watermark", sql.with_(
+    [("dim0", sql.T6_DIM0), ("jb", sql.job_batch("TRUE", "Update_Date"))]
+    + sql.t6_step("j", "dim0", "jb", fx.RUN2), "SELECT * FROM j_next"))
+def q_type6_job_source_watermark(spark, sf_dir):
+    """Watermark kept from source dates: a seeded dimension has none yet, so the first run reads everything."""
+    base = scratch_path(spark, "type6_job_srcwm")
+    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN2, _JOB_SPEC, watermark_from="source")
     return read_dimension(spark, base)
 
 
-@register("versioned_job_dimension", sql.with_(
-    [("vdim0", sql.V_DIM0),
-     ("vj", sql.job_batch(f"d < {sql.lit_date(fx.RUN1)}", "Schedule_Date"))] + sql.v_step("vjob", "vdim0", "vj"),
-    "SELECT * FROM vjob_next"))
-def q_versioned_job_dimension(spark, sf_dir):
-    """Versioned job in full-extraction mode over the whole source before the run date."""
-    base = scratch_path(spark, "versioned_job")
+_FIRST_CTES = [("none0", f"SELECT * FROM ({sql.T6_DIM0}) WHERE Emp_Key < 0"),
+               ("fb", sql.job_batch("TRUE", "Update_Date"))] + sql.t6_step("f", "none0", "fb", fx.RUN2)
+
+
+@register("type6_first_load", sql.with_(
+    _FIRST_CTES, "SELECT f_next.* EXCLUDE (STARTDate), STARTDate, false AS starts_today FROM f_next"))
+def q_type6_first_load(spark, sf_dir):
+    """No dimension yet: the load starts from a typed empty one, and its run date is today."""
+    base = scratch_path(spark, "type6_first")
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, None, _JOB_SPEC)
+    return read_dimension(spark, base).withColumn("starts_today", F.col("STARTDate") == F.current_date())
+
+
+_STREAM_CTES = sql.t6_two_batch_ctes()
+
+
+@register("type6_stream_dimension", sql.with_(_STREAM_CTES, "SELECT * FROM s2_next"))
+def q_type6_stream_dimension(spark, sf_dir):
+    """A live stream on a seeded dimension: a batch, an empty micro-batch, the other batch."""
+    base, landed = scratch_path(spark, "type6_stream"), scratch_path(spark, "stream_in")
+    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
+    one, two = (fx.type6_batch(spark, sf_dir, w).coalesce(1) for w in (fx.BATCH1, fx.BATCH2))
+    for rows in (one, one.limit(0), two):
+        rows.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(one.schema).parquet(landed)
+        start_scd_stream(stream, base, Type6Spec(), T6_EMPTY, f"{landed}-checkpoint",
+                         run_date_of=_stream_run_date).awaitTermination()
+    return read_dimension(spark, base)
+
+
+def _stream_run_date(batch):
+    last = batch.agg(F.max("Update_Date")).first()[0]
+    return fx.RUN1 if last < fx.RUN1 else fx.RUN2
+
+
+def _versioned_job(spark, sf_dir, mode: str):
+    base, log = scratch_path(spark, "versioned_job"), scratch_path(spark, "log")
     seed_dimension(spark, fx.versioned_dim0(spark, sf_dir), base)
-    log = RunLog(spark, "Q3")
-    run_versioned_load(spark, fx.named_source(spark, sf_dir, "Schedule_Date"), base, log,
+    run_versioned_load(spark, fx.named_source(spark, sf_dir, "Schedule_Date"), base,
                        VersionedSpec(batch_dedup="latest", dedup_order=("o_orderkey",)),
-                       mode="full", upper=fx.RUN1, timestamp_col="o_orderdate")
-    return read_dimension(spark, base)
+                       mode=mode, timestamp_col="o_orderdate", log_to=log)
+    return base, log
+
+
+_VJOB_CTES = [("vdim0", sql.V_DIM0), ("vj", sql.job_batch("TRUE", "Schedule_Date"))] + \
+    sql.v_step("vjob", "vdim0", "vj")
+_VWM_SQL = "(SELECT MAX(Schedule_Date) FROM vdim0 WHERE Active_Flag = 1)"
+
+
+@register("versioned_job_dimension", sql.with_(_VJOB_CTES, "SELECT * FROM vjob_next"))
+def q_versioned_job_dimension(spark, sf_dir):
+    """Versioned job in full-extraction mode over the whole source."""
+    return read_dimension(spark, _versioned_job(spark, sf_dir, "full")[0])
+
+
+@register("versioned_job_runlog", sql.with_(
+    _VJOB_CTES + [("src", sql.NAMED_SOURCE)], _job_log_sql("Q3", "src", "vdim0", "vjob_ins")))
+def q_versioned_job_runlog(spark, sf_dir):
+    return _stored_log(spark, _versioned_job(spark, sf_dir, "full")[1])
+
+
+@register("versioned_job_incremental", sql.with_(
+    [("vdim0", sql.V_DIM0), ("vj", sql.job_batch(f"d > {_VWM_SQL}", "Schedule_Date"))]
+    + sql.v_step("vjob", "vdim0", "vj"), "SELECT * FROM vjob_next"))
+def q_versioned_job_incremental(spark, sf_dir):
+    """Versioned job over the rows after the watermark of Schedule_Date (A2)."""
+    return read_dimension(spark, _versioned_job(spark, sf_dir, "incremental")[0])
+
+
+def _product_job(spark, sf_dir, max_rows: int):
+    docs = land_documents(fx.product_documents(spark, sf_dir), scratch_path(spark, "product_docs"))
+    target, log = scratch_path(spark, "product_q1"), scratch_path(spark, "log")
+    run_product_load(spark, docs, target, max_rows=max_rows, log_to=log)
+    return target, log
 
 
 @register("product_job", f"SELECT * FROM ({sql.PRODUCTS}) ORDER BY id LIMIT 25")
 def q_product_job(spark, sf_dir):
-    """Product documents landed as files, first 25 loaded (L1 end to end)."""
-    docs = land_documents(fx.product_documents(spark, sf_dir), scratch_path(spark, "product_docs"))
-    target = scratch_path(spark, "product_q1")
-    run_product_load(spark, docs, target, RunLog(spark, "Q1"), max_rows=25)
-    return spark.read.parquet(target)
+    """Product documents landed as files, first 25 loaded (L1 end to end, S5)."""
+    return spark.read.parquet(_product_job(spark, sf_dir, 25)[0])
 
 
-@register("type6_job_bucketed_dimension", sql.with_(_JOB_CTES, "SELECT * FROM j_next"))
-def q_type6_job_bucketed(spark, sf_dir):
-    """The same job with the active rows published bucketed on the natural key."""
-    base = scratch_path(spark, "type6_job_bucketed")
-    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base, key="ID", bucket_by=8)
-    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, RunLog(spark, "Q2"),
-                   _JOB_SPEC, mode="incremental", upper=fx.RUN1, timestamp_col="o_orderdate",
-                   bucket_by=8)
-    return read_dimension(spark, base)
+@register("product_job_runlog", sql.with_([("p", sql.PRODUCTS)], _log_sql("Q1", [
+    (step, "SELECT COUNT(*) FROM p") for step in ("extract_json", "transform", "load_product_q1")])))
+def q_product_job_runlog(spark, sf_dir):
+    """All products loaded; the stored run log."""
+    return _stored_log(spark, _product_job(spark, sf_dir, 0)[1])
 
 
-@register("type6_job_source_watermark", sql.with_(
-    [("dim0", sql.T6_DIM0),
-     ("jb", sql.job_batch(f"d < {sql.lit_date(fx.RUN1)}", "Update_Date"))]
-    + sql.t6_step("j", "dim0", "jb", fx.RUN1), "SELECT * FROM j_next"))
-def q_type6_job_source_watermark(spark, sf_dir):
-    """Watermark kept from source dates: a seeded dimension has none yet, so the
-    first run reads everything before the run date."""
-    base = scratch_path(spark, "type6_job_srcwm")
-    seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
-    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, RunLog(spark, "Q2"),
-                   _JOB_SPEC, mode="incremental", upper=fx.RUN1, timestamp_col="o_orderdate",
-                   watermark_from="source")
-    return read_dimension(spark, base)
+@register("failed_job_runlog",
+          "SELECT 'Q1' AS package, step, CASE WHEN step = 'load_product_q1' AND n > 0 THEN 'FAILED' ELSE 'SUCCEEDED' END "
+          "AS status, CAST(0 AS BIGINT) AS row_count FROM (SELECT COUNT(*) AS n FROM part), "
+          "(VALUES ('extract_json'), ('transform'), ('load_product_q1')) AS s(step)")
+def q_failed_job_runlog(spark, sf_dir):
+    """A price above what the target takes fails the load; its log is stored all the same."""
+    docs = land_documents(fx.product_documents(spark, sf_dir), scratch_path(spark, "product_docs"))
+    log = scratch_path(spark, "log")
+    try:
+        run_product_load(spark, docs, scratch_path(spark, "product_q1"), constraints={"cheap": F.col("price") < 0},
+                         log_to=log)
+    except PySparkException as error:
+        if "cheap" not in str(error):
+            raise
+    return _stored_log(spark, log)
 
 
 @register("versioned_conventional_apply", sql.with_(

@@ -3,7 +3,7 @@
 The employee-like source is built from ``orders``: a customer's state in a
 date window is its last order by (o_orderdate desc, o_orderkey desc) with
 ID = o_custkey, City = o_orderpriority, Email = o_orderstatus, date = order date,
-Name = c_name.  dim0 = state before 1996; batch 1 = 1996, batch 2 = 1997.
+Name = c_name.  dim0 = state before 1996; batch 1 = 1996, batch 2 = all after it.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from loadsmith.specs import Type6Spec, VersionedSpec
 # Fixed values of the fixture (dates of the windows and run dates).
 DIM0_END = dt.date(1996, 1, 1)
 BATCH1 = (dt.date(1996, 1, 1), dt.date(1997, 1, 1))
-BATCH2 = (dt.date(1997, 1, 1), dt.date(1998, 1, 1))
+BATCH2 = (dt.date(1997, 1, 1), None)  # to the end of the data
 RUN1 = dt.date(1997, 1, 1)
-RUN2 = dt.date(1998, 1, 1)
+RUN2 = dt.date(1999, 1, 1)
 CONV_PAGE = 50      # turns per conversation document
 PART_PAGE = 100     # products per document
 EMB_PAGE = 50       # vectors per 2-D document
@@ -129,13 +129,10 @@ def versioned_batch(spark, sf_dir, dim0: DataFrame) -> DataFrame:
 
 CONV_SCHEMA = ("conv_id bigint, page bigint, n_turns bigint, "
                "turns array<struct<turn: bigint, role: string, text: string>>")
-PRODUCT_ELEM = ("id bigint, title string, price double, discountPercentage double, "
-                "stock bigint, brand string, category string, rating double")
 PRODUCT_SCHEMA = ("products array<struct<id: bigint, title: string, price: double, "
                   "discountPercentage: double, stock: bigint, brand: string, category: string, "
                   "rating: double>>, total bigint, skip bigint, limit bigint, page bigint")
 EMB_SCHEMA = "page bigint, names array<string>, rows array<array<double>>"
-EMB_COLUMNS = ["vec_id", "label", "e0", "e1", "e2"]
 
 
 def conversation_documents(spark, sf_dir) -> DataFrame:
@@ -164,12 +161,21 @@ def product_documents(spark, sf_dir) -> DataFrame:
         F.lit(PART_PAGE).cast("bigint").alias("limit"), "page")).alias("doc"))
 
 
-def embedding_documents(spark, sf_dir) -> DataFrame:
-    """2-D documents: a names array and rows of values, 50 vectors per page."""
+def embedding_width(spark, sf_dir) -> int:
+    """The longest vector of the table."""
+    return int(table(spark, sf_dir, "embeddings").agg(F.max(F.size("embedding"))).first()[0] or 0)
+
+
+def embedding_columns(width: int) -> list[str]:
+    return ["vec_id", "label", *(f"e{i}" for i in range(width))]
+
+
+def embedding_documents(spark, sf_dir, width: int) -> DataFrame:
+    """2-D documents: a names array and rows of all values, 50 vectors per page."""
     e = table(spark, sf_dir, "embeddings")
-    row = F.array(F.col("vec_id").cast("double"), F.col("label").cast("double"),
-                  *[F.col("embedding").getItem(i).cast("double") for i in range(3)])
+    row = F.concat(F.array(F.col("vec_id").cast("double"), F.col("label").cast("double")),
+                   F.col("embedding").cast("array<double>"))
     pages = e.groupBy(F.expr(f"vec_id div {EMB_PAGE}").alias("page")).agg(
         F.collect_list(row).alias("rows"))
-    names = F.array(*[F.lit(n) for n in EMB_COLUMNS])
+    names = F.array(*[F.lit(n) for n in embedding_columns(width)])
     return pages.select("page", F.to_json(F.struct("page", names.alias("names"), "rows")).alias("doc"))

@@ -216,4 +216,3 @@ PRODUCTS_CHECKED = [
     ("prod_checked", "SELECT * FROM prod_base UNION ALL SELECT * FROM prod_base WHERE id % 83 = 0"),
 ]
 
-PAGE_SIZES = {"conv": CONV_PAGE, "part": PART_PAGE, "emb": EMB_PAGE}

@@ -10,7 +10,7 @@ document is parsed against a declared schema on the executors, the array under
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadsmith.specs import DocumentSpec
@@ -23,8 +23,6 @@ def _explode(parsed: DataFrame, doc: str, spec: DocumentSpec, passthrough) -> Da
     gen = F.posexplode_outer(arr) if spec.include_parents_when_child_missing else F.posexplode(arr)
     parents = [F.col(f"{doc}.{p}").alias(spec.parent_prefix + p) for p in spec.parents]
     rows = parsed.select(*passthrough, *parents, gen.alias("_ls_pos", "_ls_elem"))
-    if spec.max_rows:
-        rows = rows.filter(F.col("_ls_pos") < spec.max_rows)
     elem_fields = rows.schema["_ls_elem"].dataType
     if hasattr(elem_fields, "fieldNames"):
         elem = [F.col("_ls_elem." + f).alias(f) for f in elem_fields.fieldNames()]
@@ -111,8 +109,14 @@ def nested_as_string(df: DataFrame, columns) -> DataFrame:
 
 def flatten_array(df: DataFrame, column: str, max_items: int = 10, separator: str = "_",
                   fields=None) -> DataFrame:
-    """Flattening on: element i (< max_items) becomes ``<col>_<i>[_<field>]`` columns."""
-    cols = []
+    """Flattening on: element i (< max_items) becomes ``<col>_<i>[_<field>]`` columns.
+
+    Elements from ``max_items`` on are kept, as an array, in ``<col>_rest`` (null if
+    there are none).
+    """
+    size = F.size(column)
+    cols = [F.when(size > max_items, F.slice(column, max_items + 1, F.greatest(size - max_items, F.lit(0))))
+            .alias(f"{column}{separator}rest")]
     for i in range(max_items):
         item = F.get(F.col(column), i)  # NULL past the end (ANSI-safe)
         if fields:
@@ -166,8 +170,3 @@ def parse_column(df: DataFrame, column: str, schema: str, alias: str | None = No
         return df.withColumn(alias, parsed)
     return df.select("*", parsed.alias("_ls_j")).select(
         *[F.col(c) for c in df.columns], "_ls_j.*")
-
-
-def json_path(column: str, path: str) -> Column:
-    """One value by JSON path (``$.a.b``) as text."""
-    return F.get_json_object(F.col(column), path)

@@ -105,8 +105,8 @@ class DocumentSpec:
 
     array_path: dotted path of the array to explode (``products`` for
     ``$.products[*]``); parents: root scalars carried beside each element
-    (prefixed with ``parent_prefix``); max_rows: keep the first N elements in
-    document order (0 = all).
+    (prefixed with ``parent_prefix``).  ``first_rows`` keeps the first N elements
+    of all documents together.
     """
 
     schema: str
@@ -114,6 +114,5 @@ class DocumentSpec:
     parents: tuple[str, ...] = ()
     parent_prefix: str = "P_"
     include_parents_when_child_missing: bool = False
-    max_rows: int = 0
     keep_position: bool = False
     extra: dict = field(default_factory=dict)

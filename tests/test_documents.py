@@ -27,7 +27,7 @@ SCHEMA = f"products array<struct<{ELEM.replace(' ', ': ', 1)}>>, total bigint, s
 SCHEMA = ("products array<struct<id: bigint, title: string, price: double, discountPercentage: double, "
           "stock: bigint, brand: string, category: string, rating: double, images: array<string>>>, "
           "total bigint, skip bigint, limit bigint")
-SPEC = DocumentSpec(schema=SCHEMA, array_path="products", parents=("total", "skip", "limit"), max_rows=25)
+SPEC = DocumentSpec(schema=SCHEMA, array_path="products", parents=("total", "skip", "limit"), keep_position=True)
 
 
 def product(i, price=549.99):
@@ -48,11 +48,12 @@ def test_types_and_rounding(spark):
                       "stock": "bigint", "brand": "string", "category": "string", "rating": "double"}
 
 
-def test_row_cap_keeps_first_25_in_document_order(spark):
-    d = docs(spark, [{"products": [product(i) for i in range(40)], "total": 40, "skip": 0, "limit": 40}])
-    rows = parse_documents(d, "doc", SPEC).collect()
-    assert len(rows) == 25 and sorted(r["id"] for r in rows) == list(range(25))
-    assert all(r["P_total"] == 40 for r in rows)
+def test_row_cap_keeps_the_first_rows_of_all_documents(spark):
+    d = docs(spark, [{"products": [product(s + i) for i in range(20)], "total": 40, "skip": s, "limit": 20} for s in (20, 0)])
+    rows = parse_documents(d, "doc", SPEC)
+    first = first_rows(rows, 25, ["P_skip", "pos"]).collect()
+    assert sorted(r["id"] for r in first) == list(range(25)) and all(r["P_total"] == 40 for r in first)
+    assert first_rows(rows, 0, ["P_skip", "pos"]).count() == 40
 
 
 def test_rounding_half_up(spark):
@@ -101,7 +102,9 @@ def test_nested_as_string_and_flatten(spark):
     s = nested_as_string(rows, ["images"]).collect()[0]["images"]
     assert json.loads(s) == ["a", "b"]
     flat = flatten_array(rows, "images", max_items=3).collect()[0]
-    assert (flat["images_0"], flat["images_1"], flat["images_2"]) == ("a", "b", None)
+    assert (flat["images_0"], flat["images_1"], flat["images_2"], flat["images_rest"]) == ("a", "b", None, None)
+    long = spark.createDataFrame([(list("abcdefghijklm"),), ([],), (None,)], "images array<string>")
+    assert [r["images_rest"] for r in flatten_array(long, "images").collect()] == [["k", "l", "m"], None, None]
 
 
 def test_unpivot_and_2d_rows(spark):
@@ -153,12 +156,10 @@ def test_create_table_if_missing(spark, tmp_dir):
 
 def test_product_job_length_gate_and_rounding(spark, tmp_dir):
     from loadsmith.plans.jobs import run_product_load
-    from loadsmith.plans.runlog import RunLog
     p = product(1, price=2.5)
-    d = docs(spark, [{"products": [p], "total": 1, "skip": 0, "limit": 1, "page": 0}])
-    n = run_product_load(spark, d, f"{tmp_dir}/t", RunLog(spark, "Q1"), rounding="floor", enforce_lengths=True)
-    assert n == 1 and spark.read.parquet(f"{tmp_dir}/t").collect()[0]["price"] == 2
-    long = dict(p, title="x" * 200)
-    d2 = docs(spark, [{"products": [long], "total": 1, "skip": 0, "limit": 1, "page": 0}])
-    with pytest.raises(Exception):
-        run_product_load(spark, d2, f"{tmp_dir}/t2", RunLog(spark, "Q1"), enforce_lengths=True)
+    d = docs(spark, [{"products": [p], "total": 1, "skip": 0, "limit": 1}])
+    assert run_product_load(spark, d, f"{tmp_dir}/t", rounding="floor").inserted == 1
+    assert spark.read.parquet(f"{tmp_dir}/t").collect()[0]["price"] == 2
+    d2 = docs(spark, [{"products": [dict(p, title="x" * 200)], "total": 1, "skip": 0, "limit": 1}])
+    with pytest.raises(Exception, match="title_length"):
+        run_product_load(spark, d2, f"{tmp_dir}/t2")

@@ -50,13 +50,14 @@ def test_lookup_outputs(spark):
 
 
 def test_rejects_and_gate(spark):
-    df = spark.createDataFrame([(1, '{"k": 1}'), (2, '{"k": 2'), (3, '{"k": "x"}')], "id int, p string")
+    df = spark.createDataFrame([(1, '{"k": 1}'), (2, '{"k": 2'), (3, '{"k": "x"}'), (4, None)], "id int, p string")
     good, bad = parse_with_rejects(df, "p", "k int", keep=["id"])
     assert [r["k"] for r in good.collect()] == [1]
-    assert sorted(r["id"] for r in bad.collect()) == [2, 3]
+    assert [(r["id"], r["ErrorText"], r["ErrorColumnName"]) for r in bad.orderBy("id").collect()] == [
+        (2, '{"k": 2', "p"), (3, '{"k": "x"}', "p"), (4, None, "p")]
     g, b = split_rejects(df, F.col("id") > 1, "id")
-    assert g.count() == 2 and b.collect()[0]["ErrorColumn"] == "id"
-    assert enforce(df, {"len": max_length("p", 20)}).count() == 3
+    assert g.count() == 3 and b.collect()[0]["ErrorColumn"] == "id"
+    assert enforce(df, {"len": max_length("p", 20)}).count() == 4
     with pytest.raises(Exception):
         enforce(df, {"len": max_length("p", 5)}).count()
 
