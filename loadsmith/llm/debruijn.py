@@ -32,8 +32,6 @@ from loadsmith.llm.common import as_signed, in_slices, mixed, small_enough, text
 from loadsmith.session import materialize
 
 K, SEED_WORDS = 35, 8
-#: Spans (16 bytes each) up to which results are broadcast to the texts; beyond, the join shuffles.
-BROADCAST_SPANS = 2_000_000
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -67,19 +65,36 @@ def super_kmers(h: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.n
     return lo, hi, grams[where[lo]], spans.of(lo, hi + k - 1)
 
 
-def super_kmer_rows(docs: DataFrame, k: int = K) -> DataFrame:
-    """k1, k2 (the text), lo, hi, m (minimizer), e1, e2 (the whole super-k-mer)."""
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """k1, k2, text, weight: one row per distinct text, with weight 2 if there are more.
+
+    Copies repeat every k-mer of their text, so one of them, counted twice, stands
+    for any number.  (Rows that repeat id and text may stay; they change no verdict.)
+    """
+    keyed = docs.where("text is not null").select(*text_key(), "doc_id", "text")
+    copied = materialize(keyed.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+                         .where("n > 1").select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "first"), "copied")
+    marked = keyed.join(small_enough(copied), F.expr("k1 = c1 and k2 = c2"), "left")
+    return marked.where("c1 is null or doc_id <=> first").select(
+        "k1", "k2", "text", F.when(F.col("c1").isNull(), 1).otherwise(2).alias("weight"))
+
+
+def super_kmer_rows(texts: DataFrame, k: int = K) -> DataFrame:
+    """k1, k2 (the text), weight, lo, hi, m (minimizer), e (the whole super-k-mer).
+
+    Equal super-k-mers have equal minimizers, so (m, e) is a hash of 128 bits.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_memory()
         for batch in batches:
-            key1, key2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            own = [batch.column(i).to_numpy() for i in (0, 1, 3)]
             parts, held = [], 0
             for i, text in enumerate(batch.column(2).cast(pa.binary())):
                 words = text.as_py().split()
                 if len(words) >= k:
                     lo, hi, m, e = super_kmers(word_hashes(words, known), k)
-                    parts.append((np.full(len(lo), key1[i]), np.full(len(lo), key2[i]), lo.astype(np.int32),
-                                  hi.astype(np.int32), as_signed(m), as_signed(e[0]), as_signed(e[1])))
+                    parts.append((*(np.full(len(lo), x[i]) for x in own), lo.astype(np.int32), hi.astype(np.int32),
+                                  as_signed(m), as_signed(e[0])))
                     held += len(lo)
                 if held > 50_000:
                     yield batch_of(parts)
@@ -89,43 +104,62 @@ def super_kmer_rows(docs: DataFrame, k: int = K) -> DataFrame:
 
     def batch_of(parts: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
-                                          names=["k1", "k2", "lo", "hi", "m", "e1", "e2"])
+                                          names=["k1", "k2", "weight", "lo", "hi", "m", "e"])
 
-    return (docs.where("text is not null").select(*text_key(), "text")
-            .mapInArrow(rows, "k1 long, k2 long, lo int, hi int, m long, e1 long, e2 long"))
+    return texts.mapInArrow(rows, "k1 long, k2 long, weight int, lo int, hi int, m long, e long")
 
 
-def compacted(repeated: DataFrame) -> DataFrame:
-    """Paths (k1, k2, lo, hi, times) of the repeated super-k-mers: maximal runs without a branch.
+def linked(repeated: DataFrame) -> DataFrame:
+    """k1, k2, lo, hi, times, on: whether a repeated super-k-mer and its next are one path.
 
-    ``repeated`` has every occurrence by text, with the text's copies and the count
-    ``n`` over all texts.  Two neighbours join if their link occurs as often as each
-    of them: then no occurrence of one goes on with anything else.
+    ``repeated`` has every occurrence with the count ``n``.  Two neighbours join if
+    their link occurs as often as each of them: then no occurrence of one goes on
+    with anything else, and the path has no branch between them.
     """
     order = Window.partitionBy("k1", "k2").orderBy("lo")
-    linked = repeated.withColumns({c: F.lead(s).over(order) for c, s in (
-        ("lo_", "lo"), ("f1", "e1"), ("f2", "e2"), ("n_", "n"))})
-    links = linked.where("lo_ = hi").groupBy("e1", "e2", "f1", "f2").agg(F.sum("copies").alias("both"))
-    plain = linked.join(links, ["e1", "e2", "f1", "f2"], "left").withColumn(
-        "goes_on", F.expr("coalesce(lo_ = hi and both = n and both = n_, false)"))
-    path = plain.withColumn("path", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(
-        order.rowsBetween(Window.unboundedPreceding, -1)))
-    return path.groupBy("k1", "k2", F.coalesce("path", F.lit(0)).alias("path")).agg(
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("n").alias("times")).drop("path")
-
-
-def _of_texts(docs: DataFrame, spans: DataFrame, column: str, how: str) -> DataFrame:
-    """Texts with their spans; broadcast if there are few (counted), else a shuffled join."""
-    size = spans.agg(F.sum(F.size(column))).first()[0] or 0
-    right = F.broadcast(spans) if size <= BROADCAST_SPANS else spans
-    return docs.join(right, ["k1", "k2"], how)
-
+    pairs = repeated.withColumns({c: F.lead(s).over(order) for c, s in (("lo_", "lo"), ("m_", "m"), ("e_", "e"), ("n_", "n"))})
+    pairs = pairs.select("k1", "k2", "lo", "hi", "n", "weight", F.when(
+        F.expr("lo_ = hi and n = n_"), F.struct(F.xxhash64("m", "e", "m_", "e_").alias("a"),
+                                                F.xxhash64("e_", "e", "m").alias("b"))).alias("link"))
+    often = materialize(pairs.where("link is not null").groupBy("link").agg(F.sum("weight").alias("both")), "graph-links")
+    return pairs.join(often, "link", "left").select(
+        "k1", "k2", "lo", "hi", F.col("n").alias("times"), F.expr("coalesce(both = n, false)").alias("on"))
+
+
+def compacted(runs: DataFrame) -> DataFrame:
+    """(k1, k2, spans): per text the paths that the linked super-k-mers make, in order of place."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = []
+            for held in batch.column(2):
+                out, open_ = [], False
+                for r in held.as_py():
+                    if open_:
+                        out[-1]["hi"] = r["hi"]
+                    else:
+                        out.append({"lo": r["lo"], "hi": r["hi"], "times": r["times"]})
+                    open_ = r["on"]
+                spans.append(out)
+            kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32()), ("times", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind)],
+                                             names=["k1", "k2", "spans"])
+
+    per_text = runs.groupBy("k1", "k2").agg(
+        F.sort_array(F.collect_set(F.struct("lo", "hi", "times", "on"))).alias("held"))
+    return per_text.mapInArrow(merge, "k1 long, k2 long, spans array<struct<lo: int, hi: int, times: long>>")
+
+
+def _of_texts(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """The texts that ``places`` names, with their places.
+
+    The keys of those texts are broadcast if they are few (counted), so that only
+    these texts are shuffled.
+    """
+    return texts.join(small_enough(places.select("k1", "k2")), ["k1", "k2"], "left_semi").join(places, ["k1", "k2"])
 
-def single_kmers(docs: DataFrame, places: DataFrame, k: int = K) -> DataFrame:
-    """w1, w2, k1, k2, s, weight: each k-mer of the given places (k1, k2, copies, todo: lo, hi, weight).
 
-    A text that occurs several times is read once.
-    """
+def single_kmers(texts: DataFrame, places: DataFrame, k: int = K) -> DataFrame:
+    """w1, w2, k1, k2, s, weight: each k-mer of the given places (k1, k2, todo: lo, hi, weight)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_memory()
         for batch in batches:
@@ -141,40 +175,37 @@ def single_kmers(docs: DataFrame, places: DataFrame, k: int = K) -> DataFrame:
                          pa.array(p, pa.int32()), pa.array(n, pa.int32())],
                         names=["w1", "w2", "k1", "k2", "s", "weight"])
 
-    texts = docs.where("text is not null").select(*text_key(), "text")
-    alone = _of_texts(texts, places.where("copies = 1").drop("copies"), "todo", "inner")
-    copied = _of_texts(texts, places.where("copies > 1").drop("copies"), "todo", "inner").dropDuplicates(["k1", "k2"])
-    return (alone.unionByName(copied).select("k1", "k2", "text", "todo")
+    return (_of_texts(texts.drop("weight"), places).select("k1", "k2", "text", "todo")
             .mapInArrow(rows, "w1 long, w2 long, k1 long, k2 long, s int, weight int"))
 
 
 def repeated_spans(docs: DataFrame, k: int = K) -> DataFrame:
-    """(k1, k2, lo, hi, times): per distinct text, all runs of k-mer starts that occur again anywhere.
+    """(k1, k2, spans: lo, hi, times): per distinct text, the k-mer starts that occur again anywhere.
 
-    ``times`` is how often a compacted path occurs; null for k-mers found singly.
-    The k-mers of a span cover the words from lo to hi + k - 2.
+    A span is a run of starts; its k-mers cover the words from lo to hi + k - 2.
+    ``times`` is how often a compacted path occurs, all copies of a text counted as
+    two; null for k-mers found singly.
     """
-    rows = materialize(super_kmer_rows(docs, k), "super-kmers")
-    again = rows.groupBy("m").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("m")
+    texts = one_of_each(docs)
+    rows = materialize(super_kmer_rows(texts, k), "super-kmers")
+    again = materialize(rows.groupBy("m").agg(F.sum("weight").alias("c")).where("c > 1").select("m"), "minimizers")
     rows = materialize(rows.join(again, "m"), "shared-minimizers")
-    edges = rows.groupBy("e1", "e2").agg(F.count(F.lit(1)).alias("n"))
-    counted = materialize(rows.join(edges.where("n > 1"), ["e1", "e2"], "left"), "edges")
-    repeated = counted.where("n is not null").groupBy("m", "k1", "k2", "lo", "hi", "e1", "e2", "n").agg(
-        F.count(F.lit(1)).alias("copies"))
-    repeated = materialize(repeated, "repeated-edges")
-    paths = compacted(repeated)
-    ends = counted.where("n is null").select(
-        "m", "k1", "k2", "lo", "hi", F.lit(1).alias("weight"), F.lit(1).cast("long").alias("copies"))
-    one = (repeated.groupBy("m", "e1", "e2").agg(F.min(F.struct("copies", "k1", "k2", "lo", "hi")).alias("o"))
-           .join(ends.select("m").distinct(), "m", "left_semi")
-           .select("o.k1", "o.k2", "o.lo", "o.hi", F.lit(2).alias("weight"), "o.copies"))
-    places = (ends.drop("m").unionByName(one).groupBy("k1", "k2")
-              .agg(F.collect_list(F.struct("lo", "hi", "weight")).alias("todo"), F.max("copies").alias("copies")))
-    singles = materialize(single_kmers(docs, materialize(places, "places"), k), "kmers")
-    found = singles.groupBy("w1", "w2").agg(F.sum("weight").alias("c")).where("c > 1").select("w1", "w2")
+    edges = materialize(rows.groupBy("m", "e").agg(F.sum("weight").alias("n")).where("n > 1"), "repeated-edges")
+    counted = materialize(rows.join(edges, ["m", "e"], "left"), "edges")
+    repeated, ends = counted.where("n is not null"), counted.where("n is null")
+    ends_m = materialize(ends.select("m").distinct(), "end-minimizers")
+    one = (repeated.join(ends_m, "m", "left_semi").groupBy("m", "e")
+           .agg(F.min(F.struct("k1", "k2", "lo", "hi")).alias("o"))
+           .select("o.k1", "o.k2", "o.lo", "o.hi", F.lit(2).alias("weight")))
+    places = (ends.select("k1", "k2", "lo", "hi", F.lit(1).alias("weight")).unionByName(one).groupBy("k1", "k2")
+              .agg(F.collect_list(F.struct("lo", "hi", "weight")).alias("todo")))
+    singles = materialize(single_kmers(texts, materialize(places, "places"), k), "kmers")
+    found = materialize(singles.groupBy("w1", "w2").agg(F.sum("weight").alias("c")).where("c > 1").select("w1", "w2"),
+                        "repeated-kmers")
     single = singles.where("weight = 1").join(found, ["w1", "w2"]).select(
-        "k1", "k2", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi"), F.lit(None).cast("long").alias("times"))
-    return paths.select("k1", "k2", "lo", "hi", "times").unionByName(single.distinct())
+        "k1", "k2", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi"), F.lit(None).cast("long").alias("times"),
+        F.lit(False).alias("on"))
+    return materialize(compacted(linked(repeated).unionByName(single)), "spans")
 
 
 def _mark(words: int, spans: list, k: int) -> np.ndarray:
@@ -196,8 +227,7 @@ def remove_repeats(docs: DataFrame, k: int = K) -> DataFrame:
     hash of the empty string.  Repeated rows are copies of each other; null ids
     are kept; an empty table gives an empty result.  Other columns are not carried.
     """
-    rows = docs.select("doc_id", *text_key(), "text")
-    joined = _with_spans_of(rows, docs, k).select("doc_id", "text", "spans")
+    joined = _with_spans(docs.select("doc_id", *text_key(), "text"), docs, k).select("doc_id", "text", "spans")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,10 +249,13 @@ def remove_repeats(docs: DataFrame, k: int = K) -> DataFrame:
     return joined.mapInArrow(digests, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
-def _with_spans_of(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    spans = materialize(repeated_spans(docs, k).groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
-    return _of_texts(rows, spans, "spans", "left")
+def _with_spans(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``rows`` with the spans of their text; rows without any aren't shuffled (null spans)."""
+    spans = repeated_spans(docs, k)
+    keys = small_enough(spans.select("k1", "k2"))
+    clean = rows.join(keys, ["k1", "k2"], "left_anti").withColumn(
+        "spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    return clean.unionByName(_of_texts(rows, spans))
 
 
 def cut_repeats(docs: DataFrame, k: int = K, most: float = 1.0) -> DataFrame:
@@ -233,7 +266,7 @@ def cut_repeats(docs: DataFrame, k: int = K, most: float = 1.0) -> DataFrame:
     """
     columns = docs.columns
     renamed = docs.select(*text_key(), *(F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(columns)))
-    joined = _with_spans_of(renamed, docs, k)
+    joined = _with_spans(renamed, docs, k)
     names = [f"d{i}" for i in range(len(columns))]
     at = columns.index("text")
     ordered = joined.select(*names, "spans")
