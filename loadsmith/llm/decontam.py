@@ -77,7 +77,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     A null or wordless text has no words, hits or items (items_sha256 is that of
     the empty string), nor has any document if the benchmark is empty or
-    wordless.  Repeated rows are judged alike and each returned; null ids are
+    wordless.  Windows of an item without id hit words but are listed nowhere.  Repeated rows are judged alike and each returned; null ids are
     kept.  Texts and spans are compared exactly, equal texts share one verdict
     (two 64-bit hashes name a text).  Other columns are not carried.
     """
@@ -97,8 +97,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
                         share: float = 0.5) -> DataFrame:
     """``docs`` without benchmark passages; the columns stay as they are.
 
-    Hit words are cut out, with what separates them, and the rest of the text is
-    joined by one space; a document that loses at least ``share`` of its words is
+    Hit words are cut out, each with what separates it from the next word, and the
+    rest of the text stays as it is; a document that loses at least ``share`` of its words is
     dropped.  Documents without hits are returned unchanged.
     """
     found = (contamination(docs, benchmark, window)
@@ -107,9 +107,10 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     tagged = docs.withColumns({"_d1": k1, "_d2": k2}).join(
         F.broadcast(found) if found.limit(100_001).count() <= 100_000 else found,
         F.expr("_d1 = _k1 and _d2 = _k2"), "left")
-    # Odd elements of the split are words: separators and words alternate.
-    pieces = F.expr(r"regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*', 0)")
-    lead = F.expr(r"regexp_extract(text, '^[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]*', 0)")
+    # A word with what follows it, in the text as it is (A-Z are letters there).
+    gap = r"\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F"
+    pieces = F.expr(f"regexp_extract_all(text, '[^{gap}]+[{gap}]*', 0)")
+    lead = F.expr(f"regexp_extract(text, '^[{gap}]*', 0)")
     kept = F.expr("filter(transform(_pieces, (p, i) -> if(array_contains(_hit, i), null, p)), p -> p is not null)")
     cut = (tagged.withColumn("_pieces", F.when(F.col("_hit").isNotNull(), pieces))
            .withColumn("_left", F.concat(lead, F.array_join(kept, "")))

@@ -23,7 +23,7 @@ def plain(texts, items, n=10):
             for s in range(len(w) - size + 1):
                 if (got := wins.get(tuple(w[s:s + size]))):
                     hit.update(range(s, s + size))
-                    found |= got
+                    found |= got - {"None"}
         out.append((len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     return out
 
