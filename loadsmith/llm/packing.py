@@ -11,10 +11,13 @@ from its rank in the order of lengths.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,39 +25,68 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from loadsmith.llm.common import Remembered, in_slices, number_rows
+from loadsmith.llm.common import in_slices, number_rows
 from loadsmith.session import materialize
 
 CAPACITY, END_ID, GROUPS = 1024, 2, 128
 #: Lengths over this share of the capacity are large.
 LARGE_SHARE = 1 / 8
-#: Texts of these characters only are split here and encoded word by word; all others whole.
-_PLAIN = re.compile("[^\t\n\r -~¡-ɏ]")
+#: Texts without any of these characters are split here and encoded word by word; all others whole.
+_RARE = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ɏ]")
+#: The byte-level pattern for such texts (there, letters are what is a word character but no digit or underscore).
+_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: Words whose ids a worker remembers (about 200 bytes each).
+_REMEMBERED = 1_000_000
+
+
+class _Known:
+    """Ids by word, in two generations: when one is full, the older is forgotten."""
+
+    def __init__(self, most: int):
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.most = most // 2
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """Those of ``keys`` that must be learned; all others are in ``recent`` afterwards."""
+        missing = keys.difference(self.recent)
+        if missing and len(self.recent) + len(missing) > self.most:
+            self.older, self.recent = self.recent, {}
+            missing = keys
+        out = []
+        for key in missing:
+            if (ids := self.older.get(key)) is None:
+                out.append(key)
+            else:
+                self.recent[key] = ids
+        return out
 
 
-def encoder(path: str):
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Callable[[str], bytes]:
     """Text -> bytes of its ids (little-endian unsigned 32-bit), as the tokenizer file at ``path`` encodes it.
 
     A byte-level BPE never merges across the words its pattern cuts, so equal
-    words get equal ids and are encoded once.
+    words get equal ids and are encoded once.  A worker keeps its encoder, and the
+    words it has met, from task to task.
     """
-    import regex
-    from public_tokenizers import PATTERN
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
     model = Tokenizer.from_file(path)
     special = [t.content for t in model.get_added_tokens_decoder().values()]
-    find = regex.compile(PATTERN).findall
-
-    def encode(text: str) -> bytes:
-        return np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def encode(texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    known = Remembered(encode, 200_000)
+    known = _Known(_REMEMBERED)
 
     def ids(text: str) -> bytes:
-        if _PLAIN.search(text) or any(s in text for s in special):
-            return encode(text)
-        return b"".join(map(known.__getitem__, find(text)))
+        if _RARE.search(text) or any(s in text for s in special):
+            return encode([text])[0]
+        words = _WORDS.findall(text)
+        missing = known.unknown(set(words))
+        known.recent.update(zip(missing, encode(missing)))
+        return b"".join(map(known.recent.__getitem__, words))
 
     return ids
 

@@ -61,7 +61,7 @@ def test_cut():
 def test_ids_equal_the_tokenizer_s():
     model, ids = Tokenizer.from_file(PATH), encoder(PATH)
     rng = random.Random(2)
-    signs = list("aZ é ß\n\t  '.,0₂٣  \x1c\x85東👍🏽İ́") + ["'s", "'re", " the", "<|endoftext|>", "   ", "\r\n", "naïve"]
+    signs = list("aZ é ß²¼ªº¹_1\n\t  '.,0₂٣  \x1c\x85東👍🏽İ́") + ["'s", "'re", " the", "<|endoftext|>", "   ", "\r\n", "naïve"]
     for _ in range(400):
         text = "".join(rng.choices(signs, k=rng.randint(0, 40)))
         assert np.frombuffer(ids(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, repr(text)
