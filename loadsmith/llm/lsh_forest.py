@@ -6,8 +6,8 @@ values share a region of it.  Regions are sorted by the values that follow, so
 that neighbours have the longest common prefixes; a crowded region is split at
 deeper values first.  Neighbours are verified on the full sets and their links
 give first components.  Then every pair of a region that is still in different
-components is compared by signature, in blocks, and verified if it may reach the
-threshold, so no region is cut short.
+components is compared too, by signature and then on the full sets in small
+regions, on the full sets in blocks in large ones, so no region is cut short.
 
 Two sets of similarity 0.8 share none of the 35 regions with a probability of
 (1 - 0.8^5)^35, about one in a million; more similar ones far less often.
@@ -32,8 +32,10 @@ DEPTH, TREES = 5, 35
 VALUES = DEPTH * TREES
 #: Values after the prefix that order a region; trees whose neighbours make the first links.
 DEEPER, FIRST_TREES = 4, 12
-#: Members beyond which a region is split at deeper values for the first links; rows of a compared block.
-CROWDED, BLOCK = 10_000, 2048
+#: Members beyond which a region is split at deeper values for the first links.
+CROWDED = 10_000
+#: Rows of a region up to which it is compared pair by pair, and rows of a block of a larger one.
+SMALL, BLOCK = 64, 512
 #: Signature agreement below which a pair isn't verified: 5 standard deviations below a similarity of 0.8.
 LEAST_AGREEMENT = 0.65
 _MULTIPLIERS = (np.random.default_rng(7).integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32)
@@ -119,12 +121,11 @@ def neighbour_pairs(members: DataFrame) -> DataFrame:
         F.least("cls", "next").alias("a"), F.greatest("cls", "next").alias("b")).distinct()
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b): pairs of a region in different components whose signatures may mean a link.
+def undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of regions that still hold several components: tree, region, cls, root, main, n, lefts, rights.
 
-    In each region all members but those of its most frequent component face all
-    members, in blocks of ``BLOCK`` by ``BLOCK`` rows; only pairs that agree enough
-    come out, each in the first tree where the two meet.
+    ``main`` is the region's most frequent component.  All other members (in
+    ``lefts`` blocks of ``BLOCK`` rows) have to face all members (``rights`` blocks).
     """
     rooted = (members.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
               .withColumn("root", F.coalesce("root", "cls")).select("tree", "region", "cls", "root"))
@@ -132,39 +133,93 @@ def cross_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame) -> Dat
     regions = by_root.groupBy("tree", "region").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("top"))
     regions = regions.where("roots > 1").select(
-        "tree", "region", F.col("top.root").alias("main"),
+        "tree", "region", "n", F.col("top.root").alias("main"),
         F.ceil(F.col("n") / BLOCK).cast("int").alias("rights"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("lefts"))
-    undecided = materialize(rooted.join(regions, ["tree", "region"]), "undecided")
-    signed = undecided.join(classes.select("cls", "sig"), "cls")
-    spread = F.pmod(F.xxhash64("cls", "tree"), F.lit(1 << 30)).cast("int")
-    row = ["tree", "region", "cls", "sig", "root", "main"]
-    right = signed.select(*row, F.lit(False).alias("left"), (spread % F.col("rights")).alias("j"),
-                          F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"))
-    left = signed.where("root <> main").select(
-        *row, F.lit(True).alias("left"), (spread % F.col("lefts")).alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"))
+    return materialize(rooted.join(regions, ["tree", "region"]), "undecided")
+
 
+def small_pairs(open_rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): pairs of a region of at most ``SMALL`` rows, in different components, whose signatures
+    may mean a link; each pair in the first tree where the two meet."""
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         tree, main, out = int(rows["tree"].iloc[0]), rows["main"].iloc[0], []
         sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, VALUES)
-        cls, root = rows["cls"].to_numpy(object), rows["root"].to_numpy(object)
-        is_left = rows["left"].to_numpy(bool)
-        lefts, rights = np.nonzero(is_left)[0], np.nonzero(~is_left)[0]
-        _, number = np.unique(root.astype("S16"), return_inverse=True) if len(root) else (None, root)
-        for at in range(0, len(lefts), 64):
-            some = lefts[at:at + 64]
-            same = sig[some][:, None, :] == sig[rights][None, :, :]
-            good = (same.mean(axis=2) >= LEAST_AGREEMENT) & (number[some][:, None] != number[rights][None])
-            for i, j in zip(*np.nonzero(good)):
-                a, b = cls[some[i]], cls[rights[j]]
-                meet = same[i, j].reshape(TREES, DEPTH).all(axis=1)
-                if int(meet.argmax()) == tree and (root[rights[j]] == main or a < b):
-                    out.append((min(a, b), max(a, b)))
+        cls, root = rows["cls"].to_list(), rows["root"].to_list()
+        for i in range(len(cls)):
+            if root[i] == main:
+                continue
+            same = sig[i] == sig
+            for j in np.nonzero(same.mean(axis=1) >= LEAST_AGREEMENT)[0]:
+                if root[i] == root[j] or root[j] != main and cls[i] > cls[j]:
+                    continue
+                if int(same[j].reshape(TREES, DEPTH).all(axis=1).argmax()) == tree:
+                    out.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    signed = open_rows.where(F.col("n") <= SMALL).select("tree", "region", "cls", "root", "main").join(
+        classes.select("cls", "sig"), "cls")
+    return signed.groupBy("tree", "region").applyInPandas(compare, "a binary, b binary")
+
+
+def crowded_links(open_rows: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """(a, b): links between the components of regions over ``SMALL`` rows, enough to join what links join.
+
+    Every left row faces every right row in some block, on the full sets; a block
+    gives only links that join two components it hasn't joined yet, so at most one
+    less than it has rows.
+    """
+    num, den = threshold
+    crowd = open_rows.where(F.col("n") > SMALL).withColumn(
+        "spread", F.pmod(F.xxhash64("cls", "tree"), F.lit(1 << 30)).cast("int")).join(sets, "cls")
+    row = ["tree", "region", "cls", "root", "shingles"]
+    right = crowd.select(*row, F.lit(False).alias("left"), (F.col("spread") % F.col("rights")).alias("j"),
+                         F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"))
+    left = crowd.where("root <> main").select(
+        *row, F.lit(True).alias("left"), (F.col("spread") % F.col("lefts")).alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"))
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        cls, root, is_left = rows["cls"].to_list(), rows["root"].to_list(), rows["left"].to_numpy(bool)
+        up = {r: r for r in root}
+
+        def top(r):
+            while up[r] != r:
+                up[r] = up[up[r]]
+                r = up[r]
+            return r
+
+        sizes = np.array([len(s) for s in rows["shingles"]])
+        both = common_shingles([s for s, x in zip(rows["shingles"], is_left) if x],
+                               [s for s, x in zip(rows["shingles"], is_left) if not x])
+        lefts, rights, out = np.nonzero(is_left)[0], np.nonzero(~is_left)[0], []
+        linked = both * den >= (sizes[lefts][:, None] + sizes[rights][None] - both) * num
+        for i, j in zip(*np.nonzero(linked)):
+            a, b = top(root[lefts[i]]), top(root[rights[j]])
+            if a != b:
+                up[a] = b
+                out.append((cls[lefts[i]], cls[rights[j]]))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return (left.unionByName(right).groupBy("tree", "region", "i", "j")
-            .applyInPandas(compare, "a binary, b binary"))
+            .applyInPandas(link, "a binary, b binary"))
+
+
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """How many shingles each left set shares with each right set."""
+    both = np.zeros((len(left), len(right)), np.int64)
+    if not left or not right:
+        return both
+    shingles, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    for at in range(0, len(shingles), width):
+        a, b = np.searchsorted(place, [at, at + width])
+        has = np.zeros((len(left) + len(right), width), np.float32)
+        has[row[a:b], place[a:b] - at] = 1
+        both += (has[:len(left)] @ has[len(left):].T).astype(np.int64)
+    return both
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
@@ -208,7 +263,9 @@ def near_duplicate_rows(docs: DataFrame, shingle_words: int, threshold: tuple[in
                        "shingles")
     links = materialize(verified(neighbour_pairs(members), sets, threshold), "near-links")
     roots = connected_components(links)
-    more = verified(cross_pairs(members, classes, roots), sets, threshold)
+    open_rows = undecided(members, roots)
+    more = verified(small_pairs(open_rows, classes), sets, threshold).unionAll(
+        crowded_links(open_rows, sets, threshold))
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = materialize(connected_components(stars.unionAll(more)), "components")
     reps = roots.join(classes.select(F.col("cls").alias("node"), "rep"), "node")

@@ -56,8 +56,9 @@ def fixture(rng, groups=25, hot=150):
     return texts + [None, "", " \t\n", "one", "One", "one two", "ONE TWO", "É x", "é x", "one two", "x " * 5000, "x x"]
 
 
-@pytest.mark.parametrize("n,block", [(2, 2048), (5, 16)])
-def test_against_brute_force(spark, monkeypatch, n, block):
+@pytest.mark.parametrize("n,small,block", [(2, 64, 512), (5, 8, 16)])
+def test_against_brute_force(spark, monkeypatch, n, small, block):
+    monkeypatch.setattr(lsh_forest, "SMALL", small)
     monkeypatch.setattr(lsh_forest, "BLOCK", block)
     monkeypatch.setattr(lsh_forest, "CROWDED", 40)
     rng = random.Random(n)
@@ -84,6 +85,13 @@ def test_signature_agreement_estimates_similarity():
     assert abs(same - 1500 / 2500) < 0.12
 
 
+def test_common_shingles():
+    rng = np.random.default_rng(2)
+    left, right = ([np.unique(rng.integers(0, 60, rng.integers(0, 40))) for _ in range(n)] for n in (7, 9))
+    got = lsh_forest.common_shingles(left, right, width=16)
+    assert got.tolist() == [[len(set(a) & set(b)) for b in right] for a in left]
+
+
 def test_empty_table(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
     assert drop_near_duplicates(documents(spark, [])).collect() == []
