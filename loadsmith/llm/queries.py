@@ -56,9 +56,9 @@ def op6_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from loadsmith.llm.wordpiece_count import count_tokens, sentencepiece_vocabulary
+    from loadsmith.llm.wordpiece_count import count_tokens, marked_vocabulary
 
-    first, later = sentencepiece_vocabulary(str(public_tokenizers.path("piece_bpe_32k.model")))
+    first, later = marked_vocabulary(str(public_tokenizers.path("piece_bpe_32k.model")))
     return count_tokens(table(spark, sf_dir, "documents"), first, later)
 
 

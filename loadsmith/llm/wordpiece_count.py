@@ -19,7 +19,11 @@ WORD_START = "▁"
 
 
 class PieceAutomaton:
-    """``first``: pieces that begin a word; ``later``: pieces that go on with one."""
+    """``first``: pieces that begin a word; ``later``: pieces that go on with one.
+
+    An empty piece in ``first`` is a word-start mark of its own: a word whose
+    beginning fits no other first piece is that one token, then later pieces.
+    """
 
     FIRST, LATER = 0, 1
 
@@ -41,12 +45,14 @@ class PieceAutomaton:
                 self.next.append({})
                 self.whole.append(False)
             node = self.next[node][c]
-        if node != root:
+        if node != self.LATER:
             self.whole[node] = True
 
     def _link(self) -> None:
         """Breadth first: a whole piece pops itself and restarts; others inherit from the parent's chain."""
         level = [self.FIRST, self.LATER]
+        if self.whole[self.FIRST]:
+            self.fail[self.FIRST], self.popped[self.FIRST] = self.LATER, 1
         while level:
             below = []
             for parent in level:
@@ -64,7 +70,9 @@ class PieceAutomaton:
             level = below
 
     def count(self, word: str) -> int | None:
-        """Pieces of ``word``; None if the vocabulary cannot spell it."""
+        """Pieces of ``word`` (an empty one has none); None if the vocabulary cannot spell it."""
+        if not word:
+            return 0
         node, n = self.FIRST, 0
         for c in word:
             while c not in self.next[node]:
@@ -75,14 +83,14 @@ class PieceAutomaton:
             node = self.next[node][c]
         while node != self.LATER:
             if self.fail[node] < 0:
-                return None if word else 0
+                return None
             n += self.popped[node]
             node = self.fail[node]
         return n
 
 
-def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
-    """Normal pieces of a sentencepiece model: word-initial ones (mark removed), then the others."""
+def marked_vocabulary(path: str) -> tuple[list[str], list[str]]:
+    """Normal pieces of a sentencepiece model: word-initial ones (mark removed; '' is the bare mark), then the others."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -92,6 +100,12 @@ def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
             continue
         piece = model.id_to_piece(i)
         (first if piece.startswith(WORD_START) else later).append(piece.removeprefix(WORD_START))
+    return first, later
+
+
+def sentencepiece_vocabulary(path: str) -> tuple[list[str], list[str]]:
+    """As ``marked_vocabulary``, but without the bare mark: words need a first piece with a character."""
+    first, later = marked_vocabulary(path)
     return [p for p in first if p], later
 
 
@@ -100,7 +114,7 @@ def count_tokens(docs: DataFrame, first: list[str], later: list[str]) -> DataFra
 
     Words are runs of anything but ASCII white space.  A word that the vocabulary
     cannot spell counts as one token (and in n_unknown), as in word-piece
-    tokenizers.  Null and empty texts have 0 of each; repeated rows are each
+    tokenizers; with '' in ``first`` a word may begin with the bare mark.  Null and empty texts have 0 of each; repeated rows are each
     counted; an empty vocabulary leaves every word unknown.  The vocabulary is
     broadcast (tens of thousands of pieces); other columns are not carried.
     """
