@@ -13,7 +13,7 @@ from loadsmith.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no known language go."""
+    """Documents without a letter go (language 'und'); the score of a language is no reason to drop a text."""
     return keep_known_languages(docs)
 
 

@@ -63,3 +63,14 @@ def test_stage_keeps_columns_and_clean_documents(spark):
     left = keep_known_languages(docs)
     assert left.columns == docs.columns
     assert rows(left, "doc_id", "text") == [(0, texts[0]), (0, texts[0]), (6, texts[4])]
+
+
+def test_stage_keeps_clean_one_word_documents(spark):
+    """Every single word of the labelled texts is clean, whatever its cosine; letters alone never drop a text."""
+    labelled = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    words = sorted({w for r in labelled.limit(200).collect() for w in (r["text"] or "").split() if any(map(str.isalpha, w))})[::5]
+    nonsense = ["xqzjkvwpxq", "ζξψωθφχ", "東龍京飛", "deadbeefcafe"]
+    none = ["12 %%", "", "--- 3.5 ---"]
+    more = spark.createDataFrame([(-1 - i, w, None) for i, w in enumerate(words + nonsense + none)], labelled.schema)
+    left = {r["doc_id"]: r["text"] for r in keep_known_languages(labelled.union(more)).where("doc_id < 0").collect()}
+    assert left == {-1 - i: w for i, w in enumerate(words + nonsense)}
