@@ -7,6 +7,7 @@ that its host has agreed on.
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import re
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ PAGE_VOTES, HOST_PATHS = 5, 8
 # Element names and words in class or id that mark what isn't the article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript template iframe svg math canvas object xmp noframes".split())
-_SKIP = frozenset("head nav footer aside form button select dialog menu header label fieldset".split()) | _RAW
+_SKIP = frozenset("head nav footer aside button select dialog menu header label fieldset".split()) | _RAW
 _CONTAINER = frozenset("body article main section div td".split())
 _BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer "
@@ -35,6 +36,12 @@ _JUNK = frozenset(
     "cookies copyright disclaimer footer login masthead menu modal nav navbar navigation newsletter notice notices "
     "pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup "
     "social sponsor sponsored subscribe toolbar widget widgets".split())
+#: Words that may stand beside those in one class token ("site-banner", "comments-area").
+_PLACE = frozenset("site page main top bottom left right list box block area section inner outer container bar".split())
+#: Of those words, the ones of readers' own writing, which may be longer than the article.
+_READERS = frozenset("comment comments replies reply respond".split())
+#: Share of a page's plain text that has to be left when elements are left out by such words.
+LEAST_LEFT = 0.1
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("table ul ol dl td th article section div main body blockquote".split())
@@ -47,9 +54,22 @@ _WORD = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"\d+")
 
 
+def junk_words(value: str) -> set[str]:
+    """Words of ``_JUNK`` in those tokens of a class, id or role that say nothing else ("has-sidebar" does)."""
+    found = set()
+    for token in value.split():
+        words = set(_WORD.findall(token))
+        if words and words <= _JUNK | _PLACE:
+            found |= words & _JUNK
+    return found
+
+
 class Page:
     """Text of a page outside menus and the like, and its containers.
 
+    Elements with a junk word and forms are suspects: they are left out unless
+    they hold a <main>, or the page's only articles, or nearly all of its text.
+
     ``parts``: text in page order, with a space at each block's edge;
     ``containers``: [path, first part, last part + 1, own characters, tag].
     """
@@ -58,7 +78,12 @@ class Page:
         self.parts: list[str] = []
         self.sizes: list[int] = []  # characters outside links, per part
         self.containers: list[list] = []
+        self._within: list[int] = []  # nearest container, per part
+        #: First part, last part + 1, suspect around it, by readers, holds a <main>, holds an article.
+        self._suspects: list[list] = []
+        self._articles_outside = False
         self._read(source or "")
+        self._leave_out()
 
     def _text(self, raw: str, stack: list) -> None:
         if stack and stack[-1][3]:
@@ -68,23 +93,26 @@ class Page:
         linked = any(s[0] == "a" for s in stack)
         n = 0 if linked else len(text.strip())
         self.sizes.append(n)
-        if n and stack and stack[-1][2] >= 0:
-            self.containers[stack[-1][2]][3] += n
+        self._within.append(stack[-1][2] if stack else -1)
 
     def _edge(self) -> None:
         if self.parts and self.parts[-1] != " ":
             self.parts.append(" ")
             self.sizes.append(0)
+            self._within.append(-1)
 
     def _close(self, stack: list, to: int) -> None:
-        for _, _, at, _, opened in reversed(stack[to:]):
+        for _, _, at, _, opened, suspect, suspected in reversed(stack[to:]):
             if opened:
                 self.containers[at][2] = len(self.parts)
+            if suspected:
+                self._suspects[suspect][1] = len(self.parts)
         del stack[to:]
 
     def _read(self, source: str) -> None:
-        #: Open elements: name, path, index of the nearest container, whether left out, whether it is that container.
-        stack: list[tuple[str, str, int, bool, bool]] = []
+        #: Open elements: name, path, index of the nearest container, whether left out, whether it is that container,
+        #: index of the nearest suspect, whether it is that suspect.
+        stack: list[tuple[str, str, int, bool, bool, int, bool]] = []
         at, end = 0, len(source)
         while at < end:
             found = _TAG.search(source, at)
@@ -133,30 +161,85 @@ class Page:
                 return
 
     def _open(self, stack: list, name: str, attributes: str) -> None:
-        _, path, container, left_out, _ = stack[-1] if stack else ("", "", -1, False, False)
-        classes, words = "", set()
+        _, path, container, left_out, _, suspect, _ = stack[-1] if stack else ("", "", -1, False, False, -1, False)
+        classes, words, junk, main = "", set(), set(), name == "main"
         if attributes:
             for key, *value in _NAMES.findall(attributes):
                 value = "".join(value).lower()
                 words.update(_WORD.findall(value))
+                junk |= junk_words(value)
+                main = main or key.lower() == "role" and value.strip() == "main"
                 if key.lower() == "class":
                     classes = ".".join(sorted({_NUMBER.sub("#", c) for c in value.split()}))
-        left_out = left_out or name in _SKIP and not (name == "header" and "article" in path) \
-            or bool(words & _JUNK) and name not in ("body", "article", "main")
+        left_out = left_out or name in _SKIP and not (
+            name == "header" and ("article" in path or any(s[0] == "main" for s in stack)))
+        if not left_out and (main or name == "article" and not words & _JUNK):
+            self._articles_outside = self._articles_outside or suspect < 0
+            at, flag = suspect, 4 if main else 5
+            while at >= 0 and not self._suspects[at][flag]:
+                self._suspects[at][flag] = True
+                at = self._suspects[at][2]
+        suspected = not left_out and not main and (bool(junk) and name not in ("body", "article") or name == "form")
+        if suspected:
+            self._suspects.append([len(self.parts), len(self.parts), suspect, bool(junk & _READERS), False, False])
+            suspect = len(self._suspects) - 1
         if name in _BLOCK and name != "br":
             path = f"{path}>{name}" + (f".{classes}" if classes else "")
         opens = name in _CONTAINER and not left_out
         if opens:
             container = len(self.containers)
             self.containers.append([path, len(self.parts), len(self.parts), 0, name])
-        stack.append((name, path, container, left_out, opens))
+        stack.append((name, path, container, left_out, opens, suspect, suspected))
 
-    def scored(self) -> list[tuple[float, str]]:
-        """(score, path) of the containers: plain text of their own, plus a share of what is deeper."""
+    def _sums(self) -> list[int]:
         total, sums = 0, [0]
         for n in self.sizes:
             total += n
             sums.append(total)
+        return sums
+
+    def _leave_out(self) -> None:
+        """Decides on the suspects, drops what is left out, and counts the containers' own characters."""
+        sums = self._sums()
+        plain = [sums[s[1]] - sums[s[0]] for s in self._suspects]
+        inside: dict[int, list[int]] = {}
+        for i, s in enumerate(self._suspects):
+            inside.setdefault(s[2], []).append(i)
+        out: set[int] = set()  # outermost ones
+        look = inside.get(-1, [])[:]
+        while look:
+            i = look.pop()
+            if self._suspects[i][4] or self._suspects[i][5] and not self._articles_outside:
+                look += inside.get(i, [])
+            else:
+                out.add(i)
+        left = sums[-1] - sum(plain[i] for i in out)
+        # The largest first, until enough is left; what stands inside it is still left out.
+        waiting = [(-plain[i], i) for i in out if not self._suspects[i][3]]
+        heapq.heapify(waiting)
+        while waiting and left < LEAST_LEFT * sums[-1]:
+            n, i = heapq.heappop(waiting)
+            out.remove(i)
+            left -= n
+            for j in inside.get(i, []):
+                out.add(j)
+                left -= plain[j]
+                if not self._suspects[j][3]:
+                    heapq.heappush(waiting, (-plain[j], j))
+        gone = bytearray(len(self.parts))
+        for i in out:
+            first, last = self._suspects[i][:2]
+            gone[first:last] = b"\1" * (last - first)
+        if out and any(p.strip() and not g for p, g in zip(self.parts, gone)):
+            self.parts = [" " if g and p == " " else "" if g else p for p, g in zip(self.parts, gone)]
+            self.sizes = [0 if g else n for n, g in zip(self.sizes, gone)]
+        for n, at in zip(self.sizes, self._within):
+            if n and at >= 0:
+                self.containers[at][3] += n
+
+    def scored(self) -> list[tuple[float, str]]:
+        """(score, path) of the containers: plain text of their own, plus a share of what is deeper."""
+        sums = self._sums()
         found: dict[str, float] = {}
         for path, first, last, own, tag in self.containers:
             deep = sums[last] - sums[first]

@@ -79,3 +79,26 @@ def test_generated_pages(spark):
     for r in df.collect():
         inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
         assert got[r["page_id"]] == " ".join(html.unescape(re.sub(r"<(/?(?:p|h1|br))[^>]*>", " ", inner).replace("<b>", "").replace("</b>", "")).split())
+
+
+def test_junk_words_on_wrappers_keep_the_article():
+    for wrapper in ["layout has-sidebar", "no-sidebar", "content-sidebar-wrap", "share-enabled", "with-comments", "ad-free",
+                    "widget-area", "sidebar", "page-widget"]:
+        for inner in ["article", "main", "div"]:
+            source = f"<body><div class='{wrapper}'><{inner}><h1>Title</h1><p>long text</p></{inner}>" \
+                     f"<div class='sidebar'>away</div></div></body>"
+            assert Page(source).text([]) == "Title long text", (wrapper, inner)
+    page = "<form id=f><div class=c><h1>Title</h1><p>long text</p><form><p>mail</p></form></div></form>"
+    assert Page(page).text([]).startswith("Title long text")
+    assert Page("<main><header><h1>Title</h1></header><p>long text</p></main>").text([]) == "Title long text"
+    assert Page("<div class=comments><p>only this</p></div>").text([]) == "only this"
+
+
+def test_junk_elements_beside_the_article_stay_out():
+    said = "<p>" + "a reader wrote this " * 60 + "</p>"
+    for junk in ["<div class='comments'>%s</div>", "<div id=comments-area>%s</div>", "<div class=replies><article class=comment-body>%s</article></div>",
+                 "<form>%s</form>", "<div class='site-banner'>%s</div>"]:
+        for tag in ["article", "div"]:
+            words = "the text " * 30
+            source = f"<body><{tag} class=text><h1>Title</h1><p>{words}</p></{tag}>{junk % said}</body>"
+            assert Page(source).text([]) == f"Title {words}".strip(), (junk, tag)
