@@ -42,6 +42,7 @@ _PLACE = frozenset("site page main top bottom left right list box block area sec
 _READERS = frozenset("comment comments replies reply respond".split())
 #: Share of a page's plain text that has to be left when elements are left out by such words.
 LEAST_LEFT = 0.1
+_PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("table ul ol dl td th article section div main body blockquote".split())
@@ -71,7 +72,8 @@ class Page:
     they hold a <main>, or the page's only articles, or nearly all of its text.
 
     ``parts``: text in page order, with a space at each block's edge;
-    ``containers``: [path, first part, last part + 1, own characters, tag].
+    ``containers``: [path, first part, last part + 1, own characters, tag, the
+    container around it, whether it has headings (2) or paragraphs (1) of its own].
     """
 
     def __init__(self, source: str):
@@ -79,6 +81,7 @@ class Page:
         self.sizes: list[int] = []  # characters outside links, per part
         self.containers: list[list] = []
         self._within: list[int] = []  # nearest container, per part
+        self._prose: list[int] = []  # whether in a heading (2) or a paragraph (1), per part
         #: First part, last part + 1, suspect around it, by readers, holds a <main>, holds an article.
         self._suspects: list[list] = []
         self._articles_outside = False
@@ -94,12 +97,24 @@ class Page:
         n = 0 if linked else len(text.strip())
         self.sizes.append(n)
         self._within.append(stack[-1][2] if stack else -1)
+        self._prose.append(self._prose_of(stack) if n else 0)
+
+    @staticmethod
+    def _prose_of(stack: list) -> int:
+        """2 in a heading, 1 in another block of prose, else 0."""
+        for name, *_ in reversed(stack):
+            if name in _PROSE:
+                return 2 if name[0] == "h" else 1
+            if name in _BLOCK:
+                return 0
+        return 0
 
     def _edge(self) -> None:
         if self.parts and self.parts[-1] != " ":
             self.parts.append(" ")
             self.sizes.append(0)
             self._within.append(-1)
+            self._prose.append(0)
 
     def _close(self, stack: list, to: int) -> None:
         for _, _, at, _, opened, suspect, suspected in reversed(stack[to:]):
@@ -187,8 +202,8 @@ class Page:
             path = f"{path}>{name}" + (f".{classes}" if classes else "")
         opens = name in _CONTAINER and not left_out
         if opens:
-            container = len(self.containers)
-            self.containers.append([path, len(self.parts), len(self.parts), 0, name])
+            around, container = container, len(self.containers)
+            self.containers.append([path, len(self.parts), len(self.parts), 0, name, around, 0])
         stack.append((name, path, container, left_out, opens, suspect, suspected))
 
     def _sums(self) -> list[int]:
@@ -233,24 +248,48 @@ class Page:
         if out and any(p.strip() and not g for p, g in zip(self.parts, gone)):
             self.parts = [" " if g and p == " " else "" if g else p for p, g in zip(self.parts, gone)]
             self.sizes = [0 if g else n for n, g in zip(self.sizes, gone)]
-        for n, at in zip(self.sizes, self._within):
+        for n, at, prose in zip(self.sizes, self._within, self._prose):
             if n and at >= 0:
                 self.containers[at][3] += n
+                self.containers[at][6] = max(self.containers[at][6], prose)
 
     def scored(self) -> list[tuple[float, str]]:
-        """(score, path) of the containers: plain text of their own, plus a share of what is deeper."""
+        """(score, path) of the containers: plain text of their own, plus a share of what is deeper.
+
+        A container with headings or paragraphs of its own has the best score of
+        those right inside it and its own text on top, unless most of its text is
+        elsewhere, so that it outdoes its sections; the body only for a heading
+        and with a tenth elsewhere.  Nothing outdoes an article or <main> so.
+        """
         sums = self._sums()
         found: dict[str, float] = {}
-        for path, first, last, own, tag in self.containers:
+        plain: dict[str, int] = {}
+        around: dict[str, set[str]] = {}
+        prose: dict[str, int] = {}
+        tags: dict[str, str] = {}
+        for path, first, last, own, tag, at, has_prose in self.containers:
             deep = sums[last] - sums[first]
             score = deep if tag in ("article", "main") else own + (0.25 if tag == "body" else 0.5) * (deep - own)
             found[path] = found.get(path, 0.0) + score
+            plain[path] = plain.get(path, 0) + deep
+            prose[path] = prose.get(path, 0) + (own if has_prose > (tag == "body") else 0)
+            tags[path] = tag
+            if at >= 0:
+                around.setdefault(self.containers[at][0], set()).add(path)
+        # Deepest first: a container's path begins with that of the one around it.
+        for path in sorted(around, key=len, reverse=True):
+            if not prose[path] or tags[path] in ("article", "main"):
+                continue
+            best = max(sorted(around[path]), key=lambda p: found[p])
+            other = plain[path] - prose[path] - plain[best]
+            if found[best] > 0 and tags[best] not in ("article", "main") and other <= (0.1 if tags[path] == "body" else 1) * plain[best]:
+                found[path] = max(found[path], found[best] + prose[path])
         return sorted(((s, p) for p, s in found.items() if s > 0), key=lambda x: (-x[0], x[1]))
 
     def text_at(self, path: str) -> str:
         """Text of all containers with this path, in page order; those inside another such one count once."""
         out, done = [], 0
-        for p, first, last, _, _ in self.containers:
+        for p, first, last, *_ in self.containers:
             if p == path and last > done:
                 out.append("".join(self.parts[max(first, done):last]))
                 done = last

@@ -102,3 +102,28 @@ def test_junk_elements_beside_the_article_stay_out():
             words = "the text " * 30
             source = f"<body><{tag} class=text><h1>Title</h1><p>{words}</p></{tag}>{junk % said}</body>"
             assert Page(source).text([]) == f"Title {words}".strip(), (junk, tag)
+
+
+def test_title_and_intro_stay_with_sections():
+    a, b = "first part " * 60, "second part " * 60
+    want = " ".join(f"Title intro here {a}{b}".split())
+    for source in [f"<div class=content><h1>Title</h1><p>intro here</p><section>{a}</section><section>{b}</section></div>",
+                   f"<div class=content><h1>Title</h1><div class=body><p>intro here</p><p>{a}</p>{b}</div></div>",
+                   f"<div class=content><h1>Title</h1><p>intro here</p><div class=x>{a}</div><div class=y>{b}</div></div>",
+                   f"<h1>Title</h1><p>intro here</p><section>{a}</section><section>{b}</section>"]:
+        page = f"<body><div id=page><span>Skip</span>{source}<div class=teasers><b>more</b></div></div></body>"
+        if source.startswith("<div"):
+            assert Page(page).text([]) == want, source
+        assert Page(f"<body>{source}</body>").text([]) == want, source
+    for tail in [f"<article>{a}</article><p>copy right</p>", f"<div class=c><p>{a}</p></div><p>copy right</p>"]:
+        assert Page(f"<body>{tail}</body>").text([]) == a.strip()
+
+
+def test_sections_template_on_a_host(spark):
+    data, want = [], {}
+    for i in range(12):
+        p = article(i)
+        want[i] = " ".join([f"Title {i} intro", *p])
+        data.append((i, f"http://s.org/{i}", f"<body><div class=content><h1>Title {i}</h1><p>intro</p>" +
+                     "".join(f"<section><p>{x}</p></section>" for x in p) + "</div></body>"))
+    assert {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, data)).collect()} == want
