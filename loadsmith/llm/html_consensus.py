@@ -10,7 +10,7 @@ from __future__ import annotations
 import heapq
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -20,7 +20,9 @@ from loadsmith.llm.common import small_enough
 from loadsmith.llm.url_trie import split_url
 
 #: Containers that a page votes for, and paths kept per host (a page with none of them uses its own best).
-PAGE_VOTES, HOST_PATHS = 5, 8
+PAGE_VOTES, HOST_PATHS = 5, 64
+#: Share of the plain text of a page's own best container that the text at a host's path has to have.
+FAIR_SHARE = 0.3
 
 # Element names and words in class or id that mark what isn't the article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -295,40 +297,72 @@ class Page:
                 done = last
         return " ".join(" ".join(out).split())
 
-    def text(self, paths: list[str]) -> str:
-        """Text at the first of ``paths`` that has any, else at the page's own best container, else all of it."""
-        for path in [*paths, *(p for _, p in self.scored()[:1])]:
-            if text := self.text_at(path):
+    def text(self, paths: list[str], weak: Iterable[str] = ()) -> str:
+        """Text at the first of ``paths``, none of them the body, that holds a fair share of this page's text.
+
+        Else that at the page's own best container, or all of it.  If that best
+        path is one of ``weak``, which mostly lose where they stand, the first of
+        ``paths`` with plain text is taken whatever its share.
+        """
+        sums = self._sums()
+        plain: dict[str, int] = {}
+        for path, first, last, _, tag, *_ in self.containers:
+            if tag != "body":
+                plain[path] = plain.get(path, 0) + sums[last] - sums[first]
+        scored = self.scored()
+        if scored:
+            best = scored[0][1]
+            least = 1 if best in weak else FAIR_SHARE * sum(
+                sums[c[2]] - sums[c[1]] for c in self.containers if c[0] == best)
+            chosen = next((p for p in paths if plain.get(p, 0) and plain[p] >= least), best)
+            return self.text_at(chosen)
+        for path in paths:
+            if path in plain and (text := self.text_at(path)):
                 return text
         return " ".join("".join(self.parts).split())
 
 
 def page_votes(pages: DataFrame) -> DataFrame:
-    """(host, path, vote): each page deals one vote among its best containers by score."""
+    """(host, path, vote, seen, best): each page deals one vote among its best containers by score.
+
+    ``seen`` counts the pages that vote for a path, ``best`` those that put it first.
+    """
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cast: dict[tuple[str, str], float] = {}
+            cast: dict[tuple[str, str], list] = {}
             for url, source in zip(batch.column(0), batch.column(1)):
-                best = Page(source.as_py()).scored()[:PAGE_VOTES]
-                whole = sum(s for s, _ in best)
+                found = Page(source.as_py()).scored()[:PAGE_VOTES]
+                whole = sum(s for s, _ in found)
                 host = split_url(url.as_py())[0]
-                for score, path in best:
-                    cast[host, path] = cast.get((host, path), 0.0) + score / whole
+                for i, (score, path) in enumerate(found):
+                    sums = cast.setdefault((host, path), [0.0, 0, 0])
+                    sums[0] += score / whole
+                    sums[1] += 1
+                    sums[2] += i == 0
             hosts, paths = ([k[i] for k in cast] for i in (0, 1))
+            vote, seen, best = ([v[i] for v in cast.values()] for i in (0, 1, 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(list(cast.values()), pa.float64())],
-                names=["host", "path", "vote"])
+                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(vote, pa.float64()),
+                 pa.array(seen, pa.int64()), pa.array(best, pa.int64())],
+                names=["host", "path", "vote", "seen", "best"])
 
-    return pages.select("url", "html").mapInArrow(votes, "host string, path string, vote double")
+    return pages.select("url", "html").mapInArrow(
+        votes, "host string, path string, vote double, seen long, best long")
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the paths of a host in descending order of votes, ``HOST_PATHS`` at most."""
-    summed = page_votes(pages).groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("vote"))
+    """(host, paths, weak): the paths of a host in descending order of votes, ``HOST_PATHS`` at most.
+
+    ``weak`` has those of them that are the best one on fewer than half of the pages that vote for them.
+    """
+    summed = page_votes(pages).groupBy("host", "path").agg(
+        F.round(F.sum("vote"), 6).alias("vote"), (F.sum("best") * 2 < F.sum("seen")).alias("weak"))
     order = Window.partitionBy("host").orderBy(F.desc("vote"), "path")
     ranked = summed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HOST_PATHS)
-    return ranked.groupBy("host").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "path"))), lambda x: x["path"]).alias("paths"))
+    kept = F.sort_array(F.collect_list(F.struct("place", "path", "weak")))
+    return ranked.groupBy("host").agg(kept.alias("kept")).select(
+        "host", F.transform("kept", lambda x: x["path"]).alias("paths"),
+        F.transform(F.filter("kept", lambda x: x["weak"]), lambda x: x["path"]).alias("weak"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -345,12 +379,12 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
                   F.translate(F.regexp_extract("url", r"(?s)://([^/?#]*)", 1),
                               "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise("")
     rows = pages.select("page_id", "url", "html", F.coalesce(host, F.lit("")).alias("host"))
-    joined = rows.join(small_enough(agreed, 200_000), "host", "left").select("page_id", "url", "html", "paths")
+    joined = rows.join(small_enough(agreed, 200_000), "host", "left").select("page_id", "url", "html", "paths", "weak")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [Page(source.as_py()).text(paths.as_py() or [])
-                   for source, paths in zip(batch.column(2), batch.column(3))]
+            out = [Page(source.as_py()).text(paths.as_py() or [], weak.as_py() or [])
+                   for source, paths, weak in zip(batch.column(2), batch.column(3), batch.column(4))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

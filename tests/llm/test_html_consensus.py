@@ -127,3 +127,20 @@ def test_sections_template_on_a_host(spark):
         data.append((i, f"http://s.org/{i}", f"<body><div class=content><h1>Title {i}</h1><p>intro</p>" +
                      "".join(f"<section><p>{x}</p></section>" for x in p) + "</div></body>"))
     assert {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, data)).collect()} == want
+
+
+def test_rare_templates_keep_their_articles(spark):
+    """The common template's path is a teaser on one rare template and missing on many others."""
+    data, want = [], {}
+    for i in range(40):
+        want[i] = " ".join(article(i))
+        data.append((i, "http://r.org/", f"<body><div class=text><p>{want[i]}</p></div><p>Imprint</p></body>"))
+    for i in range(40, 43):
+        want[i] = " ".join(article(i) * 3)
+        data.append((i, "http://r.org/", f"<body><div class=text><p>teaser</p></div><div class=story><p>{want[i]}</p></div></body>"))
+    kinds = [chr(97 + k) * 3 for k in range(12)]
+    for i, kind in enumerate(kinds, 43):
+        want[i] = " ".join(article(i))
+        data.append((i, "http://r.org/", f"<body><div class={kind}><p>{want[i]}</p></div><p>Imprint</p></body>"))
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, data)).collect()}
+    assert got == want
