@@ -38,6 +38,8 @@ CROWDED = 10_000
 SMALL, BLOCK = 64, 512
 #: Signature agreement below which a pair isn't verified: 5 standard deviations below a similarity of 0.8.
 LEAST_AGREEMENT = 0.65
+#: The least threshold that trees, depth and least agreement are made for; lower ones are refused.
+LEAST_THRESHOLD = (80, 100)
 _MULTIPLIERS = (np.random.default_rng(7).integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32)
                 | np.uint32(1))
 
@@ -252,6 +254,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 def near_duplicate_rows(docs: DataFrame, shingle_words: int, threshold: tuple[int, int]) -> DataFrame:
     """Per row: doc_id, k1, k2, n_shingles, root (the component; null for an empty set), component_id."""
+    if threshold[0] * LEAST_THRESHOLD[1] < LEAST_THRESHOLD[0] * threshold[1]:
+        raise ValueError(f"threshold {threshold} is below {LEAST_THRESHOLD}: pairs would be lost")
     rows = materialize(document_sets(docs, shingle_words), "sets")
     classes = materialize(rows.where("cls is not null").groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")

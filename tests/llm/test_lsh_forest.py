@@ -123,3 +123,11 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(201)} == {0} and {got[1000 + i] for i in range(300)} == {1000}
     assert got[6002] == got[6001] == got[6000] == 6000 and 5000 not in got
     assert connected_components(df.limit(0)).collect() == []
+
+
+def test_thresholds_below_the_forests_are_refused(spark):
+    docs = documents(spark, ["a b c d", "a b c e"])
+    for find in (near_duplicates, drop_near_duplicates):
+        for low in [(60, 100), (7, 9)]:
+            with pytest.raises(ValueError, match="below"):
+                find(docs, threshold=low)
