@@ -93,3 +93,16 @@ def in_slices(columns: list[list], rows: int = 50_000):
     """Cut equally long column lists into slices, so that output batches stay small."""
     for at in range(0, len(columns[0]) if columns else 0, rows):
         yield [c[at:at + rows] for c in columns]
+
+
+def table_rows_in_blocks(df: DataFrame, text: str, rows: int, chars: int):
+    """Rows of a stated query set, in lists of at most ``rows`` rows and about ``chars`` characters of ``text``."""
+    block, size = [], 0
+    for row in df.toLocalIterator():
+        block.append(row)
+        size += len(row[text] or "")
+        if len(block) >= rows or size >= chars:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadsmith.llm.common import table
 
@@ -81,9 +82,31 @@ def op10_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.bottom_k import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.array_join("sketch", "").alias("fingerprint"), F.array_join("edited_sketch", "").alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
+def op12_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.fp_tree import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_rollup_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadsmith.llm.collocations import mine_phrases
+
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_topk_mtree, op2_langid_hd, op3_lsh_forest, op4_best_fit_packing, op5_html_consensus, op6_debruijn_dedup,
-    op7_wordpiece_counts, op8_decontaminate, op9_url_trie, op10_interleave)}
+    op7_wordpiece_counts, op8_decontaminate, op9_url_trie, op10_interleave, op11_bottom_k, op12_fp_tree_search,
+    op13_rollup_phrases)}
 
 ORACLE = {
     "op1_topk_mtree": """
@@ -155,5 +178,86 @@ r AS (
 SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('example.org/es/', 'example.org/en/1', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
+""",
+    "op11_bottom_k": r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, lead(coalesce(text, '')) OVER o AS after, first_value(coalesce(text, '')) OVER o AS first
+    FROM documents WINDOW o AS (ORDER BY doc_id)),
+e AS (
+    SELECT doc_id, t, coalesce(after, first) AS nx,
+        left(t, length(t) - length(t) // 2) || left(coalesce(after, first), length(t) // 2) AS e FROM d),
+w AS (
+    SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS tw, regexp_extract_all(e, '[^\x20\x09-\x0D]+') AS ew,
+        regexp_extract_all(nx, '[^\x20\x09-\x0D]+') AS nw FROM e),
+s AS (
+    SELECT doc_id, t, e,
+        list_slice(list_sort(list_distinct(list_transform(range(1, CASE WHEN len(tw) = 0 THEN 1 ELSE greatest(len(tw) - 4, 1) + 1 END),
+            lambda i: substr(md5(array_to_string(list_slice(tw, i, i + 4), ' ')), 1, 12)))), 1, 128) AS a,
+        list_slice(list_sort(list_distinct(list_transform(range(1, CASE WHEN len(ew) = 0 THEN 1 ELSE greatest(len(ew) - 4, 1) + 1 END),
+            lambda i: substr(md5(array_to_string(list_slice(ew, i, i + 4), ' ')), 1, 12)))), 1, 128) AS b,
+        list_slice(list_sort(list_distinct(list_transform(range(1, CASE WHEN len(nw) = 0 THEN 1 ELSE greatest(len(nw) - 4, 1) + 1 END),
+            lambda i: substr(md5(array_to_string(list_slice(nw, i, i + 4), ' ')), 1, 12)))), 1, 128) AS c
+    FROM w),
+u AS (
+    SELECT *, list_slice(list_sort(list_distinct(a || b)), 1, 128) AS ab, list_slice(list_sort(list_distinct(a || c)), 1, 128) AS ac
+    FROM s)
+SELECT doc_id, length(t) AS n_chars, sha256(e) AS edited_sha256, array_to_string(a, '') AS fingerprint,
+    array_to_string(b, '') AS edited_fingerprint,
+    CASE WHEN len(ab) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(list_intersect(ab, a), b))::DOUBLE / len(ab) END AS near_edited,
+    CASE WHEN len(ac) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(list_intersect(ac, a), c))::DOUBLE / len(ac) END AS near_next
+FROM u
+""",
+    "op12_fp_tree_search": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, list_transform(regexp_extract_all(coalesce(text, ''),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz')) AS w FROM documents),
+b AS (
+    SELECT row_number() OVER () AS q, item_id, unnest(list_transform(regexp_extract_all(coalesce(text, ''),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'))) AS term FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+words AS (SELECT r, unnest(w) AS term FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM b) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, c GROUP BY term, n_docs),
+m AS (SELECT r, doc_id, 75 + (25 * CAST(len(w) AS BIGINT) * n_docs) // n_terms AS m FROM d, c WHERE len(w) > 0),
+s AS (
+    SELECT b.q, b.item_id, m.r, m.doc_id, CAST(sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * m.m))) AS BIGINT) AS score
+    FROM b JOIN tf USING (term) JOIN wt USING (term) JOIN m ON m.r = tf.r GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+""",
+    "op13_rollup_phrases": r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f AS (
+    SELECT lang, size, phrase, count(*) AS f FROM (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+            lambda i: array_to_string(list_slice(w, i, i + size - 1), ' '))) AS phrase
+        FROM w, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size)
+    GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+cuts AS (
+    SELECT lang, phrase, size, f AS a, k, array_to_string(list_slice(w, 1, k), ' ') AS p1,
+        array_to_string(list_slice(w, k + 1, size), ' ') AS p2
+    FROM cand, (SELECT unnest([1, 2]) AS k) WHERE k < size),
+scored AS (
+    SELECT cuts.lang, cuts.phrase, cuts.size, a, l.f AS l, r.f AS r,
+        CAST((1000000 * CAST(a AS HUGEINT) * a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score, k
+    FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = p1 JOIN f r ON r.lang = cuts.lang AND r.phrase = p2
+    QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, part, max(f) AS top FROM (
+        SELECT lang, f, unnest([array_to_string(list_slice(w, 1, 2), ' '), array_to_string(list_slice(w, 2, 3), ' ')]) AS part
+        FROM cand WHERE size = 3) GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, s.l, s.r,
+    t.n, s.score
+FROM scored s JOIN total t ON t.lang = s.lang LEFT JOIN inside i ON i.lang = s.lang AND i.part = s.phrase AND s.size = 2
+WHERE 100 * coalesce(i.top, 0) < 50 * s.a
+QUALIFY rank <= 2000
 """,
 }
