@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.llm.common import as_signed, mixed, word_hashes, word_memory
+from loadsmith.llm.common import as_signed, mixed
 from loadsmith.session import materialize
 
 #: Bits of the bitmap of frequent pairs (16 MB), and words that a task counts before it gives out the counts.
@@ -36,8 +37,33 @@ def piece_words(text: bytes) -> list[bytes]:
     return text.translate(_LOWER).replace(b".", b" . ").split()
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, list[str]]]:
-    """(words, number of each word's language, languages) of many documents, ended by a ``.`` each."""
+class _Numbers(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class _Chunk:
+    """The words of many documents, numbered: spelled, code (0: the end of a piece), lang, langs, hash of each word."""
+
+    def __init__(self, words: list[bytes], ends: list[int], langs: list[int], names: list[str]):
+        numbers = _Numbers({b".": 0})
+        self.code = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        self.spelled, self.langs = list(numbers), names
+        self.lang = np.repeat(langs, np.diff([0, *ends]))
+        self.hash = np.fromiter(map(xxhash.xxh3_64_intdigest, self.spelled), np.uint64, len(self.spelled))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each word with the next one and the language; whether both lie in one piece."""
+        salt = mixed(np.fromiter((xxhash.xxh3_64_intdigest(n) for n in self.langs), np.uint64, len(self.langs)))
+        first = self.hash * np.uint64(0x9E3779B97F4A7C15)
+        pair = mixed(first[self.code[:-1]] + self.hash[self.code[1:]] + salt[self.lang[:-1]])
+        return pair, (self.code[:-1] > 0) & (self.code[1:] > 0)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], most_words: int) -> Iterator[_Chunk]:
     words: list[bytes] = []
     ends, langs, names = [], [], {}
     for batch in batches:
@@ -48,28 +74,18 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np
                 words.append(b".")
                 ends.append(len(words))
                 langs.append(names.setdefault(lang, len(names)))
-                if len(words) >= CHUNK_WORDS:
-                    yield words, np.repeat(langs, np.diff([0, *ends])), list(names)
+                if len(words) >= most_words:
+                    yield _Chunk(words, ends, langs, list(names))
                     words, ends, langs, names = [], [], [], {}
     if words:
-        yield words, np.repeat(langs, np.diff([0, *ends])), list(names)
-
+        yield _Chunk(words, ends, langs, list(names))
 
-def _pair_hashes(words: list[bytes], langs: np.ndarray, names: list[str], known) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word with the next one and the language; whether both lie in one piece."""
-    h = word_hashes(words, known)
-    salt = word_hashes([n.encode() for n in names], known)[langs]
-    pair = mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] + mixed(salt[:-1]))
-    real = h != np.uint64(known[b"."])
-    return pair, real[:-1] & real[1:]
 
-
-def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
+def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, chunk_words: int = CHUNK_WORDS) -> np.ndarray:
     """Bitmap (by hash) of the word pairs that occur at least ``least`` times in a language."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = word_memory()
-        for words, langs, names in _chunks(batches):
-            pair, inside = _pair_hashes(words, langs, names, known)
+        for chunk in _chunks(batches, chunk_words):
+            pair, inside = chunk.pairs()
             hashes, n = np.unique(pair[inside], return_counts=True)
             for at in range(0, len(hashes), 100_000):
                 yield pa.RecordBatch.from_arrays(
@@ -77,57 +93,59 @@ def frequent_pairs(texts: DataFrame, least: int) -> np.ndarray:
                     names=["pair", "n"])
 
     pairs = texts.mapInArrow(counted, "pair long, n int").groupBy("pair").agg(F.sum("n").alias("n"))
-    bit = F.pmod(F.col("pair"), F.lit(BITS))
+    bit = F.pmod(F.col("pair"), F.lit(bits))
     cells = pairs.where(F.col("n") >= least).groupBy((bit / 64).cast("int").alias("cell")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pair, {BITS}) % 64 as int))")).alias("bits")).toArrow()
-    bitmap = np.zeros(BITS // 64, np.int64)
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pair, {bits}) % 64 as int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
     bitmap[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
     return bitmap.view(np.uint8)
 
 
-def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray) -> DataFrame:
+def _windows(chunk: _Chunk, bitmap: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
+    """(lang, columns, n): the distinct windows that are padded after 1, 2, ... words, and how often they occur."""
+    pair, inside = chunk.pairs()
+    bit = pair.view(np.int64) % (8 * len(bitmap))
+    goes_on = np.append(inside & (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1), False)
+    start, lang, columns = np.nonzero(chunk.code)[0], None, []
+    key = chunk.lang[start].astype(np.int64)
+    for j in range(longest):
+        # A prefix's number stands for the language and all words before; only distinct ones are spelled.
+        key = key * len(chunk.spelled) + chunk.code[start + j]
+        seen, key = np.unique(key, return_inverse=True)
+        at = seen // len(chunk.spelled)
+        lang = at if lang is None else lang[at]
+        columns = [c[at] for c in columns] + [seen % len(chunk.spelled)]
+        on = goes_on[start + j] if j + 1 < longest else np.zeros(len(start), bool)
+        n = np.bincount(key[~on], minlength=len(seen))
+        ended = np.nonzero(n)[0]
+        yield lang[ended], [c[ended] for c in columns], n[ended]
+        start, key = start[on], key[on]
+
+
+def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """lang, w1 to w``longest`` ('' pads), n: the windows, counted per chunk of a task."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = word_memory(), shared.value
-        for words, langs, names in _chunks(batches):
-            pair, inside = _pair_hashes(words, langs, names, known)
-            bit = pair.view(np.int64) % BITS
-            goes_on = np.append(inside & (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1), False)
-            numbers: dict[bytes, int] = {b"": 0}
-            code = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
-            start = np.nonzero(code != numbers.get(b".", -1))[0]
-            columns, going = [code[start]], np.ones(len(start), bool)
-            for j in range(1, longest):
-                going &= goes_on[np.minimum(start + j - 1, len(code) - 1)]
-                columns.append(np.where(going, code[np.minimum(start + j, len(code) - 1)], 0))
-            key = langs[start].astype(np.int64)
-            distinct = [np.unique(key)]
-            for c in columns:  # numbers of prefixes, so that any number of columns fits
-                key = key * len(numbers) + c
-                seen, key = np.unique(key, return_inverse=True)
-                distinct.append(seen)
-            n = np.bincount(key, minlength=len(distinct[-1]))
-            spelled = pa.array(list(numbers), pa.binary()).cast(pa.string())
-            at, out = np.arange(len(distinct[-1])), []
-            for seen in reversed(distinct[1:]):
-                out.append(seen[at] % len(numbers))
-                at = seen[at] // len(numbers)
-            lang = pa.array(names, pa.string()).take(pa.array(distinct[0][at]))
-            for a in range(0, len(n), 50_000):
-                b = slice(a, a + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [lang[b], *(spelled.take(pa.array(c[b])) for c in reversed(out)), pa.array(n[b].astype(np.int64))],
-                    names=["lang", *(f"w{j}" for j in range(1, longest + 1)), "n"])
+        for chunk in _chunks(batches, chunk_words):
+            spelled, langs = pa.array(chunk.spelled, pa.binary()).cast(pa.string()), pa.array(chunk.langs, pa.string())
+            for lang, columns, n in _windows(chunk, shared.value, longest):
+                for at in range(0, len(n), 50_000):
+                    cut = slice(at, at + 50_000)
+                    words = [spelled.take(pa.array(c[cut])) for c in columns]
+                    words += [pa.array([""]).take(pa.array(np.zeros(len(words[0]), np.int64)))] * (longest - len(words))
+                    yield pa.RecordBatch.from_arrays(
+                        [langs.take(pa.array(lang[cut])), *words, pa.array(n[cut].astype(np.int64))],
+                        names=["lang", *(f"w{j}" for j in range(1, longest + 1)), "n"])
 
     cols = ", ".join(f"w{j} string" for j in range(1, longest + 1))
     return texts.mapInArrow(windows, f"lang string, {cols}, n long")
 
 
-def phrase_counts(texts: DataFrame, longest: int, least: int) -> DataFrame:
+def phrase_counts(texts: DataFrame, longest: int, least: int, bits: int = BITS,
+                  chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """lang, phrase, size, f: every phrase with f >= ``least``; size 0 and phrase '' stand for all words of a language."""
-    windows = longest_windows(texts, longest, frequent_pairs(texts, least))
+    windows = longest_windows(texts, longest, frequent_pairs(texts, least, bits, chunk_words), chunk_words)
     names = [f"w{j}" for j in range(1, longest + 1)]
     sums = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # A level sums the windows over all columns after the first ``size`` ones; padded prefixes are no phrases.
@@ -139,7 +157,7 @@ def phrase_counts(texts: DataFrame, longest: int, least: int) -> DataFrame:
 
 
 def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, first: int = 2000,
-                 cover: tuple[int, int] = (50, 100)) -> DataFrame:
+                 cover: tuple[int, int] = (50, 100), bits: int = BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``first`` phrases of each language.
 
     Candidates are the phrases of 2 to ``longest`` words inside pieces that occur at
@@ -149,10 +167,10 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, first: int
     the share ``cover`` of their occurrences are left out.  Order: score and a
     descending, phrase in byte order.  Null and empty texts have no words; repeated
     rows count each; an empty table gives an empty result; other columns are not
-    carried.
+    carried.  ``bits`` (a multiple of 64) and ``chunk_words`` bound memory; no result depends on them.
     """
     texts = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), "text")
-    counts = materialize(phrase_counts(texts, longest, least), "phrase-counts")
+    counts = materialize(phrase_counts(texts, longest, least, bits, chunk_words), "phrase-counts")
     phrases = counts.where("size > 0").select("lang", "phrase", "f")
     candidates = counts.where("size > 1").select("lang", "phrase", "size", F.col("f").alias("a"))
     cuts = candidates.withColumn("k", F.explode(F.expr("sequence(1, size - 1)")))

@@ -84,7 +84,9 @@ class Tree:
     ``order`` and its subtree ends before ``after``.
     """
 
-    def __init__(self, ids: np.ndarray, m: np.ndarray, offsets: np.ndarray, terms: np.ndarray, tfs: np.ndarray):
+    def __init__(self, ids: np.ndarray, m: np.ndarray, offsets: np.ndarray, terms: np.ndarray, tfs: np.ndarray,
+                 page: int = PAGE):
+        self.page = page
         paths = terms.astype(">u4").tobytes()
         ends = (4 * offsets).tolist()
         keys = [paths[a:b] for a, b in zip(ends, ends[1:])]
@@ -107,27 +109,26 @@ class Tree:
         self.children.append([])
         self.after.append(me + 1)
         cuts = [first]
-        while last - first > PAGE and len(cuts) == 1:  # a path without a branch stays one node
+        while last - first > self.page and len(cuts) == 1:  # a path without a branch stays one node
             place = self.offsets[first:last] + depth
             inside = place < self.offsets[first + 1:last + 1]
             if not inside.any():  # equal vectors: dealt to pages as they come
-                cuts = list(range(first, last, PAGE))
+                cuts = list(range(first, last, self.page))
                 break
             term = np.where(inside, self.terms[np.minimum(place, len(self.terms) - 1)], -1)
             cuts = [first, *(first + 1 + np.nonzero(term[1:] != term[:-1])[0]).tolist()]
             depth += 1
         if len(cuts) > 1:
             for a, b in self._joined(cuts, last):
-                self.children[me].append(self._grow(a, b, depth if b - a > PAGE else 0))
+                self.children[me].append(self._grow(a, b, depth if b - a > self.page else 0))
         self.after[me] = len(self.first)
         return me
 
-    @staticmethod
-    def _joined(cuts: list[int], last: int) -> list[tuple[int, int]]:
+    def _joined(self, cuts: list[int], last: int) -> list[tuple[int, int]]:
         """The branches, with small neighbouring ones joined to one page."""
         out: list[tuple[int, int]] = []
         for a, b in zip(cuts, [*cuts[1:], last]):
-            if out and b - out[-1][0] <= PAGE:
+            if out and b - out[-1][0] <= self.page:
                 out[-1] = (out[-1][0], b)
             else:
                 out.append((a, b))
@@ -211,7 +212,8 @@ class Searcher:
             del best[self.k:]
 
 
-def trees_of(batch: pa.RecordBatch, rank: np.ndarray, n_docs: int, n_terms: int) -> Iterator[Tree]:
+def trees_of(batch: pa.RecordBatch, rank: np.ndarray, n_docs: int, n_terms: int, page: int,
+             most: int) -> Iterator[Tree]:
     """FP-trees of the documents of a batch that hold any of the terms."""
     listed = batch.column(2)
     offsets = listed.offsets.to_numpy().astype(np.int64)
@@ -226,16 +228,16 @@ def trees_of(batch: pa.RecordBatch, rank: np.ndarray, n_docs: int, n_terms: int)
     keep = np.nonzero(np.diff(offsets) > 0)[0]
     at = 0
     while at < len(keep):
-        full = np.searchsorted(offsets, offsets[keep[at]] + TREE_ENTRIES, side="right") - 1
+        full = np.searchsorted(offsets, offsets[keep[at]] + most, side="right") - 1
         to = max(int(np.searchsorted(keep, full)), at + 1)
         rows = keep[at:to]
         a, b = offsets[rows[0]], offsets[rows[-1] + 1]
         ends = np.concatenate([[a], offsets[rows + 1]]) - a
-        yield Tree(ids[rows], m[rows], ends, terms[a:b], tfs[a:b])
+        yield Tree(ids[rows], m[rows], ends, terms[a:b], tfs[a:b], page)
         at = to
 
 
-def search_block(docs: DataFrame, items: list, k: int) -> DataFrame:
+def search_block(docs: DataFrame, items: list, k: int, page: int = PAGE, tree_entries: int = TREE_ENTRIES) -> DataFrame:
     """item_id, place (the item's place in the block), doc_id, score: each task's best of each item."""
     spark = docs.sparkSession
     wanted = [Counter(terms_of(r["text"].encode() if r["text"] else None)) for r in items]
@@ -259,7 +261,7 @@ def search_block(docs: DataFrame, items: list, k: int) -> DataFrame:
         asked, rank, names = shared.value
         searcher = Searcher(asked, k)
         for batch in batches:
-            for tree in trees_of(batch, rank, n_docs, n_terms):
+            for tree in trees_of(batch, rank, n_docs, n_terms, page, tree_entries):
                 searcher.search(tree)
         found = [(names[i], i, x if x != _NO_ID else None, -s) for i, best in enumerate(searcher.best) for s, x in best]
         for at in range(0, len(found), 50_000):
@@ -274,7 +276,8 @@ def search_block(docs: DataFrame, items: list, k: int) -> DataFrame:
         searched, f"item_id {'string' if text_ids else 'long'}, place int, doc_id long, score long")
 
 
-def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20) -> DataFrame:
+def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20, page: int = PAGE,
+                   tree_entries: int = TREE_ENTRIES) -> DataFrame:
     """item_id, rank, doc_id, score: the ``k`` documents of highest score above 0 for each item.
 
     Every benchmark row is an item of its own, also one that repeats an id or text or
@@ -284,6 +287,7 @@ def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20) -> DataFr
     equals.  Empty tables give an empty result; other columns are not carried.  Items are
     searched in blocks (``BLOCK_ITEMS``, ``BLOCK_CHARS``), so what the driver and the
     tasks hold of them is bounded; ids are whole numbers (an item's may be text).
+    ``page`` and ``tree_entries`` size the trees; no result depends on them.
     """
     spark = docs.sparkSession
     ids = benchmark.schema["item_id"].dataType.simpleString()
@@ -293,7 +297,7 @@ def rank_documents(docs: DataFrame, benchmark: DataFrame, k: int = 20) -> DataFr
     wrote = False
     asked = benchmark.select(F.col("item_id").cast("string" if ids == "string" else "long").alias("item_id"), "text")
     for items in table_rows_in_blocks(asked, "text", BLOCK_ITEMS, BLOCK_CHARS):
-        found = search_block(docs, items, k).withColumn("rank", F.row_number().over(best))
+        found = search_block(docs, items, k, page, tree_entries).withColumn("rank", F.row_number().over(best))
         (found.where(F.col("rank") <= k).select(F.col("item_id").cast(ids).alias("item_id"), "rank", "doc_id", "score")
          .write.mode("append").parquet(out))
         wrote = True
