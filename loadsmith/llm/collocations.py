@@ -15,10 +15,12 @@ reach the least count stay exact at every size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,33 +28,31 @@ from pyspark.sql import functions as F
 from loadsmith.llm.common import as_signed, mixed
 from loadsmith.session import materialize
 
-#: Bits of the bitmap of frequent pairs (16 MB), and words that a task counts before it gives out the counts.
-BITS, CHUNK_WORDS = 1 << 27, 1 << 21
+#: Bits of the bitmap of frequent pairs (16 MB), and bytes of texts that a task counts before it gives out the counts.
+BITS, CHUNK_BYTES = 1 << 27, 6 << 20
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _LOWER = bytes(46 if c in _ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def piece_words(text: bytes) -> list[bytes]:
-    """The words of a text, A-Z lower-cased, with ``.`` between pieces."""
-    return text.translate(_LOWER).replace(b".", b" . ").split()
-
-
-class _Numbers(dict):
-    """Numbers words in the order they come."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+def spaced_pieces(text: bytes) -> bytes:
+    """A text with A-Z lower-cased, one kind of space between words and ``.`` as a word after each piece."""
+    return text.translate(_LOWER).replace(b".", b" . ") + b" ."
 
 
 class _Chunk:
-    """The words of many documents, numbered: spelled, code (0: the end of a piece), lang, langs, hash of each word."""
-
-    def __init__(self, words: list[bytes], ends: list[int], langs: list[int], names: list[str]):
-        numbers = _Numbers({b".": 0})
-        self.code = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        self.spelled, self.langs = list(numbers), names
-        self.lang = np.repeat(langs, np.diff([0, *ends]))
+    """The words of many documents as numbers: code (place of the word in spelled), end (that of ``.``), lang
+    (place in langs)."""
+
+    def __init__(self, texts: list[bytes], langs: list[str]):
+        words = pc.split_pattern(pa.array(texts, pa.binary()), " ")
+        encoded = words.values.dictionary_encode()
+        self.spelled = encoded.dictionary.to_pylist()
+        code = encoded.indices.to_numpy()
+        names = pa.array(langs, pa.string()).dictionary_encode()
+        self.langs = names.dictionary.to_pylist()
+        lang = np.repeat(names.indices.to_numpy(), np.diff(words.offsets.to_numpy()))
+        real = code != self.spelled.index(b"") if b"" in self.spelled else np.ones(len(code), bool)
+        self.code, self.lang, self.end = code[real], lang[real], self.spelled.index(b".")
         self.hash = np.fromiter(map(xxhash.xxh3_64_intdigest, self.spelled), np.uint64, len(self.spelled))
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
@@ -60,31 +60,28 @@ class _Chunk:
         salt = mixed(np.fromiter((xxhash.xxh3_64_intdigest(n) for n in self.langs), np.uint64, len(self.langs)))
         first = self.hash * np.uint64(0x9E3779B97F4A7C15)
         pair = mixed(first[self.code[:-1]] + self.hash[self.code[1:]] + salt[self.lang[:-1]])
-        return pair, (self.code[:-1] > 0) & (self.code[1:] > 0)
+        return pair, (self.code[:-1] != self.end) & (self.code[1:] != self.end)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], most_words: int) -> Iterator[_Chunk]:
-    words: list[bytes] = []
-    ends, langs, names = [], [], {}
+def _chunks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[_Chunk]:
+    texts, langs, size = [], [], 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-            text = text.as_py()
-            if text:
-                words += piece_words(text)
-                words.append(b".")
-                ends.append(len(words))
-                langs.append(names.setdefault(lang, len(names)))
-                if len(words) >= most_words:
-                    yield _Chunk(words, ends, langs, list(names))
-                    words, ends, langs, names = [], [], [], {}
-    if words:
-        yield _Chunk(words, ends, langs, list(names))
-
-
-def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, chunk_words: int = CHUNK_WORDS) -> np.ndarray:
+        for lang, text in zip(batch.column(0), batch.column(1).cast(pa.binary())):
+            if text := text.as_py():
+                texts.append(spaced_pieces(text))
+                langs.append(lang.as_py())
+                size += len(text)
+                if size >= most_bytes:
+                    yield _Chunk(texts, langs)
+                    texts, langs, size = [], [], 0
+    if texts:
+        yield _Chunk(texts, langs)
+
+
+def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, chunk_bytes: int = CHUNK_BYTES) -> np.ndarray:
     """Bitmap (by hash) of the word pairs that occur at least ``least`` times in a language."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, chunk_words):
+        for chunk in _chunks(batches, chunk_bytes):
             pair, inside = chunk.pairs()
             hashes, n = np.unique(pair[inside], return_counts=True)
             for at in range(0, len(hashes), 100_000):
@@ -106,7 +103,7 @@ def _windows(chunk: _Chunk, bitmap: np.ndarray, longest: int) -> Iterator[tuple[
     pair, inside = chunk.pairs()
     bit = pair.view(np.int64) % (8 * len(bitmap))
     goes_on = np.append(inside & (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1), False)
-    start, lang, columns = np.nonzero(chunk.code)[0], None, []
+    start, lang, columns = np.nonzero(chunk.code != chunk.end)[0], None, []
     key = chunk.lang[start].astype(np.int64)
     for j in range(longest):
         # A prefix's number stands for the language and all words before; only distinct ones are spelled.
@@ -122,12 +119,12 @@ def _windows(chunk: _Chunk, bitmap: np.ndarray, longest: int) -> Iterator[tuple[
         start, key = start[on], key[on]
 
 
-def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """lang, w1 to w``longest`` ('' pads), n: the windows, counted per chunk of a task."""
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, chunk_words):
+        for chunk in _chunks(batches, chunk_bytes):
             spelled, langs = pa.array(chunk.spelled, pa.binary()).cast(pa.string()), pa.array(chunk.langs, pa.string())
             for lang, columns, n in _windows(chunk, shared.value, longest):
                 for at in range(0, len(n), 50_000):
@@ -143,21 +140,25 @@ def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray, chunk_wo
 
 
 def phrase_counts(texts: DataFrame, longest: int, least: int, bits: int = BITS,
-                  chunk_words: int = CHUNK_WORDS) -> DataFrame:
+                  chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """lang, phrase, size, f: every phrase with f >= ``least``; size 0 and phrase '' stand for all words of a language."""
-    windows = longest_windows(texts, longest, frequent_pairs(texts, least, bits, chunk_words), chunk_words)
+    windows = longest_windows(texts, longest, frequent_pairs(texts, least, bits, chunk_bytes), chunk_bytes)
     names = [f"w{j}" for j in range(1, longest + 1)]
-    sums = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
+    view = f"windows_{uuid.uuid4().hex}"
+    windows.createOrReplaceTempView(view)
+    sums = texts.sparkSession.sql(
+        f"SELECT lang, {', '.join(names)}, sum(n) AS f, grouping_id() AS level FROM {view} "
+        f"GROUP BY lang, ROLLUP ({', '.join(names)})")
+    texts.sparkSession.catalog.dropTempView(view)
     # A level sums the windows over all columns after the first ``size`` ones; padded prefixes are no phrases.
-    size = F.lit(longest) - F.log2(F.col("level") + 1).cast("int")
-    sums = sums.withColumn("size", size).where("size >= 0")
+    sums = sums.withColumn("size", F.lit(longest) - F.log2(F.col("level") + 1).cast("int"))
     ends = F.element_at(F.array(F.lit("."), *names), F.col("size") + 1)
     kept = sums.where((F.col("size") == 0) | ((ends != "") & (F.col("f") >= least)))
     return kept.select("lang", F.array_join(F.array(*names), " ").alias("phrase"), "size", "f")
 
 
 def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, first: int = 2000,
-                 cover: tuple[int, int] = (50, 100), bits: int = BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+                 cover: tuple[int, int] = (50, 100), bits: int = BITS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``first`` phrases of each language.
 
     Candidates are the phrases of 2 to ``longest`` words inside pieces that occur at
@@ -167,10 +168,10 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, first: int
     the share ``cover`` of their occurrences are left out.  Order: score and a
     descending, phrase in byte order.  Null and empty texts have no words; repeated
     rows count each; an empty table gives an empty result; other columns are not
-    carried.  ``bits`` (a multiple of 64) and ``chunk_words`` bound memory; no result depends on them.
+    carried.  ``bits`` (a multiple of 64) and ``chunk_bytes`` bound memory; no result depends on them.
     """
     texts = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), "text")
-    counts = materialize(phrase_counts(texts, longest, least, bits, chunk_words), "phrase-counts")
+    counts = materialize(phrase_counts(texts, longest, least, bits, chunk_bytes), "phrase-counts")
     phrases = counts.where("size > 0").select("lang", "phrase", "f")
     candidates = counts.where("size > 1").select("lang", "phrase", "size", F.col("f").alias("a"))
     cuts = candidates.withColumn("k", F.explode(F.expr("sequence(1, size - 1)")))

@@ -42,11 +42,11 @@ def fixture(seed, n):
     return texts, [rng.choice(["en", "fr", None, "und"]) for _ in texts]
 
 
-@pytest.mark.parametrize("chunk, bits, longest", [(1 << 21, 1 << 27, 3), (100, 1 << 27, 3), (100, 64, 3), (1000, 1 << 10, 4), (1000, 1 << 10, 2)])
+@pytest.mark.parametrize("chunk, bits, longest", [(6 << 20, 1 << 27, 3), (700, 1 << 27, 3), (700, 64, 3), (6000, 1 << 10, 4), (6000, 1 << 10, 2)])
 def test_against_plain_python(spark, chunk, bits, longest):
     texts, langs = fixture(longest, 150)
     docs = documents(spark, texts, langs=langs).selectExpr("*", "'x' as w1", "1 as phrase", "2 as a", "3 as n")
-    assert rows(mine_phrases(docs.repartition(3), longest, bits=bits, chunk_words=chunk)) == plain(texts, langs, longest)
+    assert rows(mine_phrases(docs.repartition(3), longest, bits=bits, chunk_bytes=chunk)) == plain(texts, langs, longest)
 
 
 def test_first_phrases_in_byte_order_of_ties(spark):
