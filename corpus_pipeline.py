@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadsmith.llm.common import bound_batches
 from loadsmith.llm.debruijn import cut_repeats
 from loadsmith.llm.decontam import remove_contaminated
 from loadsmith.llm.langid_hd import keep_known_languages
@@ -14,6 +15,7 @@ from loadsmith.session import materialize
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go (language 'und'); the score of a language is no reason to drop a text."""
+    bound_batches(spark)
     return keep_known_languages(docs)
 
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.llm.common import as_signed, mixed
+from loadsmith.llm.common import as_signed, bound_batches, mixed, tidy
 from loadsmith.session import materialize
 
 #: Bits of the bitmap of frequent pairs (16 MB), and bytes of texts that a task counts before it gives out the counts.
@@ -89,7 +89,7 @@ def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, chunk_bytes:
                     [pa.array(as_signed(hashes[at:at + 100_000])), pa.array(n[at:at + 100_000].astype(np.int32))],
                     names=["pair", "n"])
 
-    pairs = texts.mapInArrow(counted, "pair long, n int").groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = texts.mapInArrow(tidy(counted), "pair long, n int").groupBy("pair").agg(F.sum("n").alias("n"))
     bit = F.pmod(F.col("pair"), F.lit(bits))
     cells = pairs.where(F.col("n") >= least).groupBy((bit / 64).cast("int").alias("cell")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pair, {bits}) % 64 as int))")).alias("bits")).toArrow()
@@ -136,7 +136,7 @@ def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray, chunk_by
                         names=["lang", *(f"w{j}" for j in range(1, longest + 1)), "n"])
 
     cols = ", ".join(f"w{j} string" for j in range(1, longest + 1))
-    return texts.mapInArrow(windows, f"lang string, {cols}, n long")
+    return texts.mapInArrow(tidy(windows), f"lang string, {cols}, n long")
 
 
 def phrase_counts(texts: DataFrame, longest: int, least: int, bits: int = BITS,
@@ -170,6 +170,7 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, first: int
     rows count each; an empty table gives an empty result; other columns are not
     carried.  ``bits`` (a multiple of 64) and ``chunk_bytes`` bound memory; no result depends on them.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), "text")
     counts = materialize(phrase_counts(texts, longest, least, bits, chunk_bytes), "phrase-counts")
     phrases = counts.where("size > 0").select("lang", "phrase", "f")

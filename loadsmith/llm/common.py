@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,3 +109,20 @@ def table_rows_in_blocks(df: DataFrame, text: str, rows: int, chars: int):
             block, size = [], 0
     if block:
         yield block
+
+
+def bound_batches(spark: SparkSession, most: str = "4m") -> None:
+    """Bound the batches that go to Python by bytes too: 10,000 long texts would be a batch of any size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
+def tidy(batches_fn: Callable) -> Callable:
+    """A function of a task's batches that gives its memory back when the task ends, as workers live on."""
+    @functools.wraps(batches_fn)
+    def run(batches):
+        yield from batches_fn(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return run

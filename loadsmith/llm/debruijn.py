@@ -28,7 +28,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.llm.common import as_signed, in_slices, mixed, small_enough, text_key, word_hashes, word_memory
+from loadsmith.llm.common import as_signed, in_slices, mixed, small_enough, text_key, tidy, word_hashes, word_memory
 from loadsmith.session import materialize
 
 K, SEED_WORDS = 35, 8
@@ -106,7 +106,7 @@ def super_kmer_rows(texts: DataFrame, k: int = K) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)],
                                           names=["k1", "k2", "weight", "lo", "hi", "m", "e"])
 
-    return texts.mapInArrow(rows, "k1 long, k2 long, weight int, lo int, hi int, m long, e long")
+    return texts.mapInArrow(tidy(rows), "k1 long, k2 long, weight int, lo int, hi int, m long, e long")
 
 
 def linked(repeated: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def single_kmers(texts: DataFrame, places: DataFrame, k: int = K) -> DataFrame:
                         names=["w1", "w2", "k1", "k2", "s", "weight"])
 
     return (_of_texts(texts.drop("weight"), places).select("k1", "k2", "text", "todo")
-            .mapInArrow(rows, "w1 long, w2 long, k1 long, k2 long, s int, weight int"))
+            .mapInArrow(tidy(rows), "w1 long, w2 long, k1 long, k2 long, s int, weight int"))
 
 
 def repeated_spans(docs: DataFrame, k: int = K) -> DataFrame:
@@ -249,43 +249,45 @@ def remove_repeats(docs: DataFrame, k: int = K) -> DataFrame:
     return joined.mapInArrow(digests, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
-def _with_spans(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """``rows`` with the spans of their text; rows without any aren't shuffled (null spans)."""
+def _by_spans(rows: DataFrame, docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The rows whose text has no spans, which aren't shuffled, and the others with the spans of their text."""
     spans = repeated_spans(docs, k)
     keys = small_enough(spans.select("k1", "k2"))
-    clean = rows.join(keys, ["k1", "k2"], "left_anti").withColumn(
-        "spans", F.lit(None).cast(spans.schema["spans"].dataType))
-    return clean.unionByName(_of_texts(rows, spans))
+    return rows.join(keys, ["k1", "k2"], "left_anti"), _of_texts(rows, spans)
+
+
+def _with_spans(rows: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """``rows`` with the spans of their text; null where there are none."""
+    clean, cut = _by_spans(rows, docs, k)
+    return clean.withColumn("spans", F.lit(None).cast(cut.schema["spans"].dataType)).unionByName(cut)
 
 
 def cut_repeats(docs: DataFrame, k: int = K, most: float = 1.0) -> DataFrame:
     """``docs`` with the repeated words cut out of the texts; the columns stay as they are.
 
-    The words that stay are joined by one space; texts without repeats are returned
-    unchanged.  A document that loses ``most`` or more of its words is dropped.
+    The words that stay are joined by one space; texts without repeats, null and empty ones
+    among them, are returned unchanged and don't go through Python.  A document that loses ``most``
+    or more of its words is dropped.  Repeated rows are copies of each other; columns of any
+    name are kept; an empty table gives an empty result.
     """
     columns = docs.columns
-    renamed = docs.select(*text_key(), *(F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(columns)))
-    joined = _with_spans(renamed, docs, k)
-    names = [f"d{i}" for i in range(len(columns))]
     at = columns.index("text")
-    ordered = joined.select(*names, "spans")
+    names = [f"d{i}" for i in range(len(columns))]
+    renamed = docs.select(*text_key(), *(F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)))
+    clean, cut = _by_spans(renamed, docs, k)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, stay = [], []
-            for text, spans in zip(batch.column(at), batch.column(len(names))):
-                value = text.as_py()
-                if spans.is_valid:
-                    words = value.encode().split()
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                out, stay = [], []
+                for text, spans in zip(part.column(at), part.column(len(names))):
+                    words = text.as_py().encode().split()
                     gone = _mark(len(words), spans.as_py(), k)
                     stay.append(gone.sum() < most * len(words))
-                    value = b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode()
-                else:
-                    stay.append(True)
-                out.append(value)
-            arrays = [pa.array(out, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(stay, pa.bool_()))
-
-    made = ordered.mapInArrow(texts, joined.select(*names).schema)
-    return made.select(*(F.col(n).alias(c) for n, c in zip(names, columns)))
+                    out.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode())
+                arrays = [pa.array(out, pa.string()) if i == at else part.column(i) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays(arrays, names=names).filter(pa.array(stay, pa.bool_()))
+
+    made = cut.select(*names, "spans").mapInArrow(tidy(texts), cut.select(*names).schema)
+    return clean.select(*names).unionByName(made).select(*(F.col(n).alias(c) for n, c in zip(names, columns)))

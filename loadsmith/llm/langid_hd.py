@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loadsmith.llm.common import tidy
+
 #: Length of the vectors, letters of an n-gram, and the seed of the letter vectors.
 DIMENSION, NGRAM, SEED = 512, 3, 2024
 #: Languages whose prototypes are broadcast (DIMENSION doubles each); more are refused.
@@ -136,12 +138,47 @@ def learn_prototypes(labelled: DataFrame, dimension: int = DIMENSION, seed: int
                  pa.array(vectors.bundle(*merged(parts)), pa.float64())], names=["lang", "at", "x"])
 
     parts = (labelled.where("lang is not null and text is not null").select(F.col("lang").cast("string"), "text")
-             .mapInArrow(partial, "lang string, at int, x double"))
+             .mapInArrow(tidy(partial), "lang string, at int, x double"))
     return (parts.groupBy("lang", "at").agg(F.sum("x").alias("x"))
             .groupBy("lang").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))),
                                              lambda s: s["x"]).alias("prototype")))
 
 
+class _Judge:
+    """Languages of texts by the highest cosine with the prototypes."""
+
+    def __init__(self, langs: list[str], proto: np.ndarray, dimension: int, seed: int):
+        self.langs, self.proto, self.dimension = langs, proto, dimension
+        self.vectors = NgramVectors(dimension, seed)
+
+    def judge(self, texts) -> tuple[list[str], list[float]]:
+        best, score = [], []
+        for text in texts:
+            codes, counts = ngram_counts(text.as_py())
+            bundle = self.vectors.bundle(codes, counts) if len(codes) and self.langs else np.zeros(self.dimension)
+            norm = np.linalg.norm(bundle)
+            if norm:
+                cosines = self.proto @ (bundle / norm)
+                i = int(np.argmax(cosines))
+                best.append(self.langs[i])
+                score.append(float(min(max(cosines[i], 0.0), 1.0)))
+            else:
+                best.append("und")
+                score.append(0.0)
+        return best, score
+
+
+def _shared_judge(prototypes: DataFrame, dimension: int, seed: int):
+    """The judge of the learned prototypes, broadcast; at most ``MAX_LANGUAGES`` of them."""
+    learned = prototypes.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(learned) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    names = [r["lang"] for r in learned]
+    matrix = np.array([r["prototype"] for r in learned]).reshape(len(names), dimension)
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return prototypes.sparkSession.sparkContext.broadcast((names, matrix / np.where(norms, norms, 1)))
+
+
 def predict_languages(docs: DataFrame, prototypes: DataFrame, dimension: int = DIMENSION,
                       seed: int = SEED) -> DataFrame:
     """``docs`` with lang_pred and score (the highest cosine, from 0 to 1) of every whole text.
@@ -150,40 +187,20 @@ def predict_languages(docs: DataFrame, prototypes: DataFrame, dimension: int = D
     text if nothing was learned; ties go to the first language in order.  Input
     columns of these two names are replaced; repeated rows are each judged.
     """
-    learned = prototypes.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(learned) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    names = [r["lang"] for r in learned]
-    matrix = np.array([r["prototype"] for r in learned]).reshape(len(names), dimension)
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    shared = docs.sparkSession.sparkContext.broadcast((names, matrix / np.where(norms, norms, 1)))
-
+    shared = _shared_judge(prototypes, dimension, seed)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     at_text = kept.index("text")
     schema = docs.select(*(F.col(f"`{c}`") for c in kept)).schema.add("lang_pred", "string").add("score", "double")
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, proto = shared.value
-        vectors = NgramVectors(dimension, seed)
+        judge = _Judge(*shared.value, dimension, seed)
         for batch in batches:
-            best, score = [], []
-            for text in batch.column(at_text):
-                codes, counts = ngram_counts(text.as_py())
-                bundle = vectors.bundle(codes, counts) if len(codes) and langs else np.zeros(dimension)
-                norm = np.linalg.norm(bundle)
-                if norm:
-                    cosines = proto @ (bundle / norm)
-                    i = int(np.argmax(cosines))
-                    best.append(langs[i])
-                    score.append(float(min(max(cosines[i], 0.0), 1.0)))
-                else:
-                    best.append("und")
-                    score.append(0.0)
+            best, score = judge.judge(batch.column(at_text))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(predicted, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(tidy(predicted), schema)
 
 
 def held_out() -> F.Column:
@@ -202,13 +219,20 @@ def identify_languages(docs: DataFrame, dimension: int = DIMENSION, seed: int =
     return predict_languages(rows, learned, dimension, seed).drop("text")
 
 
-def keep_known_languages(docs: DataFrame) -> DataFrame:
-    """``docs`` without the texts whose language is 'und': no letter, or nothing was learned.
+def keep_known_languages(docs: DataFrame, dimension: int = DIMENSION, seed: int = SEED) -> DataFrame:
+    """``docs`` without the texts whose language is 'und': no letter (null and empty texts too), or nothing was learned.
 
     The cosine decides nothing here: at this dimension that of a clean short text
     is within the noise (about 1 / sqrt(dimension)).  Nonsense made of letters stays.
+    Only texts go to Python, and only verdicts come back.  Repeated rows are each judged, all
+    columns stay as they are, whatever their names; an empty table gives an empty result.
     """
-    tagged = docs.withColumnsRenamed({c: f"d_{c}" for c in docs.columns if c != "text"})
-    learned = learn_prototypes(docs.where(~held_out()))
-    judged = predict_languages(tagged, learned).where(F.col("lang_pred") != "und")
-    return judged.select(*(F.col("`text`" if c == "text" else f"`d_{c}`").alias(c) for c in docs.columns))
+    shared = _shared_judge(learn_prototypes(docs.where(~held_out()), dimension, seed), dimension, seed)
+
+    @F.arrow_udf("boolean")
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        judge = _Judge(*shared.value, dimension, seed)
+        for batch in texts:
+            yield pa.array([lang != "und" for lang in judge.judge(batch)[0]], pa.bool_())
+
+    return docs.where(known(F.col("text")))

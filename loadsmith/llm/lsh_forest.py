@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.llm.common import as_signed, mixed, small_enough, text_key, word_hashes, word_memory
+from loadsmith.llm.common import as_signed, mixed, small_enough, text_key, tidy, word_hashes, word_memory
 from loadsmith.llm.components import connected_components
 from loadsmith.session import materialize
 
@@ -72,8 +72,8 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
     """Per row: doc_id, k1 and k2 (the text), n_shingles, cls (a 128-bit hash of the set, null if empty), sig."""
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_memory()
-        for batch in batches:
-            sizes, classes, signatures = [], [], []
+        for whole, at in ((b, at) for b in batches for at in range(0, b.num_rows, 2000)):
+            batch, sizes, classes, signatures = whole.slice(at, 2000), [], [], []
             for text in batch.column(3).cast(pa.binary()):
                 s = shingle_set(text.as_py(), n, known)
                 sizes.append(len(s))
@@ -85,7 +85,7 @@ def document_sets(docs: DataFrame, n: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", *text_key(), "text").mapInArrow(
-        features, f"doc_id {kind}, k1 long, k2 long, n_shingles long, cls binary, sig binary")
+        tidy(features), f"doc_id {kind}, k1 long, k2 long, n_shingles long, cls binary, sig binary")
 
 
 def forest(classes: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def class_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     ids = small_enough(wanted.select("rep").distinct())
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["rep"]), "left_semi").select("text")
-    made = texts.mapInArrow(sets, "cls binary, shingles array<long>").dropDuplicates(["cls"])
+    made = texts.mapInArrow(tidy(sets), "cls binary, shingles array<long>").dropDuplicates(["cls"])
     return made.join(wanted.select("cls"), "cls", "left_semi")
 
 
@@ -302,7 +302,8 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: tup
 
     The one that stays has the smallest doc_id (null last, then the smallest hash of
     the text); rows that repeat both its id and its text are reduced to one.
-    Documents without words all stay.
+    Documents without words, null texts among them, all stay.  Columns of any name are kept; an
+    empty table gives an empty result.
     """
     rows = materialize(near_duplicate_rows(docs, shingle_words, threshold).where("root is not null").select(
         F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "k1", "k2").alias("me"), "root"), "judged")
@@ -312,11 +313,12 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = 5, threshold: tup
     gone = judged.where(~F.col("stays")).select("me")
     again = judged.where("stays and n > 1").select("me")
     k1, k2 = text_key()
-    named = docs.withColumn("_me", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", k1, k2))
-    few = small_enough(gone.withColumnRenamed("me", "_me"))
-    left = named.join(few, "_me", "left_anti")
+    names = [f"d{i}" for i in range(len(docs.columns))]
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", k1, k2).alias("me"),
+                        *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)))
+    left = named.join(small_enough(gone), "me", "left_anti")
     if not again.isEmpty():
-        twice = small_enough(again.withColumnRenamed("me", "_me"))
-        left = left.join(twice, "_me", "left_anti").unionByName(
-            left.join(twice, "_me", "left_semi").dropDuplicates(["_me"]))
-    return left.drop("_me")
+        twice = small_enough(again)
+        left = left.join(twice, "me", "left_anti").unionByName(
+            left.join(twice, "me", "left_semi").dropDuplicates(["me"]))
+    return left.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names)))
