@@ -11,6 +11,7 @@ from its rank in the order of lengths.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -33,8 +34,13 @@ CAPACITY, END_ID, GROUPS = 1024, 2, 128
 LARGE_SHARE = 1 / 8
 #: Texts without any of these characters are split here and encoded word by word; all others whole.
 _RARE = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ɏ]")
-#: The byte-level pattern for such texts (there, letters are what is a word character but no digit or underscore).
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: The byte-level pattern for such texts: no alternative but a contraction starts with an apostrophe and a letter.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+_WORDS = re.compile(rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+#: The only settings of a tokenizer file with which words may be encoded singly.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+#: Texts whose words are looked up together.
+_TOGETHER = 200
 #: Words whose ids a worker remembers (about 200 bytes each).
 _REMEMBERED = 1_000_000
 
@@ -62,31 +68,42 @@ class _Known:
         return out
 
 
+def cuts_words(tokenizer: dict) -> bool:
+    """Whether a tokenizer file's settings make the ids of a text those of its words by the byte-level pattern."""
+    first, model = tokenizer.get("pre_tokenizer") or {}, tokenizer.get("model") or {}
+    return (tokenizer.get("normalizer") is None and {k: first.get(k) for k in _BYTE_LEVEL} == _BYTE_LEVEL
+            and model.get("type") == "BPE" and not model.get("dropout"))
+
+
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Callable[[str], bytes]:
-    """Text -> bytes of its ids (little-endian unsigned 32-bit), as the tokenizer file at ``path`` encodes it.
+def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Texts -> bytes of their ids (little-endian unsigned 32-bit), as the tokenizer file at ``path`` encodes them.
 
     A byte-level BPE never merges across the words its pattern cuts, so equal
     words get equal ids and are encoded once.  A worker keeps its encoder, and the
-    words it has met, from task to task.
+    words it has met, from task to task.  Texts with rare characters or a special token's
+    string are encoded whole, as are all texts if the file's settings are other ones.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
     model = Tokenizer.from_file(path)
+    singly = cuts_words(json.loads(model.to_str()))
     special = [t.content for t in model.get_added_tokens_decoder().values()]
+
     def encode(texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
     known = _Known(_REMEMBERED)
 
-    def ids(text: str) -> bytes:
-        if _RARE.search(text) or any(s in text for s in special):
-            return encode([text])[0]
-        words = _WORDS.findall(text)
-        missing = known.unknown(set(words))
+    def ids(texts: list[str]) -> list[bytes]:
+        cut_up = [None if not singly or _RARE.search(t) or any(s in t for s in special) else _WORDS.findall(t)
+                  for t in texts]
+        words = set().union(*(w for w in cut_up if w is not None))
+        missing = known.unknown(words)
         known.recent.update(zip(missing, encode(missing)))
-        return b"".join(map(known.recent.__getitem__, words))
+        here = {w: known.recent[w] for w in words}  # small, so quicker to look up word by word
+        return [encode([t])[0] if w is None else b"".join(map(here.__getitem__, w)) for t, w in zip(texts, cut_up)]
 
     return ids
 
@@ -105,14 +122,16 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         ids = encoder(tokenizer)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                data = memoryview(ids(text.as_py() or "") + end)
-                for k, (at, n) in enumerate(cut(len(data) // 4, capacity)):
-                    rows.append(i)
-                    piece.append(k)
-                    start.append(at)
-                    length.append(n)
-                    crc.append(zlib.crc32(data[4 * at:4 * (at + n)]))
+            for first in range(0, batch.num_rows, _TOGETHER):
+                texts = [t or "" for t in batch.column(1).slice(first, _TOGETHER).to_pylist()]
+                for i, encoded in enumerate(ids(texts), first):
+                    data = memoryview(encoded + end)
+                    for k, (at, n) in enumerate(cut(len(data) // 4, capacity)):
+                        rows.append(i)
+                        piece.append(k)
+                        start.append(at)
+                        length.append(n)
+                        crc.append(zlib.crc32(data[4 * at:4 * (at + n)]))
             for r, p, s, n, c in in_slices([rows, piece, start, length, crc]):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(r)), pa.array(p, pa.int32()),

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -62,9 +63,29 @@ def test_ids_equal_the_tokenizer_s():
     model, ids = Tokenizer.from_file(PATH), encoder(PATH)
     rng = random.Random(2)
     signs = list("aZ é ß²¼ªº¹_1\n\t  '.,0₂٣  \x1c\x85東👍🏽İ́") + ["'s", "'re", " the", "<|endoftext|>", "   ", "\r\n", "naïve"]
-    for _ in range(400):
-        text = "".join(rng.choices(signs, k=rng.randint(0, 40)))
-        assert np.frombuffer(ids(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["".join(chr(c) for c in range(a, a + 40)) for a in range(0, 0x2C0, 20)]
+    texts += [f"x'{w} '{w} {w}'s '{w.upper()}" for w in ("s", "t", "re", "ve", "m", "ll", "d", "r", "l", "sé")]
+    for at in range(0, len(texts), 100):
+        for text, got in zip(texts[at:at + 100], ids(texts[at:at + 100])):
+            assert np.frombuffer(got, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "Lowercase"}},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+    {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Digits", "individual_digits": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}]}}])
+def test_other_settings_of_the_file_are_kept(tmp_dir, change):
+    other = json.loads(Tokenizer.from_file(PATH).to_str()) | change
+    path = f"{tmp_dir}/other.json"
+    with open(path, "w") as f:
+        json.dump(other, f)
+    model = Tokenizer.from_file(path)
+    texts = ["The Year 2024's END", "", "12345 abc", "  two  spaces"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(path)(texts)] == [
+        model.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_round_trip_and_edge_rows(spark):
