@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from loadsmith.llm.common import in_slices, number_rows
+from loadsmith.llm.common import in_slices, number_rows, tidy
 from loadsmith.session import materialize
 
 CAPACITY, END_ID, GROUPS = 1024, 2, 128
@@ -42,7 +42,7 @@ _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True
 #: Texts whose words are looked up together.
 _TOGETHER = 200
 #: Words whose ids a worker remembers (about 200 bytes each).
-_REMEMBERED = 1_000_000
+_REMEMBERED = 400_000
 
 
 class _Known:
@@ -140,7 +140,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        pieces, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+        tidy(pieces), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[int, dict[int, int]]]:
