@@ -57,6 +57,26 @@ def split_rejects(df: DataFrame, valid: Column, error_column: str = "",
     return good, bad
 
 
+def broken_rules(rules: dict) -> Column:
+    """Names of all rules that a row breaks (NULL = broken), in the order of ``rules``; empty for a good row."""
+    return F.filter(F.array(*(F.when(~F.coalesce(pred, F.lit(False)), F.lit(name)) for name, pred in rules.items())),
+                    lambda name: name.isNotNull())
+
+
+def write_with_rejects(df: DataFrame, rules: dict, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write good and rejected rows to two targets in one pass; (good, rejected) as read back.
+
+    The targets are the two partitions of ``path``, so each read opens its own files only.
+    Rejected rows have a column ``ErrorReasons`` with every rule they break.
+    """
+    schema = df.schema
+    judged = df.withColumn("ErrorReasons", broken_rules(rules))
+    (judged.withColumn("rejected", F.size("ErrorReasons") > 0)
+     .write.mode("overwrite").partitionBy("rejected").parquet(path))
+    stored = df.sparkSession.read.schema(judged.schema.add("rejected", "boolean")).parquet(path)
+    return stored.filter("not rejected").select(*schema.names), stored.filter("rejected").drop("rejected")
+
+
 def enforce(df: DataFrame, constraints: dict) -> DataFrame:
     """Fail the job on the first row breaking a constraint, inside the same pass.
 

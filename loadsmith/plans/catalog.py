@@ -16,8 +16,17 @@ from pyspark.sql import functions as F
 from loadsmith.operators import checks
 from loadsmith.operators.history import previous_values
 from loadsmith.operators.keys import assign_surrogate_keys, current_max_key
+from loadsmith.operators.late_rows import insert_late_rows, split_late
 from loadsmith.operators.lookup import lookup, lookup_match, lookup_no_match
-from loadsmith.operators.rejects import max_length, parse_status, split_rejects
+from loadsmith.operators.primary_key import (
+    append_keyed,
+    check_state,
+    key_violations,
+    part_count,
+    renewed_state,
+    sketch_cells,
+)
+from loadsmith.operators.rejects import max_length, parse_status, split_rejects, write_with_rejects
 from loadsmith.operators.scd_type6 import (
     type6_apply,
     type6_changes,
@@ -38,7 +47,7 @@ from loadsmith.operators.watermark import full_scan, high_watermark, incremental
 from loadsmith.plans import fixtures as fx
 from loadsmith.plans import oracle as sql
 from loadsmith.plans.products import product_rows, transform_products
-from loadsmith.session import scratch_path
+from loadsmith.session import materialize, scratch_path
 from loadsmith.sinks.publish import (
     append_load,
     land_documents,
@@ -149,7 +158,7 @@ def q_conditional_split(spark, sf_dir):
     f"CASE WHEN b.Email <> a.CURRENTEmail THEN 1 ELSE 0 END AS email_ignore, "
     f"CASE WHEN b.Email IS DISTINCT FROM a.CURRENTEmail THEN 1 ELSE 0 END AS email_distinct, "
     f"CAST(v.Version_No + 1 AS INTEGER) AS next_version, 1 AS Active_Flag, "
-    f"{sql.lit_date(fx.RUN1)} AS load_date "
+    f"{sql.lit_date(fx.RUN2)} AS load_date "
     f"FROM b1 b JOIN dim0 a ON a.ID = b.ID JOIN vdim0 v ON v.ID = b.ID"))
 def q_derived_flags(spark, sf_dir):
     dim0 = fx.type6_dim0(spark, sf_dir).select("ID", "CURRENTCity", "CURRENTEmail")
@@ -165,7 +174,7 @@ def q_derived_flags(spark, sf_dir):
         changed_flag(*e, "distinct").alias("email_distinct"),
         (F.col("Version_No") + 1).cast("int").alias("next_version"),
         F.lit(1).alias("Active_Flag"),
-        F.lit(fx.RUN1).cast("date").alias("load_date"))
+        F.lit(fx.RUN2).cast("date").alias("load_date"))
 
 
 # --- watermark / extraction (A1, A2, F8, S12, S13, C8) ---------------------------------
@@ -218,8 +227,8 @@ def q_full_scan(spark, sf_dir):
 
 # --- type-6 dimension (C1-C4, K5, W1) ------------------------------------------------------
 
-def _t6_inputs(spark, sf_dir, null_city=False):
-    return fx.type6_dim0(spark, sf_dir), fx.type6_batch(spark, sf_dir, fx.BATCH1, null_city)
+def _t6_inputs(spark, sf_dir, null_city=False, window=fx.REST):
+    return fx.type6_dim0(spark, sf_dir), fx.type6_batch(spark, sf_dir, window, null_city)
 
 
 @register("type6_classify", sql.with_(sql.t6_base_ctes(), "SELECT * FROM s1_cls"))
@@ -251,7 +260,7 @@ def q_type6_null_routes(spark, sf_dir):
     sql.t6_base_ctes(), f"SELECT {sql.T6_COLS} FROM s1_ins"))
 def q_type6_inserts(spark, sf_dir):
     dim0, b1 = _t6_inputs(spark, sf_dir)
-    return type6_inserts(type6_classify(b1, dim0.filter("Active_Flag = 1")), run_date=fx.RUN1)
+    return type6_inserts(type6_classify(b1, dim0.filter("Active_Flag = 1")), run_date=fx.RUN2)
 
 
 @register("type6_expire", sql.with_(
@@ -264,20 +273,20 @@ def q_type6_expire(spark, sf_dir):
 @register("type6_apply", sql.with_(sql.t6_base_ctes(), "SELECT * FROM s1_next"))
 def q_type6_apply(spark, sf_dir):
     dim0, b1 = _t6_inputs(spark, sf_dir)
-    return type6_apply(dim0, b1, run_date=fx.RUN1)
+    return type6_apply(dim0, b1, run_date=fx.RUN2)
 
 
 @register("type6_apply_streamed", sql.with_(sql.t6_base_ctes(), "SELECT * FROM s1_next"))
 def q_type6_apply_streamed(spark, sf_dir):
     """The path for a counted small batch on a large dimension: the active rows aren't shuffled."""
     dim0, b1 = _t6_inputs(spark, sf_dir)
-    return type6_apply(dim0, b1, Type6Spec(large_active_bytes=0), fx.RUN1)
+    return type6_apply(dim0, b1, Type6Spec(large_active_bytes=0), fx.RUN2)
 
 
 def _t6_two_batches(spark, sf_dir):
     """Two published batches: each is applied to the dimension read back from the
     previous publish (as a scheduled load would), and the result is read back."""
-    dim0, b1 = _t6_inputs(spark, sf_dir)
+    dim0, b1 = _t6_inputs(spark, sf_dir, window=fx.BATCH1)
     base = scratch_path(spark, "type6_dim")
     start = current_max_key(dim0, "Emp_Key")
     ch1 = type6_changes(dim0, b1, run_date=fx.RUN1, start_after=start)
@@ -304,7 +313,7 @@ def q_run_summary(spark, sf_dir):
     """Counts observed while the batch's changes are written (no recount)."""
     dim0, b1 = _t6_inputs(spark, sf_dir)
     start_after = current_max_key(dim0, "Emp_Key")
-    ch = type6_changes(dim0, b1, run_date=fx.RUN1, start_after=start_after)
+    ch = type6_changes(dim0, b1, run_date=fx.RUN2, start_after=start_after)
     base = scratch_path(spark, "run_summary")
     exp = write_observed(ch.expired, f"{base}/expired", mode="overwrite", name="expired")
     act = write_observed(ch.active, f"{base}/active", mode="overwrite", name="active",
@@ -796,8 +805,8 @@ def q_truncate_reload(spark, sf_dir):
 
 _WM_SQL = "(SELECT COALESCE(MAX(STARTDate), DATE '1900-01-01') FROM dim0 WHERE Active_Flag = 1)"
 _JOB_CTES = [("dim0", sql.T6_DIM0),
-             ("jb", sql.job_batch(f"d > {_WM_SQL} AND d < {sql.lit_date(fx.RUN1)}", "Update_Date"))] + \
-    sql.t6_step("j", "dim0", "jb", fx.RUN1)
+             ("jb", sql.job_batch(f"d > {_WM_SQL}", "Update_Date"))] + \
+    sql.t6_step("j", "dim0", "jb", fx.RUN2)
 _JOB_SPEC = Type6Spec(batch_dedup="latest", dedup_order=("o_orderkey",))
 
 
@@ -805,8 +814,8 @@ def _type6_job(spark, sf_dir, **options):
     base = scratch_path(spark, "type6_job")
     seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base, bucket_by=options.get("bucket_by"))
     log = scratch_path(spark, "log")
-    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN1, _JOB_SPEC,
-                   **{"mode": "incremental", "upper": fx.RUN1, "timestamp_col": "o_orderdate", "log_to": log, **options})
+    run_type6_load(spark, fx.named_source(spark, sf_dir), base, fx.RUN2, _JOB_SPEC,
+                   **{"mode": "incremental", "timestamp_col": "o_orderdate", "log_to": log, **options})
     return base, log
 
 
@@ -829,8 +838,7 @@ def _job_log_sql(package: str, source: str, active: str, ins: str) -> str:
 
 
 @register("type6_job_runlog", sql.with_(
-    _JOB_CTES + [("src", f"SELECT * FROM ({sql.NAMED_SOURCE}) WHERE d > {_WM_SQL} "
-                         f"AND d < {sql.lit_date(fx.RUN1)}")], _job_log_sql("Q2", "src", "dim0", "j_ins")))
+    _JOB_CTES + [("src", f"SELECT * FROM ({sql.NAMED_SOURCE}) WHERE d > {_WM_SQL}")], _job_log_sql("Q2", "src", "dim0", "j_ins")))
 def q_type6_job_runlog(spark, sf_dir):
     """The type-6 job's stored run log: one row per step, counts from observations."""
     return _stored_log(spark, _type6_job(spark, sf_dir)[1])
@@ -880,7 +888,7 @@ def q_type6_stream_dimension(spark, sf_dir):
     """A live stream on a seeded dimension: a batch, an empty micro-batch, the other batch."""
     base, landed = scratch_path(spark, "type6_stream"), scratch_path(spark, "stream_in")
     seed_dimension(spark, fx.type6_dim0(spark, sf_dir), base)
-    one, two = (fx.type6_batch(spark, sf_dir, w).coalesce(1) for w in (fx.BATCH1, fx.BATCH2))
+    one, two = (fx.type6_batch(spark, sf_dir, w) for w in (fx.BATCH1, fx.BATCH2))
     for rows in (one, one.limit(0), two):
         rows.write.mode("append").parquet(landed)
         stream = spark.readStream.schema(one.schema).parquet(landed)
@@ -974,4 +982,75 @@ def q_versioned_conventional(spark, sf_dir):
     return versioned_apply(dim0, b, VersionedSpec(version_rule="conventional"))
 
 
+# --- late rows (C4, C8), keys and rules on load (K10, K12, A5) -----------------------------
+
+_LATE_CTES = sql.t6_base_ctes() + sql.t6_late("l", "s1_next")
+
+
+@register("type6_late_rows", sql.with_(_LATE_CTES, "SELECT * FROM l_next"))
+def q_type6_late_rows(spark, sf_dir):
+    """Every order dated before its customer's active version gets its place in the history."""
+    dim0, b1 = _t6_inputs(spark, sf_dir)
+    dim = materialize(type6_apply(dim0, b1, run_date=fx.RUN2), "dim")
+    spec = Type6Spec(dedup_order=("o_orderkey",))
+    late = split_late(fx.named_source(spark, sf_dir).drop("o_orderdate"), dim, spec)[1]
+    return insert_late_rows(dim, late, spec)
+
+
+def _keyed_customers(spark, sf_dir):
+    """All customers in a folder by key part, with their sketch: path, parts, cells."""
+    rows = fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    n = rows.count()
+    parts = max(part_count(n), 8)
+    cells, path = sketch_cells(n, parts), scratch_path(spark, "keyed")
+    append_keyed(rows, path, "c_custkey", parts, cells)
+    return path, parts, cells
+
+
+@register("constraint_primary_key",
+          "WITH b AS (SELECT p_partkey AS c_custkey, p_name FROM part UNION ALL "
+          "SELECT p_partkey, p_name FROM part WHERE p_partkey % 83 = 0), "
+          "n AS (SELECT c_custkey, COUNT(*) AS n FROM b GROUP BY c_custkey) "
+          "SELECT b.c_custkey, b.p_name, concat_ws(', ', CASE WHEN n.n > 1 THEN 'duplicate in batch' END, "
+          "CASE WHEN b.c_custkey IN (SELECT c_custkey FROM customer) THEN 'in target' END) AS reasons "
+          "FROM b JOIN n USING (c_custkey)")
+def q_constraint_primary_key(spark, sf_dir):
+    """Parts loaded under customer keys: rows whose key repeats in the batch or is in the target."""
+    path, parts, cells = _keyed_customers(spark, sf_dir)
+    rows = fx.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("c_custkey"), "p_name")
+    batch = rows.unionAll(rows.filter("c_custkey % 83 = 0"))
+    judged, _ = key_violations(batch, path, "c_custkey", parts, cells)
+    return judged.select("c_custkey", "p_name", F.array_join("reasons", ", ").alias("reasons"))
+
+
+@register("check_incremental_unique",
+          "WITH t AS (SELECT c_custkey FROM customer UNION ALL SELECT n_nationkey FROM nation) "
+          "SELECT CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) FILTER (n > 1) AS n_duplicate_keys "
+          "FROM (SELECT c_custkey, COUNT(*) AS n FROM t GROUP BY c_custkey)")
+def q_check_incremental_unique(spark, sf_dir):
+    """Duplicate keys after a second batch (nation keys under customer keys), from the touched parts alone."""
+    path, parts, cells = _keyed_customers(spark, sf_dir)
+    state = materialize(check_state(spark, path, "c_custkey"), "check-state")
+    second = fx.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("c_custkey"), F.col("n_name").alias("c_name"))
+    touched = append_keyed(second, path, "c_custkey", parts, cells)
+    return renewed_state(state, path, "c_custkey", touched).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_duplicate_keys").alias("n_duplicate_keys"))
+
+
+@register("rejects_all_reasons", sql.with_(
+    sql.PRODUCTS_CHECKED,
+    "SELECT id, concat_ws(', ', CASE WHEN title IS NULL THEN 'title' END, "
+    "CASE WHEN discountPercentage IS NULL OR discountPercentage NOT BETWEEN 0 AND 100 THEN 'discount' END, "
+    "CASE WHEN stock IS NULL OR stock >= 40 THEN 'stock' END, "
+    "CASE WHEN rating IS NULL OR rating > 3 THEN 'rating' END) AS reasons FROM prod_checked"))
+def q_rejects_all_reasons(spark, sf_dir):
+    """Good and rejected products written in one pass, each rejected one with every rule it breaks."""
+    rules = {"title": F.col("title").isNotNull(), "discount": F.col("discountPercentage").between(0, 100),
+             "stock": F.col("stock") < 40, "rating": F.col("rating") <= 3}
+    good, bad = write_with_rejects(_products_checked(spark, sf_dir), rules, scratch_path(spark, "products-split"))
+    return good.select("id", F.lit("").alias("reasons")).unionAll(
+        bad.select("id", F.array_join("ErrorReasons", ", ").alias("reasons")))
+
+
 FLAGSHIP = "type6_apply"

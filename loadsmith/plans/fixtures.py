@@ -3,7 +3,8 @@
 The employee-like source is built from ``orders``: a customer's state in a
 date window is its last order by (o_orderdate desc, o_orderkey desc) with
 ID = o_custkey, City = o_orderpriority, Email = o_orderstatus, date = order date,
-Name = c_name.  dim0 = state before 1996; batch 1 = 1996, batch 2 = all after it.
+Name = c_name.  dim0 = state before 1996; the batch of the single-batch queries is all the
+rest; the two-batch and stream queries cut it in two: 1996, and all after it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from loadsmith.specs import Type6Spec, VersionedSpec
 DIM0_END = dt.date(1996, 1, 1)
 BATCH1 = (dt.date(1996, 1, 1), dt.date(1997, 1, 1))
 BATCH2 = (dt.date(1997, 1, 1), None)  # to the end of the data
+REST = (DIM0_END, None)
 RUN1 = dt.date(1997, 1, 1)
 RUN2 = dt.date(1999, 1, 1)
 CONV_PAGE = 50      # turns per conversation document
@@ -91,7 +93,7 @@ def named_source(spark, sf_dir, date_name: str = "Update_Date") -> DataFrame:
             .select("ID", "Name", "City", "Email", date_name, "o_orderkey", "o_orderdate"))
 
 
-def type6_batch(spark, sf_dir, window=BATCH1, null_city: bool = False) -> DataFrame:
+def type6_batch(spark, sf_dir, window=REST, null_city: bool = False) -> DataFrame:
     b = with_names(spark, sf_dir, latest_states(spark, sf_dir, *window))
     city = F.when(F.col("ID") % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("City")) \
         if null_city else F.col("City")
@@ -117,8 +119,8 @@ def versioned_dim0(spark, sf_dir) -> DataFrame:
 
 
 def versioned_batch(spark, sf_dir, dim0: DataFrame) -> DataFrame:
-    """Batch 1 with Schedule_Date; for ID % 4 = 0 matched rows keep dim0's date."""
-    b = with_names(spark, sf_dir, latest_states(spark, sf_dir, *BATCH1))
+    """The batch with Schedule_Date; for ID % 4 = 0 matched rows keep dim0's date."""
+    b = with_names(spark, sf_dir, latest_states(spark, sf_dir, *REST))
     prior = dim0.filter(F.col("Active_Flag") == 1).select("ID", F.col("Schedule_Date").alias("_d0"))
     j = b.join(prior, "ID", "left")
     date = F.when((F.col("ID") % 4 == 0) & F.col("_d0").isNotNull(), F.col("_d0")).otherwise(F.col("d"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from loadsmith.plans.fixtures import BATCH1, BATCH2, CONV_PAGE, DIM0_END, EMB_PAGE, PART_PAGE, RUN1, RUN2
+from loadsmith.plans.fixtures import BATCH1, BATCH2, CONV_PAGE, DIM0_END, EMB_PAGE, PART_PAGE, REST, RUN1, RUN2
 
 
 def lit_date(d: dt.date) -> str:
@@ -46,7 +46,7 @@ T6_COLS = ("ID, Name, CURRENTCity, HESTORICALCity, CURRENTEmail, HESTORICALEmail
            "STARTDate, ENDDate, Active_Flag")
 
 
-def t6_batch(window=BATCH1, null_city: bool = False) -> str:
+def t6_batch(window=REST, null_city: bool = False) -> str:
     city = "CASE WHEN ID % 17 = 0 THEN NULL ELSE City END" if null_city else "City"
     return f"SELECT ID, Name, {city} AS City, Email, d AS Update_Date FROM {latest(*window)}"
 
@@ -103,13 +103,50 @@ def t6_step(name: str, dim: str, batch: str, run: dt.date, policy: str = "ignore
     ]
 
 
-def t6_base_ctes(null_city: bool = False, policy: str = "ignore"):
-    return [("dim0", T6_DIM0), ("b1", t6_batch(BATCH1, null_city))] + \
-        t6_step("s1", "dim0", "b1", RUN1, policy)
+def t6_base_ctes(null_city: bool = False, policy: str = "ignore", window=REST, run: dt.date = RUN2):
+    return [("dim0", T6_DIM0), ("b1", t6_batch(window, null_city))] + \
+        t6_step("s1", "dim0", "b1", run, policy)
 
 
 def t6_two_batch_ctes():
-    return t6_base_ctes() + [("b2", t6_batch(BATCH2))] + t6_step("s2", "s1_next", "b2", RUN2)
+    return t6_base_ctes(window=BATCH1, run=RUN1) + [("b2", t6_batch(BATCH2))] + t6_step("s2", "s1_next", "b2", RUN2)
+
+
+def t6_late(name: str, dim: str):
+    """CTEs of late rows: every order dated before its customer's active version, put in its place."""
+    tracked = "CURRENTCity IS DISTINCT FROM lag(CURRENTCity) OVER o OR CURRENTEmail IS DISTINCT FROM lag(CURRENTEmail) OVER o"
+
+    def pair(now: str, was: str) -> str:
+        return (f"CASE WHEN lag(1) OVER o IS NULL THEN {{'v': {was}}} WHEN {now} IS DISTINCT FROM lag({now}) OVER o "
+                f"THEN {{'v': lag({now}) OVER o}} END")
+
+    return [
+        (f"{name}_all", f"SELECT s.* FROM ({NAMED_SOURCE}) s JOIN (SELECT ID, MIN(STARTDate) AS st FROM {dim} "
+                        "WHERE Active_Flag = 1 GROUP BY ID) a ON a.ID = s.ID WHERE s.d < a.st "
+                        "QUALIFY row_number() OVER (PARTITION BY s.ID, s.d ORDER BY s.o_orderkey DESC) = 1"),
+        (f"{name}_ev", f"SELECT * FROM {dim} WHERE ID IN (SELECT ID FROM {name}_all) UNION ALL "
+                       "SELECT NULL, ID, Name, City, NULL, Email, NULL, d, NULL, NULL "
+                       f"FROM {name}_all l WHERE NOT EXISTS (SELECT 1 FROM {dim} x WHERE x.ID = l.ID AND x.STARTDate = l.d)"),
+        (f"{name}_chg", f"SELECT *, CASE WHEN lag(1) OVER o IS NULL OR {tracked} THEN 1 ELSE 0 END AS c FROM {name}_ev "
+                        "WINDOW o AS (PARTITION BY ID ORDER BY STARTDate, Emp_Key NULLS FIRST)"),
+        (f"{name}_run", f"SELECT *, SUM(c) OVER (PARTITION BY ID ORDER BY STARTDate, Emp_Key NULLS FIRST) AS run FROM {name}_chg"),
+        (f"{name}_told", f"SELECT *, MIN(STARTDate) OVER r AS first_start, "
+                         "first_value(Emp_Key) OVER (PARTITION BY ID, run ORDER BY Emp_Key IS NULL, STARTDate, Emp_Key) AS known "
+                         f"FROM {name}_run WINDOW r AS (PARTITION BY ID, run)"),
+        (f"{name}_kept", "SELECT * REPLACE (CASE WHEN Emp_Key = known THEN first_start ELSE STARTDate END AS STARTDate) "
+                         f"FROM {name}_told WHERE Emp_Key IS NOT NULL OR (known IS NULL AND STARTDate = first_start)"),
+        (f"{name}_pairs", f"SELECT *, {pair('CURRENTCity', 'HESTORICALCity')} AS hc, "
+                          f"{pair('CURRENTEmail', 'HESTORICALEmail')} AS he, lead(STARTDate) OVER o AS nxt FROM {name}_kept "
+                          "WINDOW o AS (PARTITION BY ID ORDER BY STARTDate, Emp_Key NULLS FIRST)"),
+        (f"{name}_chain", "SELECT Emp_Key, ID, Name, CURRENTCity, (last_value(hc IGNORE NULLS) OVER o).v AS HESTORICALCity, "
+                          "CURRENTEmail, (last_value(he IGNORE NULLS) OVER o).v AS HESTORICALEmail, STARTDate, "
+                          "COALESCE(nxt, ENDDate) AS ENDDate, CASE WHEN nxt IS NOT NULL THEN 0 ELSE Active_Flag END AS Active_Flag "
+                          f"FROM {name}_pairs WINDOW o AS (PARTITION BY ID ORDER BY STARTDate, Emp_Key NULLS FIRST)"),
+        (f"{name}_next", f"SELECT * FROM {dim} WHERE ID NOT IN (SELECT ID FROM {name}_all) UNION ALL "
+                         f"SELECT * FROM {name}_chain WHERE Emp_Key IS NOT NULL UNION ALL "
+                         f"SELECT CAST((SELECT MAX(Emp_Key) FROM {dim}) + row_number() OVER (ORDER BY ID, STARTDate) AS BIGINT), "
+                         f"{T6_COLS} FROM {name}_chain WHERE Emp_Key IS NULL"),
+    ]
 
 
 # --- versioned -------------------------------------------------------------
@@ -124,7 +161,7 @@ V_COLS = "ID, Name, City, Email, Schedule_Date, Active_Flag, Version_No"
 def v_batch(dim: str) -> str:
     return ("SELECT b.ID, b.Name, b.City, b.Email, CASE WHEN b.ID % 4 = 0 AND p.Schedule_Date "
             "IS NOT NULL THEN p.Schedule_Date ELSE b.d END AS Schedule_Date "
-            f"FROM {latest(*BATCH1)} b LEFT JOIN (SELECT ID, Schedule_Date FROM {dim} "
+            f"FROM {latest(*REST)} b LEFT JOIN (SELECT ID, Schedule_Date FROM {dim} "
             "WHERE Active_Flag = 1) p ON p.ID = b.ID")
 
 
