@@ -111,9 +111,15 @@ def table_rows_in_blocks(df: DataFrame, text: str, rows: int, chars: int):
         yield block
 
 
-def bound_batches(spark: SparkSession, most: str = "4m") -> None:
-    """Bound the batches that go to Python by bytes too: 10,000 long texts would be a batch of any size."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+def bound_batches(spark: SparkSession) -> None:
+    """Settings for rows of long texts, whose number says little about their size.
+
+    Batches that go to Python are bounded by bytes too, batches that scans make hold fewer
+    rows, and Parquet writers hold smaller row groups before they write them out.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "1024")
+    spark.conf.set("parquet.block.size", str(16 << 20))
 
 
 def tidy(batches_fn: Callable) -> Callable:
