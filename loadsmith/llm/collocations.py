@@ -30,6 +30,8 @@ from loadsmith.session import materialize
 
 #: Bits of the bitmap of frequent pairs (16 MB), and bytes of texts that a task counts before it gives out the counts.
 BITS, CHUNK_BYTES = 1 << 27, 6 << 20
+#: Shares of a language's phrases that are ranked apart first.
+SHARES = 64
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _LOWER = bytes(46 if c in _ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -194,8 +196,13 @@ def mine_phrases(docs: DataFrame, longest: int = 3, least: int = 10, first: int
     left_over = lowest.join(covered, ["lang", "phrase"], "left").where(
         F.col("top").isNull() | (F.col("top") * den < F.col("a") * num))
     totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
-    ranked = left_over.withColumn("rank", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase"))).where(F.col("rank") <= first)
+    # A language may hold most phrases: each of its shares gives its first ones, and those are ranked.
+    best = [F.desc("cut.score"), F.desc("a"), "phrase"]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    few = left_over.withColumn("place", F.row_number().over(
+        Window.partitionBy("lang", share).orderBy(*best))).where(F.col("place") <= first)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(
+        F.col("rank") <= first)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("cut.l").alias("l"),
         F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"))
