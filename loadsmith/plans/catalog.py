@@ -69,6 +69,7 @@ from loadsmith.sources.documents import (
     rows_from_2d,
     to_name_value,
 )
+from loadsmith.sources.footers import footer_row
 from loadsmith.functions.columns import blank_as_null, changed_flag
 from loadsmith.specs import DocumentSpec, Type6Spec, VersionedSpec
 from loadsmith.plans.jobs import (
@@ -80,7 +81,8 @@ from loadsmith.plans.jobs import (
 )
 from loadsmith.sinks.ddl import PRODUCT_DDL, create_table_if_missing
 from loadsmith.sources.tables import read_or_empty, read_table
-from loadsmith.streaming import start_scd_stream
+from loadsmith.streaming import read_ingested, start_document_stream, start_scd_stream
+from loadsmith.sources.variants import explode_variant, variant_fields, with_variant
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -1053,4 +1055,87 @@ def q_rejects_all_reasons(spark, sf_dir):
         bad.select("id", F.array_join("ErrorReasons", ", ").alias("reasons")))
 
 
+# --- JSON as VARIANT (S2, S7, F9), aggregates from footers (A1, A3, A7) ----------------------
+
+@register("json_variant_path",
+          "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, "
+          "CAST(json_extract(props, '$.nowhere') AS VARCHAR) AS missing FROM events")
+def q_json_variant_path(spark, sf_dir):
+    ev = with_variant(fx.table(spark, sf_dir, "events").select("event_id", "props"), "props", "v")
+    return variant_fields(ev, "v", {"k": ("$.k", "int"), "missing": ("$.nowhere", "string")}, ["event_id"])
+
+
+@register("json_variant_array", "SELECT conv_id, turn, role, text FROM conversations")
+def q_json_variant_array(spark, sf_dir):
+    """Conversation documents as VARIANT: their nested array as rows, fields read typed."""
+    docs = with_variant(fx.conversation_documents(spark, sf_dir), "doc", "v")
+    turns = explode_variant(docs, "v", "$.turns", ["conv_id"])
+    return variant_fields(turns, "value", {"turn": ("$.turn", "bigint"), "role": ("$.role", "string"),
+                                           "text": ("$.text", "string")}, ["conv_id"])
+
+
+@register("footer_max_and_count",
+          "SELECT 'orders' AS name, MAX(o_orderkey) AS top, MIN(o_orderkey) AS low, COUNT(*) AS n_rows, "
+          "COUNT(o_custkey) AS n_keys, true AS pushed FROM orders UNION ALL "
+          "SELECT 'customer', MAX(c_custkey), MIN(c_custkey), COUNT(*), COUNT(c_nationkey), true FROM customer")
+def q_footer_max_and_count(spark, sf_dir):
+    """Current max key and row count of two tables from their footers (``pushed``: the plan reads nothing else)."""
+    out = []
+    for name, key, other in (("orders", "o_orderkey", "o_custkey"), ("customer", "c_custkey", "c_nationkey")):
+        row, pushed = footer_row(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", {
+            "top": F.max(key), "low": F.min(key), "n_rows": F.count(F.lit(1)), "n_keys": F.count(other)})
+        out.append((name, *row, bool(pushed) and all("MAX" in p and "COUNT" in p for p in pushed)))
+    return spark.createDataFrame(out, "name string, top bigint, low bigint, n_rows bigint, n_keys bigint, pushed boolean")
+
+
+# --- landed documents as a stream, with its run log (S8, S10, K1, K12, G1, G2, A8) ----------
+
+def _streamed_documents(spark, sf_dir, log=None):
+    """Conversation documents landed in three drops (the second empty; the third late, with those of conv_id % 5 = 0
+    cut in half), each ingested as it lands: the target folder."""
+    docs = fx.conversation_documents(spark, sf_dir)
+    half = F.expr("substring(doc, 1, cast(length(doc) / 2 as int))")
+    docs = docs.withColumn("doc", F.when(F.col("conv_id") % 5 == 0, half).otherwise(F.col("doc")))
+    target, landed = scratch_path(spark, "ingested"), scratch_path(spark, "landing")
+    for drop in (F.col("conv_id") % 2 == 0, F.lit(False), F.coalesce(F.col("conv_id") % 2 != 0, F.lit(True))):
+        docs.filter(drop).select("doc").write.mode("append").text(landed)
+        start_document_stream(spark, landed, target, fx.CONV_SCHEMA, f"{target}-checkpoint", log).awaitTermination()
+    return target
+
+
+@register("stream_documents",
+          "SELECT conv_id, turn, role, text, true AS named FROM conversations WHERE conv_id % 5 <> 0 OR conv_id IS NULL "
+          "UNION ALL SELECT NULL, NULL, 'rejected', 'malformed or mistyped JSON', true FROM "
+          f"(SELECT DISTINCT conv_id, turn // {fx.CONV_PAGE} FROM conversations WHERE conv_id % 5 = 0)")
+def q_stream_documents(spark, sf_dir):
+    """Streamed documents give the rows and rejects of a batch load, each with its file."""
+    good, bad = read_ingested(spark, _streamed_documents(spark, sf_dir), fx.CONV_SCHEMA)
+    turns = good.select("conv_id", F.col("__FileName").isNotNull().alias("named"), F.explode("turns").alias("t"))
+    return turns.select("conv_id", "t.turn", "t.role", "t.text", "named").unionAll(bad.select(
+        F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), F.lit("rejected"), "ErrorMessage",
+        F.col("__FileName").isNotNull()))
+
+
+@register("stream_runlog",
+          f"WITH p AS (SELECT DISTINCT conv_id, turn // {fx.CONV_PAGE} AS page FROM conversations) "
+          "SELECT 'documents' AS package, 'SUCCEEDED' AS status, COUNT(*) AS row_count, true AS in_order FROM p "
+          "WHERE conv_id % 2 = 0 HAVING COUNT(*) > 0 UNION ALL "
+          "SELECT 'documents', 'SUCCEEDED', COUNT(*), true FROM p WHERE conv_id % 2 <> 0 OR conv_id IS NULL HAVING COUNT(*) > 0 "
+          "UNION ALL SELECT 'documents', 'FAILED', 0, true FROM (SELECT COUNT(*) AS n FROM p) WHERE n > 0")
+def q_stream_runlog(spark, sf_dir):
+    """The stored log of the streams: a row per micro-batch that had documents, and one of a batch that failed."""
+    log = scratch_path(spark, "stream-log")
+    _streamed_documents(spark, sf_dir, log)
+    landed = land_documents(fx.conversation_documents(spark, sf_dir), scratch_path(spark, "landing"))
+    failing = start_document_stream(spark, landed, scratch_path(spark, "ingested"), fx.CONV_SCHEMA,
+                                    scratch_path(spark, "checkpoint"), log, {"no_turns": F.col("n_turns") < 0})
+    try:
+        failing.awaitTermination()
+    except PySparkException as error:
+        if "no_turns" not in str(error):
+            raise
+    rows = spark.read.parquet(log).filter("row_count > 0 or status = 'FAILED'")
+    return rows.select("package", "status", "row_count", (F.col("ended_at") >= F.col("started_at")).alias("in_order"))
+
+
 FLAGSHIP = "type6_apply"

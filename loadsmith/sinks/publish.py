@@ -25,8 +25,8 @@ from pyspark.sql.types import StructType
 
 from loadsmith.operators.scd_common import ChangeSet
 
-#: Parts of the active rows, chosen when a dimension is first published.
-PARTS = 8
+#: Rows of a part of the active rows, and the fewest parts; the number follows the counted rows.
+PART_ROWS, LEAST_PARTS = 1_000_000, 8
 
 
 class PublishConflict(RuntimeError):
@@ -140,7 +140,7 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
                       key: str, surrogate: str | None = None, start_after: int | None = None,
                       include_history: bool = False, bucket_by: int | None = None,
                       extra: dict | None = None, load_id: str | None = None,
-                      parts: int = PARTS) -> dict:
+                      parts: int | None = None) -> dict:
     """Publish one batch on top of the newest one; returns counts observed during the writes.
 
     ``batch`` must be above the newest pointer's number, else ``PublishConflict``;
@@ -152,7 +152,8 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
     records the batch and the largest surrogate key, so the next batch starts
     numbering without scanning the dimension.  ``bucket_by=n`` writes the active
     rows as a table bucketed (and sorted) on ``key`` instead: the next batch's
-    lookup and expire joins then read them without a shuffle.
+    lookup and expire joins then read them without a shuffle.  ``parts`` is counted from the
+    rows unless given; batches that touch some parts only keep the number (see ``repart_dimension``).
     """
     root = base.rstrip("/")
     newest = current_pointer(spark, root)
@@ -181,13 +182,18 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
         rows_of = {}
         if changes.parts is not None:
             parts, rows_of = int(newest["parts"]), dict(newest["part_rows"])
+        elif parts is None:
+            known = changes.active.count() if newest is None else int(newest["active"]) + changes.n_inserted
+            parts = parts_for(known)
         folders = dict(newest["part_folders"]) if changes.parts is not None else {}
         split = changes.active.withColumn("_part", part_of(key, parts) if key else F.lit(0))
-        counts = {f"rows_{p}": F.count_if(F.col("_part") == p) for p in range(parts)}
-        active = write_observed(split.repartition(parts, "_part"), folder, metrics={**metrics, **counts},
+        active = write_observed(split.repartition(parts, "_part"), folder, metrics=metrics,
                                 partition_by="_part", name=f"active_{attempt}")
+        written = {}
+        if active["rows"]:  # counted from the files' footers
+            written = dict(spark.read.parquet(folder).groupBy("_part").count().collect())
         for p in range(parts) if changes.parts is None else changes.parts:
-            folders[str(p)], rows_of[str(p)] = attempt, int(active[f"rows_{p}"] or 0)
+            folders[str(p)], rows_of[str(p)] = attempt, int(written.get(p, 0))
         rows = sum(rows_of.values())
         pointer |= {"parts": parts, "part_folders": folders, "part_rows": rows_of}
     max_key = max([m for m in (hist["max_key"] if most else None, active["max_key"] if most else None, start_after)
@@ -202,6 +208,25 @@ def publish_dimension(spark: SparkSession, changes: ChangeSet, base: str, batch:
     return out
 
 
+#: Pointer fields that a publish sets itself; the others are carried over.
+_OWN_FIELDS = {"batch", "load_id", "schema", "history", "bucketed", "key", "table", "folder", "parts", "part_folders",
+               "part_rows", "max_key", "active", "counts"}
+
+
+def parts_for(rows: int) -> int:
+    return max(-(-rows // PART_ROWS), LEAST_PARTS)
+
+
+def repart_dimension(spark: SparkSession, base: str, key: str, parts: int | None = None) -> dict:
+    """Publish the active rows anew in as many parts as their number asks for (or in ``parts``); nothing else changes."""
+    ptr = _pointer(spark, base.rstrip("/"), None)
+    active = read_active(spark, base, int(ptr["batch"]))
+    none = active.limit(0)
+    return publish_dimension(spark, ChangeSet(none, active, none, none), base, int(ptr["batch"]) + 1, key,
+                             start_after=int(ptr["max_key"]), parts=parts or parts_for(int(ptr["active"])),
+                             extra={k: v for k, v in ptr.items() if k not in _OWN_FIELDS})
+
+
 def current_pointer(spark: SparkSession, base: str, batch: int | None = None) -> dict | None:
     """The pointer of the newest batch (or of ``batch``); metadata only."""
     root = base.rstrip("/")

@@ -16,6 +16,7 @@ from loadsmith.sinks.publish import (
     read_active,
     read_dimension,
     read_history,
+    repart_dimension,
     truncate_reload,
     write_observed,
 )
@@ -107,6 +108,28 @@ def test_a_small_batch_leaves_untouched_parts_alone(spark, tmp_dir):
     assert read_active(spark, base).count() == 400 and read_history(spark, base).count() == 1
 
 
+def test_parts_follow_the_counted_rows_and_can_be_dealt_anew(spark, tmp_dir, monkeypatch):
+    from loadsmith.sinks import publish
+
+    monkeypatch.setattr(publish, "PART_ROWS", 20)
+    base = f"{tmp_dir}/d"
+    seed_dimension(spark, lamps(spark, range(1, 401)), base)
+    zero = current_pointer(spark, base)
+    assert zero["parts"] == 20 and sum(zero["part_rows"].values()) == zero["active"] == 400
+    load(spark, base, feed(spark, range(100, 110)), 1)
+    one = current_pointer(spark, base)
+    moved = [p for p in zero["part_folders"] if zero["part_folders"][p] != one["part_folders"][p]]
+    assert one["parts"] == 20 and 0 < len(moved) <= 10
+    before = sorted(map(repr, read_dimension(spark, base).collect()))
+    monkeypatch.setattr(publish, "PART_ROWS", 10)
+    repart_dimension(spark, base, "ID")
+    two = current_pointer(spark, base)
+    assert two["parts"] == 40 and two["max_key"] == one["max_key"]
+    assert sorted(map(repr, read_dimension(spark, base).collect())) == before
+    load(spark, base, feed(spark, [11]), 3)
+    assert read_active(spark, base).count() == 400 and read_history(spark, base).count() == 11
+
+
 def test_bucketed_active_rows_join_without_their_own_shuffle(spark, tmp_dir):
     base = f"{tmp_dir}/b"
     seed_dimension(spark, lamps(spark, range(1, 200)), base, bucket_by=4)
