@@ -99,21 +99,23 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WIN
 
     Hit words are cut out, each with what separates it from the next word, and the
     rest of the text stays as it is; a document that loses at least ``share`` of its words is
-    dropped.  Documents without hits are returned unchanged.
+    dropped.  Documents without hits, null and empty texts among them, are returned unchanged, all
+    documents if the benchmark is empty.  Repeated rows are each judged; columns of any name are
+    kept; an empty table gives an empty result.
     """
-    found = (contamination(docs, benchmark, window)
-             .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("hit").alias("_hit")))
-    k1, k2 = text_key()
-    tagged = docs.withColumns({"_d1": k1, "_d2": k2}).join(
-        F.broadcast(found) if found.limit(100_001).count() <= 100_000 else found,
-        F.expr("_d1 = _k1 and _d2 = _k2"), "left")
+    columns = docs.columns
+    names = [f"d{i}" for i in range(len(columns))]
+    text = names[columns.index("text")]
+    found = contamination(docs, benchmark, window).select("k1", "k2", "hit")
+    tagged = docs.select(*text_key(), *(F.col(f"`{c}`").alias(n) for c, n in zip(columns, names))).join(
+        F.broadcast(found) if found.limit(100_001).count() <= 100_000 else found, ["k1", "k2"], "left")
     # A word with what follows it, in the text as it is (A-Z are letters there).
     gap = r"\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F"
-    pieces = F.expr(f"regexp_extract_all(text, '[^{gap}]+[{gap}]*', 0)")
-    lead = F.expr(f"regexp_extract(text, '^[{gap}]*', 0)")
-    kept = F.expr("filter(transform(_pieces, (p, i) -> if(array_contains(_hit, i), null, p)), p -> p is not null)")
-    cut = (tagged.withColumn("_pieces", F.when(F.col("_hit").isNotNull(), pieces))
-           .withColumn("_left", F.concat(lead, F.array_join(kept, "")))
-           .where(F.col("_hit").isNull() | (F.size("_hit") < F.lit(share) * F.size("_pieces"))))
-    return cut.select(*(F.when(F.col("_hit").isNull(), F.col("text")).otherwise(F.col("_left")).alias("text")
-                        if c == "text" else F.col(f"`{c}`") for c in docs.columns))
+    pieces = F.expr(f"regexp_extract_all({text}, '[^{gap}]+[{gap}]*', 0)")
+    lead = F.expr(f"regexp_extract({text}, '^[{gap}]*', 0)")
+    kept = F.expr("filter(transform(pieces, (p, i) -> if(array_contains(hit, i), null, p)), p -> p is not null)")
+    cut = (tagged.withColumn("pieces", F.when(F.col("hit").isNotNull(), pieces))
+           .withColumn("rest", F.concat(lead, F.array_join(kept, "")))
+           .where(F.col("hit").isNull() | (F.size("hit") < F.lit(share) * F.size("pieces"))))
+    return cut.select(*(F.when(F.col("hit").isNull(), F.col(n)).otherwise(F.col("rest")).alias(c)
+                        if n == text else F.col(n).alias(c) for n, c in zip(names, columns)))

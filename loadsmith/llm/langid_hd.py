@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loadsmith.llm.common import tidy
 
@@ -190,7 +191,8 @@ def predict_languages(docs: DataFrame, prototypes: DataFrame, dimension: int = D
     shared = _shared_judge(prototypes, dimension, seed)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     at_text = kept.index("text")
-    schema = docs.select(*(F.col(f"`{c}`") for c in kept)).schema.add("lang_pred", "string").add("score", "double")
+    named = docs.select(*(F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(kept)))
+    schema = StructType([*named.schema]).add("lang_pred", "string").add("score", "double")
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _Judge(*shared.value, dimension, seed)
@@ -200,7 +202,8 @@ def predict_languages(docs: DataFrame, prototypes: DataFrame, dimension: int = D
                 [*batch.columns, pa.array(best, pa.string()), pa.array(score, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.select(*(F.col(f"`{c}`") for c in kept)).mapInArrow(tidy(predicted), schema)
+    return named.mapInArrow(tidy(predicted), schema).select(
+        *(F.col(f"d{i}").alias(c) for i, c in enumerate(kept)), "lang_pred", "score")
 
 
 def held_out() -> F.Column:

@@ -97,6 +97,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "
             yield pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"])
 
     own = {"host", "path", "rule", "verdict"}
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in own]
-    return (pages.select(*kept, judged(F.col(url)).alias("_judged"))
-            .select(*kept, *(F.col(f"_judged.{c}").alias(c) for c in ("host", "path", "rule", "verdict"))))
+    kept = [c for c in pages.columns if c not in own]
+    named = pages.select(*(F.col(f"`{c}`").alias(f"d{i}") for i, c in enumerate(kept)), judged(F.col(url)).alias("judged"))
+    return named.select(*(F.col(f"d{i}").alias(c) for i, c in enumerate(kept)),
+                        *(F.col(f"judged.{c}").alias(c) for c in ("host", "path", "rule", "verdict")))
