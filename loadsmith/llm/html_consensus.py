@@ -2,7 +2,9 @@
 
 Each page scores its containers and votes for their generalised tag-class paths;
 votes are summed per host in Spark; every page is then read again at the path
-that its host has agreed on.
+that its host has agreed on.  Inside it, blocks whose text stands on at least
+half of the host's different pages are boilerplate and left out, unless they
+are half of what is there (then the page is a copy).
 """
 
 from __future__ import annotations
@@ -13,16 +15,26 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.llm.common import small_enough
+from loadsmith.llm.common import in_slices
 from loadsmith.llm.url_trie import split_url
+from loadsmith.session import materialize
 
 #: Containers that a page votes for, and paths kept per host (a page with none of them uses its own best).
 PAGE_VOTES, HOST_PATHS = 5, 64
 #: Share of the plain text of a page's own best container that the text at a host's path has to have.
 FAIR_SHARE = 0.3
+#: A block is boilerplate on at least so many different pages of its host that are this share of them.
+REPEATED_PAGES, REPEATED_SHARE = 10, 0.5
+#: Words of the shortest such block, and the share of the text at the chosen path from which all blocks stay.
+BLOCK_WORDS, MOST_REPEATED = 3, 0.5
+#: Links from which a list without other text is a menu.
+MENU_LINKS = 3
+#: Bytes of host paths up to which they are broadcast; beyond, the join shuffles.
+BROADCAST_BYTES = 64 << 20
 
 # Element names and words in class or id that mark what isn't the article.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,6 +54,11 @@ _JUNK = frozenset(
 _PLACE = frozenset("site page main top bottom left right list box block area section inner outer container bar".split())
 #: Of those words, the ones of readers' own writing, which may be longer than the article.
 _READERS = frozenset("comment comments replies reply respond".split())
+#: With any other words ("post-comments") they make a weak suspect, but for those that say how a wrapper looks or
+#: that it holds the text.
+_WEAK = (_JUNK | {"header"}) - {"widget", "widgets"}
+_STATE = frozenset("has no with without free enabled disabled hide show is not open closed".split())
+_HOLDS = frozenset("content text editor".split())
 #: Share of a page's plain text that has to be left when elements are left out by such words.
 LEAST_LEFT = 0.1
 _PROSE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre".split())
@@ -53,6 +70,10 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>",
     re.DOTALL)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.IGNORECASE)
+_ARIA = re.compile(r"\baria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_STYLE = re.compile(r"\bstyle\s*=\s*[\"'][^\"']*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 _NUMBER = re.compile(r"\d+")
 
@@ -67,11 +88,30 @@ def junk_words(value: str) -> set[str]:
     return found
 
 
+def weak_words(value: str) -> set[str]:
+    """Words of ``_WEAK`` in tokens that also say something else, but not how a wrapper looks ("has-sidebar")."""
+    found = set()
+    for token in value.split():
+        words = set(_WORD.findall(token))
+        if not words & _STATE and (words & _READERS or not words & _HOLDS):
+            found |= words & _WEAK
+    return found
+
+
+def is_hidden(attributes: str) -> bool:
+    lower = attributes.lower()
+    if "hidden" not in lower and "none" not in lower:
+        return False
+    return bool(_HIDDEN.search(_QUOTED.sub('""', attributes)) or _ARIA.search(attributes) or _STYLE.search(attributes))
+
+
 class Page:
     """Text of a page outside menus and the like, and its containers.
 
-    Elements with a junk word and forms are suspects: they are left out unless
-    they hold a <main>, or the page's only articles, or nearly all of its text.
+    Elements with a junk word, hidden ones and forms are suspects: they are left out
+    unless they hold a <main>, or the page's only articles, or nearly all of its text.
+    Weak suspects also stay if they hold an h1 or more text than all else.  A list
+    of links without other text is left out if the page has more plain text.
 
     ``parts``: text in page order, with a space at each block's edge;
     ``containers``: [path, first part, last part + 1, own characters, tag, the
@@ -84,7 +124,10 @@ class Page:
         self.containers: list[list] = []
         self._within: list[int] = []  # nearest container, per part
         self._prose: list[int] = []  # whether in a heading (2) or a paragraph (1), per part
-        #: First part, last part + 1, suspect around it, by readers, holds a <main>, holds an article.
+        self._edges = bytearray()  # whether a block's edge, per part
+        self._links = 0
+        #: First part, last part + 1, suspect around it, by readers, holds a <main>, holds an article, kind,
+        #: links before it (then in it), holds its heading.
         self._suspects: list[list] = []
         self._articles_outside = False
         self._read(source or "")
@@ -95,6 +138,7 @@ class Page:
             return
         text = entities.unescape(raw) if "&" in raw else raw
         self.parts.append(text)
+        self._edges.append(0)
         linked = any(s[0] == "a" for s in stack)
         n = 0 if linked else len(text.strip())
         self.sizes.append(n)
@@ -112,8 +156,9 @@ class Page:
         return 0
 
     def _edge(self) -> None:
-        if self.parts and self.parts[-1] != " ":
+        if self.parts and not self._edges[-1]:
             self.parts.append(" ")
+            self._edges.append(1)
             self.sizes.append(0)
             self._within.append(-1)
             self._prose.append(0)
@@ -124,6 +169,7 @@ class Page:
                 self.containers[at][2] = len(self.parts)
             if suspected:
                 self._suspects[suspect][1] = len(self.parts)
+                self._suspects[suspect][7] = self._links - self._suspects[suspect][7]
         del stack[to:]
 
     def _read(self, source: str) -> None:
@@ -179,15 +225,18 @@ class Page:
 
     def _open(self, stack: list, name: str, attributes: str) -> None:
         _, path, container, left_out, _, suspect, _ = stack[-1] if stack else ("", "", -1, False, False, -1, False)
-        classes, words, junk, main = "", set(), set(), name == "main"
+        classes, words, junk, weak, main, hidden = "", set(), set(), set(), name == "main", False
+        self._links += name == "a"
         if attributes:
             for key, *value in _NAMES.findall(attributes):
                 value = "".join(value).lower()
                 words.update(_WORD.findall(value))
                 junk |= junk_words(value)
+                weak |= weak_words(value)
                 main = main or key.lower() == "role" and value.strip() == "main"
                 if key.lower() == "class":
                     classes = ".".join(sorted({_NUMBER.sub("#", c) for c in value.split()}))
+            hidden = is_hidden(attributes)
         left_out = left_out or name in _SKIP and not (
             name == "header" and ("article" in path or any(s[0] == "main" for s in stack)))
         if not left_out and (main or name == "article" and not words & _JUNK):
@@ -196,9 +245,19 @@ class Page:
             while at >= 0 and not self._suspects[at][flag]:
                 self._suspects[at][flag] = True
                 at = self._suspects[at][2]
-        suspected = not left_out and not main and (bool(junk) and name not in ("body", "article") or name == "form")
+        if name in ("h1", "h2") and not left_out:
+            at = suspect
+            while at >= 0 and not self._suspects[at][8]:
+                self._suspects[at][8] = name == "h1" or self._suspects[at][6] == "header"
+                at = self._suspects[at][2]
+        kind = ""
+        if not left_out and not main and name not in ("body", "article"):
+            kind = ("junk" if junk or hidden or name == "form" else "header" if weak == {"header"} else
+                    "weak" if weak else "list" if name in ("ul", "ol") else "")
+        suspected = bool(kind)
         if suspected:
-            self._suspects.append([len(self.parts), len(self.parts), suspect, bool(junk & _READERS), False, False])
+            self._suspects.append([len(self.parts), len(self.parts), suspect, bool((junk | weak) & _READERS), False,
+                                   False, kind, self._links, False])
             suspect = len(self._suspects) - 1
         if name in _BLOCK and name != "br":
             path = f"{path}>{name}" + (f".{classes}" if classes else "")
@@ -223,38 +282,68 @@ class Page:
         for i, s in enumerate(self._suspects):
             inside.setdefault(s[2], []).append(i)
         out: set[int] = set()  # outermost ones
-        look = inside.get(-1, [])[:]
-        while look:
-            i = look.pop()
-            if self._suspects[i][4] or self._suspects[i][5] and not self._articles_outside:
-                look += inside.get(i, [])
-            else:
-                out.add(i)
+
+        def consider(look: list[int]) -> None:
+            while look:
+                i = look.pop()
+                if self._stays(i, plain[i], sums[-1]):
+                    look += inside.get(i, [])
+                else:
+                    out.add(i)
+
+        consider(inside.get(-1, [])[:])
         left = sums[-1] - sum(plain[i] for i in out)
         # The largest first, until enough is left; what stands inside it is still left out.
-        waiting = [(-plain[i], i) for i in out if not self._suspects[i][3]]
+        waiting = [(-plain[i], i) for i in out if self._may_stay(i)]
         heapq.heapify(waiting)
-        while waiting and left < LEAST_LEFT * sums[-1]:
+        while waiting and (left < LEAST_LEFT * sums[-1] or
+                           self._suspects[waiting[0][1]][6] in ("weak", "header") and -waiting[0][0] > left
+                           and not self._suspects[waiting[0][1]][3]):
             n, i = heapq.heappop(waiting)
             out.remove(i)
             left -= n
-            for j in inside.get(i, []):
-                out.add(j)
+            before = set(out)
+            consider(inside.get(i, [])[:])
+            for j in out - before:
                 left -= plain[j]
-                if not self._suspects[j][3]:
+                if self._may_stay(j):
                     heapq.heappush(waiting, (-plain[j], j))
         gone = bytearray(len(self.parts))
         for i in out:
             first, last = self._suspects[i][:2]
             gone[first:last] = b"\1" * (last - first)
         if out and any(p.strip() and not g for p, g in zip(self.parts, gone)):
-            self.parts = [" " if g and p == " " else "" if g else p for p, g in zip(self.parts, gone)]
+            self.parts = [" " if e else "" if g else p for p, g, e in zip(self.parts, gone, self._edges)]
             self.sizes = [0 if g else n for n, g in zip(self.sizes, gone)]
         for n, at, prose in zip(self.sizes, self._within, self._prose):
             if n and at >= 0:
                 self.containers[at][3] += n
                 self.containers[at][6] = max(self.containers[at][6], prose)
 
+    def _stays(self, i: int, plain: int, all_plain: int) -> bool:
+        """Whether a suspect is none, by what it holds."""
+        first, last, _, readers, main, article, kind, links, heading = self._suspects[i]
+        if kind == "list":
+            return plain > 0 or links < MENU_LINKS or sum(len(p.strip()) for p in self.parts[first:last]) >= all_plain
+        return main or article and not self._articles_outside or heading and not readers and kind != "junk"
+
+    def _may_stay(self, i: int) -> bool:
+        """Whether a suspect may stay for want of other text: not what readers clearly wrote."""
+        return not self._suspects[i][3] or self._suspects[i][6] != "junk"
+
+    def blocks(self, first: int = 0, last: int | None = None) -> Iterator[tuple[int, int, int]]:
+        """(first part, last part + 1, 64-bit hash) of the blocks of at least ``BLOCK_WORDS`` words that are no headings."""
+        last = len(self.parts) if last is None else last
+        at = first
+        while at < last:
+            edge = self._edges.find(1, at, last)
+            end = last if edge < 0 else edge
+            if end > at:
+                words = "".join(self.parts[at:end]).split()
+                if len(words) >= BLOCK_WORDS and max(self._prose[at:end]) < 2:
+                    yield at, end, xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63)
+            at = end + 1
+
     def scored(self) -> list[tuple[float, str]]:
         """(score, path) of the containers: plain text of their own, plus a share of what is deeper.
 
@@ -288,16 +377,32 @@ class Page:
                 found[path] = max(found[path], found[best] + prose[path])
         return sorted(((s, p) for p, s in found.items() if s > 0), key=lambda x: (-x[0], x[1]))
 
-    def text_at(self, path: str) -> str:
+    def text_at(self, path: str, repeated: frozenset[int] = frozenset()) -> str:
         """Text of all containers with this path, in page order; those inside another such one count once."""
-        out, done = [], 0
+        spans, done = [], 0
         for p, first, last, *_ in self.containers:
             if p == path and last > done:
-                out.append("".join(self.parts[max(first, done):last]))
+                spans.append((max(first, done), last))
                 done = last
-        return " ".join(" ".join(out).split())
-
-    def text(self, paths: list[str], weak: Iterable[str] = ()) -> str:
+        return self._joined(spans, repeated)
+
+    def _joined(self, spans: list[tuple[int, int]], repeated: frozenset[int]) -> str:
+        """Text of spans of parts without the blocks of ``repeated`` hashes, unless those are most of it."""
+        whole = " ".join(" ".join("".join(self.parts[a:b]) for a, b in spans).split())
+        if not repeated or not whole:
+            return whole
+        kept = []
+        for first, last in spans:
+            at = first
+            for a, b, found in self.blocks(first, last):
+                if found in repeated:
+                    kept.append("".join(self.parts[at:a]))
+                    at = b
+            kept.append("".join(self.parts[at:last]))
+        rest = " ".join(" ".join(kept).split())
+        return rest if len(rest) > MOST_REPEATED * len(whole) else whole
+
+    def text(self, paths: list[str], weak: Iterable[str] = (), repeated: frozenset[int] = frozenset()) -> str:
         """Text at the first of ``paths``, none of them the body, that holds a fair share of this page's text.
 
         Else that at the page's own best container, or all of it.  If that best
@@ -315,23 +420,28 @@ class Page:
             least = 1 if best in weak else FAIR_SHARE * sum(
                 sums[c[2]] - sums[c[1]] for c in self.containers if c[0] == best)
             chosen = next((p for p in paths if plain.get(p, 0) and plain[p] >= least), best)
-            return self.text_at(chosen)
+            return self.text_at(chosen, repeated)
         for path in paths:
-            if path in plain and (text := self.text_at(path)):
+            if path in plain and (text := self.text_at(path, repeated)):
                 return text
-        return " ".join("".join(self.parts).split())
+        return self._joined([(0, len(self.parts))], repeated)
 
 
 def page_votes(pages: DataFrame) -> DataFrame:
-    """(host, path, vote, seen, best): each page deals one vote among its best containers by score.
+    """(host, path, vote, seen, best, block, page), two kinds of rows.
 
+    With a path: each page deals one vote among its best containers by score.
     ``seen`` counts the pages that vote for a path, ``best`` those that put it first.
+    With a block's hash (0: the page as such) and a page's, path null: the block stands on it.
     """
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cast: dict[tuple[str, str], list] = {}
+            held: set[tuple[str, int, int]] = set()
             for url, source in zip(batch.column(0), batch.column(1)):
-                found = Page(source.as_py()).scored()[:PAGE_VOTES]
+                raw = source.as_py()
+                page = Page(raw)
+                found = page.scored()[:PAGE_VOTES]
                 whole = sum(s for s, _ in found)
                 host = split_url(url.as_py())[0]
                 for i, (score, path) in enumerate(found):
@@ -339,30 +449,45 @@ def page_votes(pages: DataFrame) -> DataFrame:
                     sums[0] += score / whole
                     sums[1] += 1
                     sums[2] += i == 0
+                own = xxhash.xxh3_64_intdigest(raw or "") - (1 << 63)
+                held.update((host, block, own) for _, _, block in page.blocks())
+                held.add((host, 0, own))
+            stands = list(zip(*held)) or [[], [], []]
             hosts, paths = ([k[i] for k in cast] for i in (0, 1))
             vote, seen, best = ([v[i] for v in cast.values()] for i in (0, 1, 2))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(vote, pa.float64()),
-                 pa.array(seen, pa.int64()), pa.array(best, pa.int64())],
-                names=["host", "path", "vote", "seen", "best"])
+            none, no = [None] * len(held), [None] * len(cast)
+            for slice_ in in_slices([hosts + list(stands[0]), paths + none, vote + none, seen + none, best + none,
+                                     no + list(stands[1]), no + list(stands[2])]):
+                kinds = (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(slice_, kinds)],
+                                                 names=["host", "path", "vote", "seen", "best", "block", "page"])
 
     return pages.select("url", "html").mapInArrow(
-        votes, "host string, path string, vote double, seen long, best long")
+        votes, "host string, path string, vote double, seen long, best long, block long, page long")
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths, weak): the paths of a host in descending order of votes, ``HOST_PATHS`` at most.
+    """(host, paths, weak, repeated): a host's paths in descending order of votes, ``HOST_PATHS`` at most.
 
-    ``weak`` has those of them that are the best one on fewer than half of the pages that vote for them.
+    A page with none of these uses its own best container.  ``weak`` has those of
+    them that are the best one on fewer than half of the pages that vote for them;
+    ``repeated`` the hashes of blocks on ``REPEATED_SHARE`` and ``REPEATED_PAGES`` of
+    the host's different pages, so no more than a few pages hold.
     """
-    summed = page_votes(pages).groupBy("host", "path").agg(
+    votes = materialize(page_votes(pages), "html-votes")
+    summed = votes.where("path is not null").groupBy("host", "path").agg(
         F.round(F.sum("vote"), 6).alias("vote"), (F.sum("best") * 2 < F.sum("seen")).alias("weak"))
     order = Window.partitionBy("host").orderBy(F.desc("vote"), "path")
     ranked = summed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HOST_PATHS)
     kept = F.sort_array(F.collect_list(F.struct("place", "path", "weak")))
-    return ranked.groupBy("host").agg(kept.alias("kept")).select(
+    agreed = ranked.groupBy("host").agg(kept.alias("kept")).select(
         "host", F.transform("kept", lambda x: x["path"]).alias("paths"),
         F.transform(F.filter("kept", lambda x: x["weak"]), lambda x: x["path"]).alias("weak"))
+    held = votes.where("path is null").select("host", "block", "page").distinct().groupBy("host", "block").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") >= REPEATED_PAGES)
+    all_ = held.where("block = 0").select("host", F.col("n").alias("pages"))
+    often = held.where("block <> 0").join(all_, "host").where(F.col("n") >= F.lit(REPEATED_SHARE) * F.col("pages"))
+    return agreed.join(often.groupBy("host").agg(F.sort_array(F.collect_list("block")).alias("repeated")), "host", "left")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -372,19 +497,23 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     or one without ``://``, belongs to the host ''.  Repeated rows are each
     returned (and each vote); ties between paths go to the first in order.  The
     whole html is read both times.  Other columns are not carried.  Host paths
-    are broadcast up to a counted number of hosts; beyond it the join shuffles.
+    are broadcast up to ``BROADCAST_BYTES``, counted; beyond it the join shuffles.
+    Repeated blocks are known by 64-bit hashes.
     """
-    agreed = host_paths(pages)
+    agreed = materialize(host_paths(pages), "html-paths")
+    chars = F.aggregate("paths", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p) + 32)
+    size = agreed.agg(F.sum(chars * 2 + 8 * F.coalesce(F.array_size("repeated"), F.lit(0)) + 100)).first()[0] or 0
+    agreed = F.broadcast(agreed) if size <= BROADCAST_BYTES else agreed
     host = F.when(F.col("url").contains("://"),
                   F.translate(F.regexp_extract("url", r"(?s)://([^/?#]*)", 1),
                               "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise("")
     rows = pages.select("page_id", "url", "html", F.coalesce(host, F.lit("")).alias("host"))
-    joined = rows.join(small_enough(agreed, 200_000), "host", "left").select("page_id", "url", "html", "paths", "weak")
+    joined = rows.join(agreed, "host", "left").select("page_id", "url", "html", "paths", "weak", "repeated")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [Page(source.as_py()).text(paths.as_py() or [], weak.as_py() or [])
-                   for source, paths, weak in zip(batch.column(2), batch.column(3), batch.column(4))]
+            out = [Page(source.as_py()).text(paths.as_py() or [], weak.as_py() or [], frozenset(repeated.as_py() or ()))
+                   for source, paths, weak, repeated in zip(*batch.columns[2:6])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

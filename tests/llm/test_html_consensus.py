@@ -94,6 +94,81 @@ def test_junk_words_on_wrappers_keep_the_article():
     assert Page("<div class=comments><p>only this</p></div>").text([]) == "only this"
 
 
+def test_boilerplate_inside_the_article():
+    said = "a reader wrote this in haste"
+    for name in ["post-comments", "user-comments", "related-posts", "ad-slot", "share-buttons", "social-links", "cookie-policy",
+                 "page-header", "top-menu-wrapper"]:
+        for tag in ["article", "div"]:
+            source = f"<{tag} class=text><h1>Title</h1><p>{'the text ' * 9}</p><div class='{name}'><p>{said}</p></div></{tag}>"
+            assert Page(source).text([]) == f"Title {'the text ' * 9}".strip(), (name, tag)
+    for away in ["<p hidden>%s</p>", "<div aria-hidden=\"true\">%s</div>", "<div style='color:red; display: none'>%s</div>",
+                 "<span style=\"visibility:hidden\">%s</span>",
+                 "<ul><li><a href=1>some story</a><li><a href=2>more</a><li><a href=3>yet more</a></ul>"]:
+        source = f"<article><p>{'the text ' * 9}</p>{away % said if '%s' in away else away}<p>end</p></article>"
+        assert Page(source).text([]) == f"{'the text ' * 9}end", away
+
+
+def test_weak_suspects_that_are_the_text_stay():
+    words = "the text " * 9
+    for source in [f"<article><div class='page-header'><h1>Title</h1></div><div class=c><p>{words}</p></div></article>",
+                   f"<article><div class='post-header'><h2>Title</h2></div><p>{words}</p></article>",
+                   f"<article><div class='hero-banner'><h1>Title</h1></div><p>{words}</p></article>",
+                   f"<article><div class='elementor-widget-text'>Title</div><p>{words}</p></article>",
+                   f"<article><p>Title</p><div class='social-story'><p>{words}</p></div></article>",
+                   f"<body hidden><h1>Title</h1><p>{words}</p></body>",
+                   f"<div hidden><h1>Title</h1><p>{words}</p></div>",
+                   f"<article data-hidden=1 title='hidden'><p>Title</p><p>{words}</p></article>"]:
+        assert Page(source).text([]) == f"Title {words}".strip(), source
+    links = "<ul><li><a>one story</a><li><a>another story</a><li><a>a third one</a></ul>"
+    assert Page(f"<article><h1>Index</h1>{links}</article>").text([]) == "Index one story another story a third one"
+
+
+def test_blocks_of_most_pages_of_a_host_go(spark):
+    """An advert without any class stands in each article; copies and half as frequent passages stay whole."""
+    data, want = [], {}
+    advert = "<p>Buy <b>all</b> you need now</p>"
+    for i in range(40):
+        p = article(1000 + i * 7)
+        shared = "<p>A passage that a third of the pages hold.</p>" if i % 3 == 0 else ""
+        want[i] = f"Head line of all " + " ".join(p[:2]) + (" A passage that a third of the pages hold." if shared else "") + f" {p[2]}"
+        data.append((i, "http://x.org/", f"<article><h2>Head line of all</h2><p>{p[0]}</p>{advert}<p>{p[1]}</p>{shared}<p>{p[2]}</p></article>"))
+    for i in range(40, 60):  # copies of one page, on a host of their own
+        want[i] = " ".join(article(1))
+        data.append((i, "http://y.org/", "<article>" + "".join(f"<p>{x}</p>" for x in article(1)) + "</article>"))
+    for i in range(60, 80):  # near copies
+        want[i] = " ".join([*article(1), f"Copy number {i} is here."])
+        data.append((i, "http://z.org/", "<article>" + "".join(f"<p>{x}</p>" for x in article(1)) + f"<p>Copy number {i} is here.</p></article>"))
+    got = {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, data)).collect()}
+    assert got == want
+
+
+def test_plain_vote_and_reextraction(spark):
+    """Votes, their sums, boilerplate counts and the second reading in plain Python over the given pages."""
+    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    data = [(r["page_id"], r["url"], r["html"]) for r in table.select("page_id", "url", "html").collect()]
+    data += [(10_000 + i, "http://m.org/", (template_a if i % 3 else template_b)(i % 25)[1].replace("</article>", "<p>Said on each of these pages</article>")) for i in range(30)]
+    votes, stands, whole = {}, {}, {}
+    for _, url, source in data:
+        host, page = re.search(r"://([^/?#]*)", url)[1].lower(), Page(source)
+        found = page.scored()[:5]
+        for i, (score, path) in enumerate(found):
+            v = votes.setdefault(host, {}).setdefault(path, [0, 0, 0])
+            v[0] += score / sum(s for s, _ in found)
+            v[1] += 1
+            v[2] += i == 0
+        whole.setdefault(host, set()).add(source)
+        for *_, block in page.blocks():
+            stands.setdefault(host, {}).setdefault(block, set()).add(source)
+    want = {}
+    for page_id, url, source in data:
+        host = re.search(r"://([^/?#]*)", url)[1].lower()
+        paths = sorted(votes[host], key=lambda p: (-round(votes[host][p][0], 6), p))[:64]
+        weak = [p for p in paths if votes[host][p][2] * 2 < votes[host][p][1]]
+        often = {b for b, on in stands.get(host, {}).items() if len(on) >= 10 and len(on) * 2 >= len(whole[host])}
+        want[page_id] = Page(source).text(paths, weak, frozenset(often))
+    assert {r["page_id"]: r["text"] for r in extract_main_text(pages(spark, data)).collect()} == want
+
+
 def test_junk_elements_beside_the_article_stay_out():
     said = "<p>" + "a reader wrote this " * 60 + "</p>"
     for junk in ["<div class='comments'>%s</div>", "<div id=comments-area>%s</div>", "<div class=replies><article class=comment-body>%s</article></div>",
