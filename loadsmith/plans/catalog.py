@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadsmith.operators import checks
@@ -846,6 +846,26 @@ def q_type6_job_runlog(spark, sf_dir):
     return _stored_log(spark, _type6_job(spark, sf_dir)[1])
 
 
+_STEP_ORDER = ["compute_watermark", "extract_source", "read_active_dim", "transform_type6", "expire_old_rows",
+               "insert_new_versions"]
+
+
+@register("type6_job_step_times", sql.with_(
+    _JOB_CTES + [("src", f"SELECT * FROM ({sql.NAMED_SOURCE}) WHERE d > {_WM_SQL}"),
+                 ("steps", _job_log_sql("Q2", "src", "dim0", "j_ins"))],
+    "SELECT package, step, row_count, CASE step "
+    + " ".join(f"WHEN '{step}' THEN {place}" for place, step in enumerate(_STEP_ORDER, 1))
+    + " END AS place, true AS ended_after_start, true AS after_the_step_before FROM steps"))
+def q_type6_job_step_times(spark, sf_dir):
+    """The stored times of a job's steps: each ends after it started and starts after the step before it ended."""
+    log = spark.read.parquet(_type6_job(spark, sf_dir)[1])
+    in_time = Window.partitionBy("run_id").orderBy("started_at", "ended_at")
+    before = F.lag("ended_at").over(in_time)
+    return log.select("package", "step", "row_count", F.row_number().over(in_time).alias("place"),
+                      (F.col("ended_at") >= F.col("started_at")).alias("ended_after_start"),
+                      (before.isNull() | (F.col("started_at") >= before)).alias("after_the_step_before"))
+
+
 @register("type6_job_dimension", sql.with_(_JOB_CTES, "SELECT * FROM j_next"))
 def q_type6_job_dimension(spark, sf_dir):
     """Seeded dimension + one incremental job run, read back from the publish."""
