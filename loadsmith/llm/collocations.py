@@ -6,11 +6,12 @@ Spark's ROLLUP over the window's columns sums them to all shorter prefixes at on
 number of occurrences of each phrase of one word to ``longest``, and of all words of a
 language, without a separate n-gram explosion per length.
 
-Most windows are rare and can't matter: a phrase that occurs often holds no rare pair.
-So a window is padded from the first pair on whose hash is rare.  Pair hashes are counted first
-(64 bits, combined per task); the frequent ones set bits of a bitmap of fixed size.
-A false bit only keeps a window longer than it needed to be; counts of phrases that
-reach the least count stay exact at every size.
+Most windows are rare and can't matter: a phrase that occurs often holds no rare shorter one.
+So a window ends before the first word that makes it a rare phrase.  Hashes of the phrases
+of two, three, ... words are counted first, one length after the other (combined per task), and only of
+phrases whose two parts of one word less are frequent; the frequent ones set bits of a bitmap of fixed
+size.  A false bit only keeps a window longer than it needed to be; counts of phrases
+that reach the least count stay exact at every size.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.llm.common import as_signed, bound_batches, mixed, tidy
+from loadsmith.llm.common import bound_batches, mixed, tidy
 from loadsmith.session import materialize
 
-#: Bits of the bitmap of frequent pairs (16 MB), and bytes of texts that a task counts before it gives out the counts.
+#: Bits of the bitmap of frequent phrases (16 MB), and bytes of texts that a task counts before it gives out the counts.
 BITS, CHUNK_BYTES = 1 << 27, 6 << 20
+#: Phrases are counted by the upper 40 bits of their hashes: fewer bytes to shuffle than 64 bits.
+KEPT_FROM = np.uint64(24)
 #: Shares of a language's phrases that are ranked apart first.
 SHARES = 64
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -57,12 +60,17 @@ class _Chunk:
         self.code, self.lang, self.end = code[real], lang[real], self.spelled.index(b".")
         self.hash = np.fromiter(map(xxhash.xxh3_64_intdigest, self.spelled), np.uint64, len(self.spelled))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each word with the next one and the language; whether both lie in one piece."""
+    def phrases(self, bitmap: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For 2 words to ``longest``, at each place: a hash of the phrase that starts there and its language; whether it
+        lies in one piece and both its parts of one word less are frequent; whether it is so itself."""
         salt = mixed(np.fromiter((xxhash.xxh3_64_intdigest(n) for n in self.langs), np.uint64, len(self.langs)))
-        first = self.hash * np.uint64(0x9E3779B97F4A7C15)
-        pair = mixed(first[self.code[:-1]] + self.hash[self.code[1:]] + salt[self.lang[:-1]])
-        return pair, (self.code[:-1] != self.end) & (self.code[1:] != self.end)
+        at, frequent = self.hash[self.code] + salt[self.lang], self.code != self.end
+        for size in range(2, longest + 1):
+            at = mixed(at[:-1] * np.uint64(0x9E3779B97F4A7C15) + self.hash[self.code[size - 1:]])
+            may_be = frequent[:-1] & frequent[1:]
+            bit = (at >> KEPT_FROM).view(np.int64) % (8 * len(bitmap))
+            frequent = may_be & (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1)
+            yield at, may_be, frequent
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[_Chunk]:
@@ -80,33 +88,41 @@ def _chunks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[_Chu
         yield _Chunk(texts, langs)
 
 
-def frequent_pairs(texts: DataFrame, least: int, bits: int = BITS, chunk_bytes: int = CHUNK_BYTES) -> np.ndarray:
-    """Bitmap (by hash) of the word pairs that occur at least ``least`` times in a language."""
+def frequent_phrases(texts: DataFrame, longest: int, least: int, bits: int = BITS,
+                     chunk_bytes: int = CHUNK_BYTES) -> np.ndarray:
+    """Bitmap (by hash) of the phrases of 2 to ``longest`` words that occur at least ``least`` times in a language."""
+    bitmap = np.zeros(bits // 64, np.int64)
+    for size in range(2, longest + 1):
+        shorter = texts.sparkSession.sparkContext.broadcast(bitmap.view(np.uint8))
+        counts = texts.mapInArrow(tidy(_phrase_counter(shorter, size, chunk_bytes)), "phrase long, n int")
+        often = counts.groupBy("phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        bit = F.pmod(F.col("phrase"), F.lit(bits))
+        cells = often.groupBy((bit / 64).cast("int").alias("cell")).agg(
+            F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(phrase, {bits}) % 64 as int))")).alias("bits")).toArrow()
+        bitmap = bitmap.copy()
+        bitmap[cells.column("cell").to_numpy()] |= cells.column("bits").to_numpy()
+        shorter.unpersist()
+    return bitmap.view(np.uint8)
+
+
+def _phrase_counter(shorter, size: int, chunk_bytes: int):
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, chunk_bytes):
-            pair, inside = chunk.pairs()
-            hashes, n = np.unique(pair[inside], return_counts=True)
-            for at in range(0, len(hashes), 100_000):
+            *_, (at, may_be, _) = chunk.phrases(shorter.value, size)
+            hashes, n = np.unique((at[may_be] >> KEPT_FROM).view(np.int64), return_counts=True)
+            for cut in range(0, len(hashes), 100_000):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_signed(hashes[at:at + 100_000])), pa.array(n[at:at + 100_000].astype(np.int32))],
-                    names=["pair", "n"])
+                    [pa.array(hashes[cut:cut + 100_000]), pa.array(n[cut:cut + 100_000].astype(np.int32))],
+                    names=["phrase", "n"])
 
-    pairs = texts.mapInArrow(tidy(counted), "pair long, n int").groupBy("pair").agg(F.sum("n").alias("n"))
-    bit = F.pmod(F.col("pair"), F.lit(bits))
-    cells = pairs.where(F.col("n") >= least).groupBy((bit / 64).cast("int").alias("cell")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(pair, {bits}) % 64 as int))")).alias("bits")).toArrow()
-    bitmap = np.zeros(bits // 64, np.int64)
-    bitmap[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
-    return bitmap.view(np.uint8)
+    return counted
 
 
 def _windows(chunk: _Chunk, bitmap: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
     """(lang, columns, n): the distinct windows that are padded after 1, 2, ... words, and how often they occur."""
-    pair, inside = chunk.pairs()
-    bit = pair.view(np.int64) % (8 * len(bitmap))
-    goes_on = np.append(inside & (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1), False)
     start, lang, columns = np.nonzero(chunk.code != chunk.end)[0], None, []
     key = chunk.lang[start].astype(np.int64)
+    longer = chunk.phrases(bitmap, longest)
     for j in range(longest):
         # A prefix's number stands for the language and all words before; only distinct ones are spelled.
         key = key * len(chunk.spelled) + chunk.code[start + j]
@@ -114,7 +130,12 @@ def _windows(chunk: _Chunk, bitmap: np.ndarray, longest: int) -> Iterator[tuple[
         at = seen // len(chunk.spelled)
         lang = at if lang is None else lang[at]
         columns = [c[at] for c in columns] + [seen % len(chunk.spelled)]
-        on = goes_on[start + j] if j + 1 < longest else np.zeros(len(start), bool)
+        on = np.zeros(len(start), bool)
+        if j + 1 < longest:
+            # A word that another follows in its piece has a place in these shorter columns.
+            *_, frequent = next(longer)
+            there = start < len(frequent)
+            on[there] = frequent[start[there]]
         n = np.bincount(key[~on], minlength=len(seen))
         ended = np.nonzero(n)[0]
         yield lang[ended], [c[ended] for c in columns], n[ended]
@@ -144,7 +165,7 @@ def longest_windows(texts: DataFrame, longest: int, bitmap: np.ndarray, chunk_by
 def phrase_counts(texts: DataFrame, longest: int, least: int, bits: int = BITS,
                   chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """lang, phrase, size, f: every phrase with f >= ``least``; size 0 and phrase '' stand for all words of a language."""
-    windows = longest_windows(texts, longest, frequent_pairs(texts, least, bits, chunk_bytes), chunk_bytes)
+    windows = longest_windows(texts, longest, frequent_phrases(texts, longest, least, bits, chunk_bytes), chunk_bytes)
     names = [f"w{j}" for j in range(1, longest + 1)]
     view = f"windows_{uuid.uuid4().hex}"
     windows.createOrReplaceTempView(view)
