@@ -167,6 +167,8 @@ def phrase_counts(texts: DataFrame, longest: int, least: int, bits: int = BITS,
     """lang, phrase, size, f: every phrase with f >= ``least``; size 0 and phrase '' stand for all words of a language."""
     windows = longest_windows(texts, longest, frequent_phrases(texts, longest, least, bits, chunk_bytes), chunk_bytes)
     names = [f"w{j}" for j in range(1, longest + 1)]
+    # Summed as they are first: ROLLUP multiplies rows by its levels, so it gets each distinct window once.
+    windows = windows.groupBy("lang", *names).agg(F.sum("n").alias("n"))
     view = f"windows_{uuid.uuid4().hex}"
     windows.createOrReplaceTempView(view)
     sums = texts.sparkSession.sql(
