@@ -1,10 +1,11 @@
 """Previous-version values (W2): LAG over a natural key, split-safe.
 
 ``LAG(c) OVER (PARTITION BY k ORDER BY o)`` puts every row of one key in one
-task.  Method ``sequence`` numbers all rows densely in (k, o) order in
-parallel (range partitioning splits a heavy key) and joins each row to the row
-numbered one less — an equi-join on a unique number, so no task gets more than
-its share.  Method ``auto`` (default) counts rows per key first (combined
+task.  Method ``sequence`` range-partitions the rows once in (k, o) order, which
+splits a heavy key, and takes LAG inside each partition; what a partition's first
+row misses is the last row of the partitions before, so those last rows (one per
+partition, broadcast) are carried over the boundary.  Rows are neither numbered nor joined
+to each other.  Method ``auto`` (default) counts rows per key first (combined
 map-side): keys with at most ``heavy_rows`` rows take the plain window, the
 few heavy keys (at most total / ``heavy_rows`` of them) take the sequence path.
 ``window`` forces the plain window.
@@ -15,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadsmith.operators.keys import assign_surrogate_keys
-from loadsmith.session import materialize
+from loadsmith.operators.keys import range_partitions
+from loadsmith.session import materialize, materialize_counted
 
 
 _BROADCAST_KEYS = 1_000_000  # heavy-key lists up to this size are broadcast
@@ -55,14 +56,34 @@ def _by_window(df, parts, order, cols, prefix):
 
 
 def _by_sequence(df, parts, order, cols, prefix):
-    numbered = assign_surrogate_keys(df, "_ls_seq", [*parts, *order])
-    prev = numbered.select((F.col("_ls_seq") + 1).alias("_ls_seq"),
-                           *[F.col(p).alias("_ls_pk_" + p) for p in parts],
-                           *[F.col(c).alias("_ls_pv_" + c) for c in cols])
-    joined = numbered.join(prev, "_ls_seq", "left")
-    same = None
-    for p in parts:
-        eq = F.col(p).eqNullSafe(F.col("_ls_pk_" + p))
-        same = eq if same is None else same & eq
-    return joined.select(*[F.col(c) for c in df.columns],
-                         *[F.when(same, F.col("_ls_pv_" + c)).alias(prefix + c) for c in cols])
+    staged, rows = materialize_counted(df.withColumn("_ls_tb", F.xxhash64(*df.columns)), "to-order")
+    # Written in order: a row's part and place in it then outlive lost executors and sampled bounds.
+    placed = materialize(
+        staged.repartitionByRange(range_partitions(df, rows), *parts, *order, "_ls_tb")
+        .sortWithinPartitions(*parts, *order, "_ls_tb")
+        .withColumn("_ls_part", F.spark_partition_id())
+        .withColumn("_ls_at", F.monotonically_increasing_id()).drop("_ls_tb"), "ordered")
+    carried = _last_rows(placed, parts, cols)
+    w = Window.partitionBy("_ls_part", *parts).orderBy("_ls_at")
+    same = F.lit(True)
+    for i, p in enumerate(parts):
+        same = same & F.col(p).eqNullSafe(F.col(f"_ls_key.k{i}"))
+    joined = (placed.withColumn("_ls_nth", F.row_number().over(w))
+              .withColumns({f"_ls_v{i}": F.lag(c).over(w) for i, c in enumerate(cols)})
+              .join(F.broadcast(carried), "_ls_part", "left"))
+    return joined.select(*[F.col(c) for c in df.columns], *[
+        F.when(F.col("_ls_nth") > 1, F.col(f"_ls_v{i}")).when(same, F.col(f"_ls_value.v{i}")).alias(prefix + c)
+        for i, c in enumerate(cols)])
+
+
+def _last_rows(placed: DataFrame, parts: list[str], cols: list[str]) -> DataFrame:
+    """_ls_part, _ls_key, _ls_value: for each partition the last row of the nearest one before that has rows.
+
+    As many rows as partitions; a window without keys over them is no burden.
+    """
+    key = F.struct(*[F.col(p).alias(f"k{i}") for i, p in enumerate(parts)])
+    value = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    last = placed.groupBy("_ls_part").agg(F.max_by(F.struct(key.alias("key"), value.alias("value")), "_ls_at").alias("last"))
+    before = last.withColumn("before", F.lag("last").over(Window.orderBy("_ls_part")))
+    return before.where("before IS NOT NULL").select(
+        "_ls_part", F.col("before.key").alias("_ls_key"), F.col("before.value").alias("_ls_value"))

@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from loadsmith.operators import history
 from loadsmith.operators.history import previous_values
 from loadsmith.operators.keys import assign_surrogate_keys, current_max_key
 from loadsmith.operators.lookup import first_per_key
@@ -74,3 +75,21 @@ def test_previous_values_auto_splits_heavy_keys(spark):
     for heavy_rows in (100, 10_000):  # split path, then pure window path
         got = previous_values(df, "k", ["seq"], ["v"], method="auto", heavy_rows=heavy_rows)
         assert sorted(map(tuple, got.select("seq", "prev_v").collect())) == want
+
+
+def test_sequence_carries_last_rows_over_partition_boundaries(spark, monkeypatch):
+    rows = [(k, i, None if i % 5 == 0 else f"{k}-{i}") for k, n in ((None, 20), (1, 60), (2, 1), (3, 1), (4, 18)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, seq int, v string").repartition(5)
+    w = Window.partitionBy("k").orderBy("seq")
+    want = sorted(map(repr, map(tuple, df.withColumn("prev_v", F.lag("v").over(w)).collect())))
+    for n in (1, 3, 16, 150):  # up to a row per partition, some without rows
+        monkeypatch.setattr(history, "range_partitions", lambda df, rows, n=n: n)
+        got = previous_values(df, "k", ["seq"], ["v"], method="sequence")
+        assert got.columns == ["k", "seq", "v", "prev_v"]
+        assert sorted(map(repr, map(tuple, got.collect()))) == want
+    assert previous_values(df.limit(0), "k", ["seq"], ["v"], method="sequence").collect() == []
+
+
+def test_sequence_joins_no_row_to_another(spark):
+    plan = previous_values(skewed(spark), "k", ["seq"], ["v"], method="sequence")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("BroadcastHashJoin") == 1
