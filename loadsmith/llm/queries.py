@@ -178,6 +178,31 @@ r AS (
 SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('example.org/es/', 'example.org/en/1', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM r
+""",
+    "op10_interleave": r"""
+WITH RECURSIVE bits AS (
+    SELECT i, 0 AS step, i AS c FROM (SELECT unnest(range(256)) AS i)
+    UNION ALL
+    SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE step < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+d AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS b, coalesce('=' || source, '') AS stratum,
+        left(md5(concat_ws(' ', '11', doc_id, coalesce(text, ''))), 16) AS shuffled
+    FROM documents),
+f AS (
+    SELECT doc_id, b, shuffled, (row_number() OVER (PARTITION BY stratum ORDER BY shuffled, doc_id NULLS FIRST) - 1
+        + CAST(CAST('0x' || left(md5('11 ' || stratum), 5) AS BIGINT) AS DOUBLE) / 1048576)
+        / count(*) OVER (PARTITION BY stratum) AS fraction
+    FROM d),
+p AS (
+    SELECT doc_id, b, row_number() OVER (ORDER BY fraction, shuffled, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+    FROM f),
+s AS (SELECT *, (place * 24) // n AS shard FROM p)
+SELECT doc_id, CAST(octet_length(b) + 8 AS BIGINT) AS size,
+    xor(list_reduce(list_transform(regexp_extract_all(hex(b), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+        lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295), 4294967295) AS text_crc32,
+    'rows' AS law, CAST(shard AS INTEGER) AS shard, place - (shard * n + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s, crc
 """,
     "op11_bottom_k": r"""
 WITH d AS (

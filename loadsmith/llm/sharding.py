@@ -11,9 +11,9 @@ from loadsmith.llm.common import number_rows
 def interleaved_shards(docs: DataFrame, n_shards: int = 24, seed: int = 11, by: str = "source") -> DataFrame:
     """Deal rows into ``n_shards`` shards that all have the table's mixture of ``by``.
 
-    Rows are shuffled by a seeded hash within each source and ranked there; a
+    Rows are shuffled by a seeded MD5 (64 bits) within each source and ranked there; a
     row's place is its fractional rank (rank + phase) / rows of its source, with
-    a phase in [0, 1) from the source's hash so that rare sources don't all meet
+    a phase in [0, 1) from the source's MD5 (20 bits) so that rare sources don't all meet
     in the middle.  The rows in that order are cut into equal runs: shard counts
     differ by one at most, and each source's share of a shard by about one row.
 
@@ -32,10 +32,11 @@ def interleaved_shards(docs: DataFrame, n_shards: int = 24, seed: int = 11, by:
         (F.octet_length(text).cast("long") + 8).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit("")).alias("stratum"),
-        F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias("shuffled"))
+        F.left(F.md5(F.concat_ws(" ", F.lit(seed), F.col("doc_id"), text).cast("binary")), F.lit(16)).alias("shuffled"))
     ranked, total = number_rows(rows, ["stratum", "shuffled", "doc_id"], "at")
     strata = ranked.groupBy("stratum").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    phase = F.pmod(F.xxhash64(F.lit(seed), F.col("stratum")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    drawn = F.left(F.md5(F.concat_ws(" ", F.lit(seed), F.col("stratum")).cast("binary")), F.lit(5))
+    phase = F.conv(drawn, 16, 10).cast("double") / F.lit(float(1 << 20))
     placed = ranked.join(strata, "stratum").withColumn(
         "fraction", (F.col("at") - F.col("first") + phase) / F.col("n"))
     cut, total = number_rows(placed.drop("at", "first", "n", "stratum"), ["fraction", "shuffled", "doc_id"], "place")
