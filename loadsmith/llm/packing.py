@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -22,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -32,40 +32,106 @@ from loadsmith.session import materialize
 CAPACITY, END_ID, GROUPS = 1024, 2, 128
 #: Lengths over this share of the capacity are large.
 LARGE_SHARE = 1 / 8
-#: Texts without any of these characters are split here and encoded word by word; all others whole.
-_RARE = re.compile("[^\t\n\r -~¡-±´-¸º»¿-ɏ]")
-#: The byte-level pattern for such texts: no alternative but a contraction starts with an apostrophe and a letter.
-_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
-_WORDS = re.compile(rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 #: The only settings of a tokenizer file with which words may be encoded singly.
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-#: Texts whose words are looked up together.
-_TOGETHER = 200
-#: Words whose ids a worker remembers (about 200 bytes each).
-_REMEMBERED = 400_000
+#: Kinds of bytes in the byte-level pattern.  Next to an unsure byte nothing is cut.
+_UNSURE, _LETTER, _DIGIT, _OTHER, _SPACE, _BREAK, _APOSTROPHE = range(7)
+#: First bytes of UTF-8 characters that are letters, but for these two.
+_LETTER_LEADS, _SIGNS = (*range(0xC3, 0xCA), 0xD0, 0xD1), (b"\xc3\x97", b"\xc3\xb7")
+#: Bytes of text whose words are looked up together.
+_TOGETHER = 8 << 20
+#: Words whose ids a worker remembers (about 200 bytes each), and the bytes of the longest.
+_REMEMBERED, _LONGEST = 400_000, 48
+
+
+def _kind(byte: int) -> int:
+    """Kind of a byte; a continuation byte counts as a letter until ``_kinds`` has seen its first byte."""
+    char = chr(byte)
+    if byte >= 0x80:
+        return _LETTER if byte < 0xC0 or byte in _LETTER_LEADS else _UNSURE
+    if char.isalnum():
+        return _DIGIT if char.isdigit() else _LETTER
+    if char == " " or char == "'":
+        return _SPACE if char == " " else _APOSTROPHE
+    if 0x1C <= byte <= 0x1F:  # white space to some
+        return _UNSURE
+    return _BREAK if char.isspace() else _OTHER
+
+
+def _cut_between(pair: int) -> bool:
+    """Whether the pattern always cuts between two bytes of these kinds (white space in a row is seen to apart)."""
+    a, b = divmod(pair, 8)
+    if _UNSURE in (a, b) or max(a, b) > _APOSTROPHE or a == _SPACE:
+        return False
+    if a == _BREAK or b in (_SPACE, _BREAK):
+        return not (a == _BREAK and b in (_SPACE, _BREAK))
+    if a == _APOSTROPHE and b == _LETTER:  # perhaps a contraction
+        return False
+    return (_OTHER if a == _APOSTROPHE else a) != (_OTHER if b == _APOSTROPHE else b)
+
+
+_KINDS = bytes(map(_kind, range(256)))
+_CUTS = bytes(pair < 64 and _cut_between(pair) for pair in range(256))
+#: Printable stand-ins of bytes in byte-level vocabularies; line feeds part the words here.
+_UNPRINTED = [b for b in range(256) if not chr(b).isprintable() or chr(b) == " "]
+_STAND_INS = np.array([256 + _UNPRINTED.index(b) if b in _UNPRINTED and b != 10 else b for b in range(256)], "<u2")
+
+
+def _kinds(data: bytes) -> np.ndarray:
+    """Kind of each byte of UTF-8 text."""
+    kinds = np.frombuffer(data.translate(_KINDS), np.uint8).copy()
+    raw = np.frombuffer(data, np.uint8)
+    first = np.flatnonzero((kinds == _UNSURE) & (raw >= 0xC0))
+    for k, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+        first = first[raw[first] >= least]
+        kinds[first + k] = _UNSURE
+    for sign in _SIGNS:
+        at = data.find(sign)
+        while at >= 0:
+            kinds[at:at + 2] = _UNSURE
+            at = data.find(sign, at + 2)
+    return kinds
+
+
+def word_starts(kinds: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where words start, given the kinds of bytes and where the texts start that are not empty.
+
+    Of white space in a row the pattern leaves the last for what follows, if
+    anything does.  A word of sure bytes without apostrophe is one of the
+    pattern's; any other holds whole words of it.
+    """
+    cut = np.zeros(len(kinds), np.uint8)
+    pairs = (kinds[:-1] << 3) | kinds[1:]
+    cut[1:] = np.frombuffer(pairs.tobytes().translate(_CUTS), np.uint8)
+    cut[texts] = 2
+    space = (kinds == _SPACE) | (kinds == _BREAK)
+    again = np.flatnonzero(space[:-2] & space[1:-1]) + 1
+    again = again[(cut[again] == 0) & (cut[again + 1] < 2) & ~space[again + 1] & (kinds[again + 1] != _UNSURE)]
+    cut[again] = 1
+    return np.flatnonzero(cut)
 
 
 class _Known:
     """Ids by word, in two generations: when one is full, the older is forgotten."""
 
     def __init__(self, most: int):
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.most = most // 2
 
-    def unknown(self, keys: set[str]) -> list[str]:
-        """Those of ``keys`` that must be learned; all others are in ``recent`` afterwards."""
-        missing = keys.difference(self.recent)
-        if missing and len(self.recent) + len(missing) > self.most:
+    def ids(self, words: list[bytes], learn: Callable[[list[int]], list[bytes]]) -> list[bytes]:
+        """The ids of different words; ``learn`` gives those of the numbered words that are not known."""
+        found = list(map(self.recent.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i in missing:
+            found[i] = self.older.get(words[i])
+        new = [i for i in missing if found[i] is None]
+        for i, ids in zip(new, learn(new)):
+            found[i] = ids
+        if len(self.recent) + len(missing) > self.most:
             self.older, self.recent = self.recent, {}
-            missing = keys
-        out = []
-        for key in missing:
-            if (ids := self.older.get(key)) is None:
-                out.append(key)
-            else:
-                self.recent[key] = ids
-        return out
+        self.recent.update((words[i], found[i]) for i in missing if len(words[i]) <= _LONGEST)
+        return found
 
 
 def cuts_words(tokenizer: dict) -> bool:
@@ -76,34 +142,61 @@ def cuts_words(tokenizer: dict) -> bool:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+def encoder(path: str) -> Callable[[pa.Array | list[str]], list[memoryview]]:
     """Texts -> bytes of their ids (little-endian unsigned 32-bit), as the tokenizer file at ``path`` encodes them.
 
     A byte-level BPE never merges across the words its pattern cuts, so equal
-    words get equal ids and are encoded once.  A worker keeps its encoder, and the
-    words it has met, from task to task.  Texts with rare characters or a special token's
-    string are encoded whole, as are all texts if the file's settings are other ones.
+    words get equal ids and are encoded once.  Words are cut where the pattern is sure to cut;
+    those that may hold more than one of its words, as next to rare characters, go through
+    the whole tokenizer.  So do texts with a special token's string, and all texts if
+    the file's settings are other ones.  A worker keeps its encoder, and the words it
+    has met, from task to task.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
     model = Tokenizer.from_file(path)
+    bpe = model.model
     singly = cuts_words(json.loads(model.to_str()))
-    special = [t.content for t in model.get_added_tokens_decoder().values()]
-
-    def encode(texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-
+    special = [t.content.encode() for t in model.get_added_tokens_decoder().values()]
     known = _Known(_REMEMBERED)
 
-    def ids(texts: list[str]) -> list[bytes]:
-        cut_up = [None if not singly or _RARE.search(t) or any(s in t for s in special) else _WORDS.findall(t)
-                  for t in texts]
-        words = set().union(*(w for w in cut_up if w is not None))
-        missing = known.unknown(words)
-        known.recent.update(zip(missing, encode(missing)))
-        here = {w: known.recent[w] for w in words}  # small, so quicker to look up word by word
-        return [encode([t])[0] if w is None else b"".join(map(here.__getitem__, w)) for t, w in zip(texts, cut_up)]
+    def encode(words: list[bytes], whole: np.ndarray) -> list[bytes]:
+        """Ids of words, of which some need the whole tokenizer."""
+        texts = [w.decode() for w, odd in zip(words, whole) if odd]
+        odd_ids = iter(model.encode_batch_fast(texts, add_special_tokens=False))
+        plain = b"\n".join(w for w, odd in zip(words, whole) if not odd)
+        plain_words = iter(_STAND_INS[np.frombuffer(plain, np.uint8)].tobytes().decode("utf-16-le").split("\n"))
+        return [array("I", next(odd_ids).ids if odd else [t.id for t in bpe.tokenize(next(plain_words))]).tobytes()
+                for odd in whole]
+
+    def ids(texts: pa.Array | list[str]) -> list[memoryview]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = texts.fill_null("").cast(pa.large_binary())
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = bytes(memoryview(texts.buffers()[2])[ends[0]:ends[-1]]) if ends[-1] > ends[0] else b""
+        if not data:
+            return [memoryview(b"")] * len(texts)
+        ends = ends - ends[0]
+        kinds = _kinds(data) if singly else np.full(len(data), _UNSURE, np.uint8)
+        for token in special:
+            if token in data:
+                for i in np.flatnonzero(pc.match_substring(texts, token).to_numpy(zero_copy_only=False)):
+                    kinds[ends[i]:ends[i + 1]] = _UNSURE
+        starts = word_starts(kinds, ends[:-1][np.diff(ends) > 0])
+        bounds = np.append(starts, len(data))
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        places = words.indices.to_numpy()
+        odd = np.flatnonzero((kinds == _UNSURE) | (kinds == _APOSTROPHE) | (kinds == _BREAK))
+        whole = np.zeros(len(words.dictionary), bool)
+        whole[places[np.searchsorted(starts, odd, side="right") - 1]] = True
+        distinct = words.dictionary.to_pylist()
+        values = known.ids(distinct, lambda new: encode([distinct[i] for i in new], whole[new]))
+        out = pa.array(values, pa.large_binary()).take(words.indices)
+        at = np.frombuffer(out.buffers()[1], np.int64)[np.searchsorted(bounds, ends)].tolist()
+        stored = memoryview(out.buffers()[2])
+        return [stored[a:b] for a, b in zip(at, at[1:])]
 
     return ids
 
@@ -122,16 +215,21 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         ids = encoder(tokenizer)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for first in range(0, batch.num_rows, _TOGETHER):
-                texts = [t or "" for t in batch.column(1).slice(first, _TOGETHER).to_pylist()]
-                for i, encoded in enumerate(ids(texts), first):
-                    data = memoryview(encoded + end)
-                    for k, (at, n) in enumerate(cut(len(data) // 4, capacity)):
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            first = 0
+            while first < batch.num_rows:  # one text at least
+                before = int(sizes[first - 1]) if first else 0
+                after = max(int(np.searchsorted(sizes, before + _TOGETHER, side="right")), first + 1)
+                for i, data in enumerate(ids(batch.column(1).slice(first, after - first)), first):
+                    total = len(data) // 4 + 1
+                    for k, (at, n) in enumerate(cut(total, capacity)):
                         rows.append(i)
                         piece.append(k)
                         start.append(at)
                         length.append(n)
-                        crc.append(zlib.crc32(data[4 * at:4 * (at + n)]))
+                        value = zlib.crc32(data[4 * at:4 * (at + n)])
+                        crc.append(zlib.crc32(end, value) if at + n == total else value)
+                first = after
             for r, p, s, n, c in in_slices([rows, piece, start, length, crc]):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(r)), pa.array(p, pa.int32()),

@@ -88,6 +88,42 @@ def test_other_settings_of_the_file_are_kept(tmp_dir, change):
         model.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_words_are_cut_only_where_the_tokenizer_cuts():
+    model, ids = Tokenizer.from_file(PATH), encoder(PATH)
+    chars = [chr(c) for c in (*range(0x250), *range(0x2B0, 0x3000, 11), 0x180E, 0x3000, 0xFEFF, 0x1F44D, *range(0x1FFE, 0x2030))]
+    texts = [f"ab {c} cd{c} ef {c}gh 1{c}x'{c}s{c}'s\n{c}\n\n y  {c}  {c}{c}.{c} \t{c} " for c in chars] + ["", " ", "\n", "  a", "a  "]
+    want = [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == want
+
+
+def test_only_doubtful_words_go_through_the_whole_tokenizer(monkeypatch):
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        @classmethod
+        def from_file(cls, path):
+            return cls(Tokenizer.from_file(path))
+
+    asked = []
+    monkeypatch.setattr("tokenizers.Tokenizer", Counting)
+    encoder.cache_clear()
+    ids = encoder(PATH)
+    encoder.cache_clear()
+    got = ids(["plain words, naïve words; слова 12.", "an – rare", "an – rare end", "it's"] * 3 + ["it's plain"])
+    assert sorted(asked) == [" – rare", "'s"]
+    model = Tokenizer.from_file(PATH)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got[-3:]] == [
+        model.encode(x).ids for x in ("an – rare end", "it's", "it's plain")]
+
+
 def test_round_trip_and_edge_rows(spark):
     model = Tokenizer.from_file(PATH)
     rng = random.Random(4)
