@@ -14,7 +14,9 @@ from loadsmith.llm.common import text_key
 WINDOW = 10
 #: Windows up to which the set is broadcast (about 200 bytes each); beyond, the join shuffles.
 BROADCAST_WINDOWS = 500_000
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words, each character by itself: Java looks such a class up in one table, but tries ranges one by one.
+_GAPS = "".join(f"\\x{c:02X}" for c in (*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)))
+_WORD = f"[^{_GAPS}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -3,8 +3,10 @@ import random
 import re
 
 from helpers import ascii_lower, documents, rows
+from pyspark.sql import functions as F
 
-from loadsmith.llm.decontam import decontaminate, remove_contaminated
+from loadsmith.llm import decontam
+from loadsmith.llm.decontam import decontaminate, remove_contaminated, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -53,6 +55,18 @@ def test_against_plain_python(spark):
     assert rows(decontaminate(docs, bench)) == want
 
 
+def test_words_part_at_the_same_characters(spark):
+    chars = [chr(c) for c in (*range(0x600), *range(0x2000, 0x2100), 0x212A, 0x3000, 0xFEFF, 0xFFFF, 0x1F44D, 0x10FFFF)]
+    texts = [f"a{c}b {c}{c} Z{c}" for c in chars] + [None, ""]
+    got = documents(spark, texts).select("doc_id", words(F.col("text")).alias("w")).orderBy("doc_id").collect()
+    assert [r["w"] for r in got] == [WORD.findall(ascii_lower(t or "")) for t in texts]
+
+
+def test_word_class_lists_its_characters_singly():
+    assert re.fullmatch(r"\[\^(\\x[0-9A-F]{2})+\]\+", decontam._WORD)  # ranges took Spark several times as long
+    assert [c for c in map(chr, range(0x250)) if re.match(decontam._WORD, c)] == [c for c in map(chr, range(0x250)) if WORD.match(c)]
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     none = hashlib.sha256(b"").hexdigest()
