@@ -39,9 +39,9 @@ _UNSURE, _LETTER, _DIGIT, _OTHER, _SPACE, _BREAK, _APOSTROPHE = range(7)
 #: First bytes of UTF-8 characters that are letters, but for these two.
 _LETTER_LEADS, _SIGNS = (*range(0xC3, 0xCA), 0xD0, 0xD1), (b"\xc3\x97", b"\xc3\xb7")
 #: Bytes of text whose words are looked up together.
-_TOGETHER = 8 << 20
+_TOGETHER = 1 << 20
 #: Words whose ids a worker remembers (about 200 bytes each), and the bytes of the longest.
-_REMEMBERED, _LONGEST = 400_000, 48
+_REMEMBERED, _LONGEST = 150_000, 48
 
 
 def _kind(byte: int) -> int:
